@@ -15,7 +15,7 @@ _GAP = "[\\x20\\x09-\\x0D]+"
 ORACLES = {
     "op3_mix_sources": rf"""
 with docs as (
-  select doc_id, source, coalesce(len(list_filter(regexp_split_to_array(text, '{_GAP}'), x -> x <> '')), 0)::bigint as size
+  select doc_id, source, coalesce(len(list_filter(regexp_split_to_array(text, '{_GAP}'), lambda x: x <> '')), 0)::bigint as size
   from documents),
 src as (select source, sum(size)::bigint as source_size from docs group by source),
 num as (select *, row_number() over (order by source nulls last) as source_no from src),
