@@ -3,11 +3,17 @@
 from __future__ import annotations
 
 from .lpt_shards import op5_lpt_shards
+from .quality_divergence import op8_quality_divergence
+from .site_lines import op9_site_lines
 from .source_schedule import op3_mix_sources
+from .warc_revisit import op4_warc_revisit
 
 QUERIES = {
     "op3_mix_sources": op3_mix_sources,
+    "op4_warc_revisit": op4_warc_revisit,
     "op5_lpt_shards": op5_lpt_shards,
+    "op8_quality_divergence": op8_quality_divergence,
+    "op9_site_lines": op9_site_lines,
 }
 
 _GAP = "[\\x20\\x09-\\x0D]+"

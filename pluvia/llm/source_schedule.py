@@ -60,12 +60,13 @@ def source_targets(sizes: DataFrame, max_epochs: int = 3, weights: tuple = WEIGH
     return out.select("source", "source_size", F.when(F.col("_capped"), F.col("_cap")).otherwise(share).alias("target"))
 
 
-def schedule(targets: DataFrame, block_tokens: int = 64, max_epochs: int = 3, chunk: int = 4096) -> DataFrame:
+def schedule(
+    targets: DataFrame, block_tokens: int = 64, max_epochs: int = 3, chunk: int = 4096, cells: int = 4096,
+) -> DataFrame:
     """Slots of the mix: slot, source_no, block, epoch.
 
     ``targets`` has source_no, source_size, target.  A source has ``ceil(size / block_tokens)`` blocks, and
     its slots stand to all slots as ``target / (size / blocks)`` stands to the sum of these."""
-    spark = targets.sparkSession
     upto = Window.partitionBy().orderBy("source_no").rowsBetween(Window.unboundedPreceding, 0)
     shares = (
         targets.filter("source_size > 0")
@@ -85,11 +86,19 @@ def schedule(targets: DataFrame, block_tokens: int = 64, max_epochs: int = 3, ch
         chunks.select("c", F.explode(F.expr(f"sequence(c * {chunk}, least(n, (c + 1) * {chunk}) - 1)")).alias("slot"))
         .withColumn("_u", (F.col("slot") + 1) * F.lit(PHI)).withColumn("_u", F.col("_u") - F.floor("_u"))
     )
-    # A point lies in one interval: the sources are an array of bounds, looked up by counting lower ends.
-    bounds = shares.agg(F.sort_array(F.collect_list(F.struct("_lo", "source_no", "blocks"))).alias("_b"))
+    # A point takes the last interval that begins at or before it.  Points and intervals meet in cells of the
+    # unit range, each cell opening with the intervals that reach into it, so no side is broadcast.
+    edge = F.explode(F.sequence(F.floor(F.col("_lo") * cells), F.least(F.lit(cells - 1), F.floor(F.col("_hi") * cells)))).alias("cell")
+    edges = shares.select("_lo", "source_no", "blocks", edge).select(
+        "cell", F.greatest("_lo", F.col("cell") / cells).alias("at"), F.struct("source_no", "blocks").alias("s"),
+        F.lit(None).cast("long").alias("c"), F.lit(None).cast("long").alias("slot"))
+    seen = points.select(F.floor(F.col("_u") * cells).alias("cell"), F.col("_u").alias("at"),
+                         F.lit(None).cast("struct<source_no:bigint,blocks:bigint>").alias("s"), "c", "slot")
+    so_far = Window.partitionBy("cell").orderBy("at", F.col("slot").asc_nulls_first(), "s.source_no").rowsBetween(Window.unboundedPreceding, 0)
     hit = (
-        points.join(F.broadcast(bounds))
-        .withColumn("_s", F.element_at("_b", F.greatest(F.lit(1), F.size(F.filter("_b", lambda b: b["_lo"] <= F.col("_u"))))))
+        edges.unionByName(seen)
+        .withColumn("_s", F.last("s", ignorenulls=True).over(so_far))
+        .filter("slot IS NOT NULL")
         .select("c", "slot", F.col("_s.source_no").alias("source_no"), F.col("_s.blocks").alias("blocks"))
     )
     inside = Window.partitionBy("source_no", "c").orderBy("slot")
