@@ -76,15 +76,11 @@ def schedule(
         .withColumn("_upto", F.sum("_slots").over(upto))
         .select("source_no", "blocks", "_all", ((F.col("_upto") - F.col("_slots")) / F.col("_all")).alias("_lo"), (F.col("_upto") / F.col("_all")).alias("_hi"))
     )
-    # The number of slots is known only after the sizes: chunks of slots are generated from one row.
-    chunks = (
-        shares.agg(F.ceil(F.max("_all")).cast("long").alias("n"))
-        .select("n", F.explode(F.sequence(F.lit(0).cast("long"), F.expr(f"greatest(0, (n - 1) div {chunk})"))).alias("c"))
-        .filter("n > 0").repartition("c")
-    )
+    slots = shares.agg(F.ceil(F.max("_all")).cast("long")).first()[0] or 0
     points = (
-        chunks.select("c", F.explode(F.expr(f"sequence(c * {chunk}, least(n, (c + 1) * {chunk}) - 1)")).alias("slot"))
-        .withColumn("_u", (F.col("slot") + 1) * F.lit(PHI)).withColumn("_u", F.col("_u") - F.floor("_u"))
+        shares.sparkSession.range(0, slots, 1, max(1, min(10_000, slots >> 17)))
+        .select(F.col("id").alias("slot"), F.expr(f"id div {chunk}").alias("c"), ((F.col("id") + 1) * F.lit(PHI)).alias("_u"))
+        .withColumn("_u", F.col("_u") - F.floor("_u"))
     )
     # A point takes the last interval that begins at or before it.  Points and intervals meet in cells of the
     # unit range, each cell opening with the intervals that reach into it, so no side is broadcast.
