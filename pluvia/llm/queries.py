@@ -5,6 +5,7 @@ from __future__ import annotations
 from .bagminhash import op10_bagminhash
 from .lpt_shards import op5_lpt_shards
 from .quality_divergence import op8_quality_divergence
+from .simhash_windows import op6_simhash_windows
 from .site_lines import op9_site_lines
 from .source_schedule import op3_mix_sources
 from .warc_revisit import op4_warc_revisit
@@ -14,6 +15,7 @@ QUERIES = {
     "op3_mix_sources": op3_mix_sources,
     "op4_warc_revisit": op4_warc_revisit,
     "op5_lpt_shards": op5_lpt_shards,
+    "op6_simhash_windows": op6_simhash_windows,
     "op7_zstd_toxicity": op7_zstd_toxicity,
     "op8_quality_divergence": op8_quality_divergence,
     "op9_site_lines": op9_site_lines,
