@@ -4,14 +4,18 @@ from __future__ import annotations
 
 from .bagminhash import op10_bagminhash
 from .lpt_shards import op5_lpt_shards
+from .maxent_lm import op2_maxent_lm
 from .quality_divergence import op8_quality_divergence
 from .simhash_windows import op6_simhash_windows
 from .site_lines import op9_site_lines
 from .source_schedule import op3_mix_sources
+from .token_scan import op1_token_scan
 from .warc_revisit import op4_warc_revisit
 from .zstd_toxicity import op7_zstd_toxicity
 
 QUERIES = {
+    "op1_token_scan": op1_token_scan,
+    "op2_maxent_lm": op2_maxent_lm,
     "op3_mix_sources": op3_mix_sources,
     "op4_warc_revisit": op4_warc_revisit,
     "op5_lpt_shards": op5_lpt_shards,
