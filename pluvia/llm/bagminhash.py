@@ -153,8 +153,8 @@ def verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, doc_id: str = "doc_id", text: str = "text", salts: int = 16) -> DataFrame:
-    """One row per document: doc_id, class_id, copy_of (least doc_id with the same text), links (leaders and
-    members that the document's text was verified against)."""
+    """One row per document: doc_id, tid (of its text), class_id, copy_of (least doc_id with the same text),
+    links (leaders and members that the document's text was verified against)."""
     texts = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     signed = pin(sign(texts), "bagminhash-signed")
     nodes = pin(signed.groupBy("tid").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies"), F.first("n").alias("n"), F.first("keys").alias("keys")), "bagminhash-nodes")
@@ -200,7 +200,7 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, doc_id: str
     special = special.join(least, "comp").select("tid", "rep", "class_id", "links", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("_salt"))
     rows = signed.select("doc_id", "tid").withColumn("_salt", F.pmod(F.xxhash64("doc_id"), F.lit(salts)).cast("int"))
     return rows.join(special, ["tid", "_salt"], "left").select(
-        "doc_id", F.coalesce("class_id", "doc_id").alias("class_id"), F.coalesce("rep", "doc_id").alias("copy_of"),
+        "doc_id", "tid", F.coalesce("class_id", "doc_id").alias("class_id"), F.coalesce("rep", "doc_id").alias("copy_of"),
         F.coalesce("links", F.lit(0)).cast("long").alias("links"))
 
 
@@ -210,6 +210,24 @@ def _by_key():
     return Window.partitionBy("key").orderBy("tid")
 
 
+def one_of_each(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """The documents, all columns, with one of each class: that with the least doc_id.
+
+    Of rows that share doc_id and text one stays; rows without a doc_id stay, one for each text, if no row of
+    their class has one."""
+    tid = F.coalesce(F.unhex(F.md5(F.encode("text", "UTF-8"))), F.lit(b""))
+    found = near_duplicates(docs, similarity)
+    key = [F.col("doc_id").eqNullSafe(F.col("_doc")), F.col("_tid") == F.col("_of")]
+    named = docs.withColumn("_tid", tid)
+    drops = found.filter(~F.col("doc_id").eqNullSafe(F.col("class_id"))).select(F.col("doc_id").alias("_doc"), F.col("tid").alias("_of")).distinct()
+    kept = named.join(drops, key[0] & key[1], "left_anti")
+    again = pin(found.groupBy("doc_id", "tid").count().filter("count > 1").select(F.col("doc_id").alias("_doc"), F.col("tid").alias("_of")), "bagminhash-repeats")
+    if not again.isEmpty():
+        same = key[0] & key[1]
+        kept = kept.join(again, same, "left_anti").unionByName(kept.join(again, same, "left_semi").dropDuplicates(["doc_id", "_tid"]))
+    return kept.drop("_tid")
+
+
 def op10_bagminhash(spark, sf_dir: str) -> DataFrame:
     """All ``documents`` with the class of their near-duplicates."""
-    return near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    return near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet")).drop("tid")

@@ -25,6 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from ._words import PUNCTUATION, SPACE, mix, shingles, slices, word_hashes
 
@@ -119,48 +120,75 @@ class Benchmark:
         return best
 
 
-def find_leaks(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY, block_items: int = 50_000, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row per document and item found in it: doc_id, item_id, similarity, first_word, words."""
-    kind, item_kind = docs.schema[doc_id].dataType.simpleString(), benchmark.schema["item_id"].dataType.simpleString()
-    items = benchmark.select("item_id", "text").filter("text IS NOT NULL").orderBy("item_id", "text")
-    parts, offset = [], 0
+def _blocks(benchmark: DataFrame, block_items: int) -> Iterator[list[tuple]]:
+    """(item_id, text) of the items in blocks of bounded size."""
+    items, offset = benchmark.select("item_id", "text").filter("text IS NOT NULL").orderBy("item_id", "text"), 0
     while block := items.offset(offset).limit(block_items).collect():
-        parts.append(_scan(docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")), [tuple(r) for r in block], similarity, kind, item_kind))
+        yield [tuple(r) for r in block]
         if len(block) < block_items:
-            break
+            return
         offset += block_items
-    if not parts:
-        return docs.sparkSession.createDataFrame([], f"doc_id {kind}, item_id {item_kind}, similarity double, first_word long, words long")
+
+
+def scan(bench: Benchmark, texts: pa.Array, similarity: float) -> Iterator[tuple[int, int, float, int, int]]:
+    """(text, item, similarity, first word, words) of the items found in each text."""
+    hashes, words = word_hashes(texts, APART)
+    for i, j in slices(words, 1_000_000):
+        items, at = shingles(hashes[words[i] : words[j]], words[i : j + 1] - words[i], WIDTH)
+        hits = bench.hits(items)
+        owner = np.searchsorted(at, hits, "right") - 1
+        for d in np.unique(owner).tolist():
+            own = bench.search(items[at[d] : at[d + 1]], hits[owner == d] - at[d], similarity)
+            for k, (alike, start, w) in sorted(own.items()):
+                yield i + d, k, alike, start, w + WIDTH - 1
+
+
+def find_leaks(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY, block_items: int = 50_000, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """One row per document and item found in it: doc_id, item_id, similarity, first_word, words."""
+    spark, narrow = docs.sparkSession, docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
+    kind, item = docs.schema[doc_id].dataType.simpleString(), benchmark.schema["item_id"].dataType
+    schema = f"doc_id {kind}, item_id {item.simpleString()}, similarity double, first_word long, words long"
+    item_type = to_arrow_type(item)
+
+    def of_block(block: list[tuple]) -> DataFrame:
+        shared = spark.sparkContext.broadcast(block)
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            bench = Benchmark([t for _, t in shared.value])
+            for batch in batches:
+                row, k, alike, start, n = [list(x) for x in zip(*scan(bench, batch.column("text"), similarity), strict=True)] or [[]] * 5
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("doc_id").take(pa.array(row, pa.int64())), pa.array([shared.value[x][0] for x in k], item_type),
+                     pa.array(alike, pa.float64()), pa.array(start, pa.int64()), pa.array(n, pa.int64())],
+                    ["doc_id", "item_id", "similarity", "first_word", "words"])
+
+        return narrow.mapInArrow(run, schema)
+
+    parts = [of_block(b) for b in _blocks(benchmark, block_items)] or [spark.createDataFrame([], schema)]
     out = parts[0]
     for more in parts[1:]:
         out = out.unionByName(more)
     return out
 
 
-def _scan(docs: DataFrame, block: list[tuple], similarity: float, kind: str, item_kind: str) -> DataFrame:
-    ids, texts = [r[0] for r in block], docs.sparkSession.sparkContext.broadcast([r[1] for r in block])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bench = Benchmark(texts.value)
-        for batch in batches:
-            hashes, words = word_hashes(batch.column("text"), APART)
-            rows, found = [], []
-            for i, j in slices(words, 1_000_000):
-                items, at = shingles(hashes[words[i] : words[j]], words[i : j + 1] - words[i], WIDTH)
-                hits = bench.hits(items)
-                owner = np.searchsorted(at, hits, "right") - 1
-                for d in np.unique(owner).tolist():
-                    own = bench.search(items[at[d] : at[d + 1]], hits[owner == d] - at[d], similarity)
-                    rows += [i + d] * len(own)
-                    found += [(ids[k], s, start, w + WIDTH - 1) for k, (s, start, w) in sorted(own.items())]
-            columns = list(zip(*found, strict=True)) or [[], [], [], []]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id").take(pa.array(rows, pa.int64())), pa.array(columns[0], out_type), pa.array(columns[1], pa.float64()),
-                 pa.array(columns[2], pa.int64()), pa.array(columns[3], pa.int64())],
-                ["doc_id", "item_id", "similarity", "first_word", "words"])
-
-    out_type = {"bigint": pa.int64(), "int": pa.int32()}.get(item_kind, pa.string())
-    return docs.mapInArrow(run, f"doc_id {kind}, item_id {item_kind}, similarity double, first_word long, words long")
+def drop_leaks(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY, block_items: int = 50_000, text: str = "text") -> DataFrame:
+    """The documents, all columns, in which no item is found."""
+
+    def without(rows: DataFrame, block: list[tuple]) -> DataFrame:
+        shared = docs.sparkSession.sparkContext.broadcast(block)
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            bench = Benchmark([t for _, t in shared.value])
+            for batch in batches:
+                clean = np.ones(batch.num_rows, bool)
+                clean[[x[0] for x in scan(bench, batch.column(text), similarity)]] = False
+                yield batch.filter(pa.array(clean))
+
+        return rows.mapInArrow(run, rows.schema)
+
+    for block in _blocks(benchmark, block_items):
+        docs = without(docs, block)
+    return docs
 
 
 def op6_simhash_windows(spark, sf_dir: str) -> DataFrame:

@@ -164,6 +164,18 @@ def mix_sources(docs: DataFrame, block_tokens: int = 64, max_epochs: int = 3) ->
     return mixed.unionByName(empty)
 
 
+def mixed_documents(docs: DataFrame, block_tokens: int = 64, max_epochs: int = 3) -> DataFrame:
+    """The mix in whole documents, all columns: each document as often as the schedule takes the block with its
+    first word.  Rows that agree in doc_id, source and number of words share their copies evenly, rounded down."""
+    key = ["doc_id", "source", "size"]
+    times = mix_sources(docs, block_tokens, max_epochs).groupBy(*key).agg((F.expr("sum(copies) div count(*)")).cast("int").alias("_copies")).filter("_copies > 0")
+    times = times.select(*[F.col(k).alias(f"_{k}") for k in key], "_copies")
+    rows = docs.withColumn("_words", n_words(F.col("text")))
+    same = rows["doc_id"].eqNullSafe(times["_doc_id"]) & rows["source"].eqNullSafe(times["_source"]) & (rows["_words"] == times["_size"])
+    taken = rows.join(times, same).withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
+    return taken.select(*docs.columns)
+
+
 def op3_mix_sources(spark, sf_dir: str) -> DataFrame:
     """All ``documents`` mixed to the sources' targets."""
     out = mix_sources(spark.read.parquet(f"{sf_dir}/documents.parquet"))

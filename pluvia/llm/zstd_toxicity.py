@@ -26,7 +26,7 @@ import zlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -170,24 +170,45 @@ def fit(docs: DataFrame, labels: DataFrame, mod: int = 4, fold: int = 2, max_tox
     return parts | {"share": share, "weights": logistic(crossed(Distance(**parts).features(again)), y)}
 
 
+class Scorer:
+    """Scores batches of texts in a task."""
+
+    def __init__(self, model: dict):
+        self.model = model
+        self.distance = Distance(model["common"], model["toxic"], model["ordinary"]) if "weights" in model else None
+
+    def __call__(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+        """(scores, numbers of windows)."""
+        if self.distance is None:
+            return np.full(len(texts), float(self.model["share"])), np.zeros(len(texts), np.int64)
+        f = self.distance.features([normal(t) for t in texts])
+        x = np.column_stack([np.ones(len(f)), crossed(f)])
+        return 1 / (1 + np.exp(-np.clip(x @ self.model["weights"], -30, 30))), np.round(np.expm1(f[:, 6])).astype(np.int64)
+
+
 def score(docs: DataFrame, model: dict, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, score, windows of every document."""
+    kind = docs.schema[doc_id].dataType.simpleString()
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        distance = Distance(model["common"], model["toxic"], model["ordinary"]) if "weights" in model else None
-        for rows in batches:
-            texts = [normal(t) for t in rows["text"]]
-            if distance is None:
-                p, n = np.full(len(rows), model["share"]), np.zeros(len(rows))
-            else:
-                f = distance.features(texts)
-                x = np.column_stack([np.ones(len(f)), crossed(f)])
-                p, n = 1 / (1 + np.exp(-np.clip(x @ model["weights"], -30, 30))), np.round(np.expm1(f[:, 6]))
-            yield pd.DataFrame({"doc_id": rows["doc_id"], "score": p, "windows": n.astype("int64")})
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scorer = Scorer(model)
+        for batch in batches:
+            p, n = scorer(batch.column("text").to_pylist())
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(p), pa.array(n)], ["doc_id", "score", "windows"])
 
-    kind = docs.schema[doc_id].dataType.simpleString()
-    narrow = docs.select(F.col(doc_id).cast("string").alias("doc_id"), F.col(text).alias("text"))
-    return narrow.mapInPandas(run, "doc_id string, score double, windows long").withColumn("doc_id", F.col("doc_id").cast(kind))
+    narrow = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
+    return narrow.mapInArrow(run, f"doc_id {kind}, score double, windows long")
+
+
+def drop_toxic(docs: DataFrame, model: dict, threshold: float = THRESHOLD, text: str = "text") -> DataFrame:
+    """The documents, all columns, whose score is under the threshold."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scorer = Scorer(model)
+        for batch in batches:
+            yield batch.filter(pa.array(scorer(batch.column(text).to_pylist())[0] < threshold))
+
+    return docs.mapInArrow(run, docs.schema)
 
 
 def op7_zstd_toxicity(spark, sf_dir: str) -> DataFrame:
