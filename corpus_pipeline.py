@@ -1,10 +1,49 @@
-"""The corpus pipeline: toxicity, near-duplicates, decontamination, mixing, sharding."""
+"""The corpus pipeline: toxicity, near-duplicates, decontamination, mixing, sharding.
+
+Each stage takes (spark, docs, sf_dir) and works on all documents that its predecessor kept.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-STAGES: list = []
+from pluvia.llm import bagminhash, lpt_shards, simhash_windows, source_schedule, zstd_toxicity
+from pluvia.llm._store import pin
+
+
+def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the compression-distance classifier does not reject."""
+    model = zstd_toxicity.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return zstd_toxicity.drop_toxic(docs, model)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates."""
+    return bagminhash.one_of_each(docs)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a passage of the benchmark."""
+    return simhash_windows.drop_leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents as often as the mix to the sources' targets takes them."""
+    return source_schedule.mixed_documents(docs)
+
+
+def sharding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """doc_id, size, text_crc32, shard and slot of every document of the mix."""
+    return lpt_shards.assign_shards(docs).drop("group_key")
+
+
+STAGES = [
+    ("toxicity", toxicity),
+    ("near_duplicates", near_duplicates),
+    ("decontamination", decontamination),
+    ("mixing", mixing),
+    ("sharding", sharding),
+]
 
 #: The model-based stages cannot be expressed in SQL; tests hold every stage against brute force.
 ORACLE_SQL = None
@@ -12,8 +51,6 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stages applied to ``documents``, each written and read again."""
-    from pluvia.llm._store import pin
-
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
         docs = pin(stage(spark, docs, sf_dir), name)
