@@ -1,4 +1,5 @@
 """Queries and SQL oracles of the engine's own operators."""
 
-QUERIES: dict = {}
-ORACLES: dict = {}
+from .plans.queries import ORACLES, QUERIES
+
+__all__ = ["ORACLES", "QUERIES"]
