@@ -12,6 +12,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T  # noqa: F401  re-exported for callers that build schemas
 
 
+def let(value: Column, body) -> Column:
+    """``body(value)`` with the value computed once: Spark would paste a column's expression wherever it is used,
+    and inside a lambda evaluate it for every element."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def _zero() -> Column:
     return F.lit(0.0)
 
@@ -61,19 +67,19 @@ def logsumexp(a: Column) -> Column:
 
 def softmax(a: Column) -> Column:
     """Stable softmax; NULL if an element is."""
-    e = F.transform(a, lambda x: F.exp(x - F.array_max(a)))
-    return F.when(~F.exists(a, lambda x: x.isNull()), F.transform(e, lambda x: x / total(e)))
+    shifted = let(F.array_max(a), lambda top: F.transform(a, lambda x: F.exp(x - top)))
+    return F.when(~F.exists(a, lambda x: x.isNull()), let(shifted, lambda e: let(total(e), lambda s: F.transform(e, lambda x: x / s))))
 
 
 def normalise(a: Column) -> Column:
-    return F.transform(a, lambda x: x / F.nullif(total(a), _zero()))
+    return let(a, lambda b: let(F.nullif(total(b), _zero()), lambda s: F.transform(b, lambda x: x / s)))
 
 
 def clean_probs(p: Column) -> Column:
     """Missing and negative to 0; all zero to uniform; sum 1."""
     q = F.transform(p, lambda x: F.greatest(F.coalesce(x, _zero()), _zero()))
-    s = total(q)
-    return F.when(s > 0, F.transform(q, lambda x: x / s)).otherwise(F.transform(q, lambda x: 1.0 / F.size(p)))
+    share = lambda q: let(total(q), lambda s: F.when(s > 0, F.transform(q, lambda x: x / s)).otherwise(F.transform(q, lambda x: 1.0 / F.size(q))))
+    return let(q, share)
 
 
 def rain_transform(x: Column, kind: str | float = "identity") -> Column:
@@ -134,9 +140,10 @@ def apply_platt(p: Column, intercept: Column, slope: Column, eps: float = 1e-6)
 
 def mix(ps: list[Column], weights: list[float]) -> Column:
     """Weighted sum of cleaned probability arrays, cleaned again."""
-    out = F.transform(clean_probs(ps[0]), lambda x: x * weights[0])
-    for p, w in zip(ps[1:], weights[1:], strict=True):
-        out = F.zip_with(out, clean_probs(p), lambda a, b, w=w: a + b * w)
+    scaled = [F.transform(clean_probs(p), lambda x: x * F.lit(float(w))) for p, w in zip(ps, weights, strict=True)]  # noqa: B023
+    out = scaled[0]
+    for other in scaled[1:]:
+        out = F.zip_with(out, other, lambda a, b: a + b)
     return clean_probs(out)
 
 
@@ -144,11 +151,16 @@ def floor_probs(p: Column, target: Column, low: float = 5e-7, eps: float = 1e-12
     """Raise probabilities to ``low`` and keep their sum at ``target`` (at most 1): the excess is taken from what
     lies above the floor in proportion."""
     n = F.size(p)
-    goal = F.least(F.when(target >= 0, target).otherwise(0.0), F.lit(1.0))
-    q = F.transform(p, lambda x: F.greatest(F.coalesce(x, _zero()), F.lit(low)))
-    excess, room = total(q) - goal, total(F.transform(q, lambda x: x - low))
     flat = lambda v: F.transform(p, lambda x: v)
-    return (
-        F.when(goal <= eps, flat(_zero())).when(goal < n * low, flat(goal / n)).when(excess <= eps, q).when(room <= eps, flat(goal / n))
-        .otherwise(F.transform(q, lambda x: F.greatest(x - excess * (x - low) / room, F.lit(low))))
-    )
+
+    def fit(s: Column) -> Column:
+        goal, q = s["goal"], s["q"]
+        excess, room = total(q) - goal, total(q) - n * low
+        lowered = let(F.struct(excess.alias("e"), room.alias("r")), lambda t: F.transform(q, lambda x: F.greatest(x - t["e"] * (x - low) / t["r"], F.lit(low))))
+        return (
+            F.when(goal <= eps, flat(_zero())).when(goal < n * low, flat(goal / n)).when(excess <= eps, q).when(room <= eps, flat(goal / n)).otherwise(lowered)
+        )
+
+    goal = F.least(F.when(target >= 0, target).otherwise(0.0), F.lit(1.0))
+    raised = F.transform(p, lambda x: F.greatest(F.coalesce(x, _zero()), F.lit(low)))
+    return let(F.struct(goal.alias("goal"), raised.alias("q")), fit)

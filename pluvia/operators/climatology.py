@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.arrays import floor_probs, total
+from ..functions.arrays import floor_probs, let, total
 
 GRID, MIN_SAMPLES, EPS = 512, 10, 1e-12
 
@@ -24,20 +24,20 @@ def fit_kde(samples: DataFrame, keys: list[str], x: str = "onset_day", grid: int
         F.count(F.lit(1)).alias("n"), F.stddev_samp(x).alias("_sd"), F.min(x).cast("double").alias("_min"), F.max(x).cast("double").alias("_max"),
         F.collect_list(F.col(x).cast("double")).alias("_x"))
     bw = F.col("_sd") * F.pow(F.col("n"), F.lit(-0.2))
-    fitted = (
-        stats.filter((F.col("n") >= min_samples) & (F.col("_sd") > 0)).withColumn("_bw", bw)
-        .withColumn("lo", F.col("_min") - 3 * F.col("_bw"))
-        .withColumn("step", (F.col("_max") + 3 * F.col("_bw") - F.col("lo")) / (grid - 1))
-    )
-    at = F.transform(F.sequence(F.lit(0), F.lit(grid - 1)), lambda i: F.col("lo") + i * F.col("step"))
-    pdf = F.transform(at, lambda g: F.aggregate("_x", F.lit(0.0), lambda s, v: s + F.exp(-0.5 * F.pow((g - v) / F.col("_bw"), 2))))
-    start = F.struct(F.array().cast("array<double>").alias("a"), F.lit(0.0).alias("t"))
-    upto = F.aggregate("_pdf", start, lambda s, v: F.struct(F.array_append(s["a"], s["t"] + v).alias("a"), (s["t"] + v).alias("t")), lambda s: s["a"])
-    return (
-        fitted.withColumn("_pdf", pdf).withColumn("_cum", upto)
-        .withColumn("cdf", F.transform("_cum", lambda c: c / F.element_at("_cum", -1)))
-        .select(*keys, "n", "lo", "step", "cdf")
-    )
+    low = F.col("_min") - 3 * bw
+    step = (F.col("_max") + 3 * bw - low) / (grid - 1)
+
+    def table(f: Column) -> Column:
+        at = F.transform(F.sequence(F.lit(0), F.lit(grid - 1)), lambda i: f["lo"] + i * f["step"])
+        pdf = F.transform(at, lambda g: F.aggregate(f["x"], F.lit(0.0), lambda s, v: s + F.exp(-0.5 * (g - v) * (g - v) / (f["bw"] * f["bw"]))))
+        start = F.struct(F.array().cast("array<double>").alias("a"), F.lit(0.0).alias("t"))
+        return F.aggregate(pdf, start, lambda s, v: F.struct(F.array_append(s["a"], s["t"] + v).alias("a"), (s["t"] + v).alias("t")),
+                           lambda s: F.transform(s["a"], lambda c: c / s["t"]))
+
+    frame = F.struct(low.alias("lo"), step.alias("step"), bw.alias("bw"), F.col("_x").alias("x"))
+    fitted = stats.filter((F.col("n") >= min_samples) & (F.col("_sd") > 0))
+    return fitted.select(*keys, "n", let(frame, lambda f: F.struct(f["lo"].alias("lo"), f["step"].alias("step"), table(f).alias("cdf"))).alias("_k")).select(
+        *keys, "n", "_k.lo", "_k.step", "_k.cdf")
 
 
 def cdf_at(t: Column, lo: Column, step: Column, cdf: Column) -> Column:
@@ -54,14 +54,18 @@ def predict(rows: DataFrame, horizon: int, d0: str = "d0", low: float = 5e-7) ->
 
     Day k has F(d0 + k) - F(d0 + k - 1), conditional on no onset up to d0 divided by 1 - F(d0), each floored at
     ``low`` with its sum kept."""
-    at = lambda t: cdf_at(t, F.col("lo"), F.col("step"), F.col("cdf"))
-    raw = F.transform(F.sequence(F.lit(1), F.lit(horizon)), lambda k: F.greatest(F.lit(0.0), at(F.col(d0) + k) - at(F.col(d0) + k - 1)))
-    out = rows.withColumn("p_day0", at(F.col(d0).cast("double"))).withColumn("_raw", raw)
-    left = 1 - F.col("p_day0")
-    cond = F.when(left <= EPS, F.col("_raw")).otherwise(F.transform("_raw", lambda x: x / left))
-    return (
-        out.withColumn("_cond", cond)
-        .withColumn("p_uncond", floor_probs(F.col("_raw"), total(F.col("_raw")), low))
-        .withColumn("p_cond", floor_probs(F.col("_cond"), total(F.col("_cond")), low))
-        .drop("_raw", "_cond")
-    )
+    at = lambda r, t: cdf_at(t, r["lo"], r["step"], r["cdf"])
+
+    def days(r: Column) -> Column:
+        raw = F.transform(F.sequence(F.lit(1), F.lit(horizon)), lambda k: F.greatest(F.lit(0.0), at(r, r["d0"] + k) - at(r, r["d0"] + k - 1)))
+        return F.struct(at(r, r["d0"]).alias("p0"), raw.alias("raw"))
+
+    def both(s: Column) -> Column:
+        left = 1 - s["p0"]
+        cond = F.when(left <= EPS, s["raw"]).otherwise(F.transform(s["raw"], lambda x: x / left))
+        floored = lambda p: let(p, lambda q: floor_probs(q, total(q), low))
+        return F.struct(s["p0"].alias("p_day0"), floored(s["raw"]).alias("p_uncond"), floored(cond).alias("p_cond"))
+
+    frame = F.struct("lo", "step", "cdf", F.col(d0).cast("double").alias("d0"))
+    out = rows.withColumn("_p", let(let(frame, days), both))
+    return out.select(*rows.columns, "_p.p_day0", "_p.p_uncond", "_p.p_cond")

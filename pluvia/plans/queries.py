@@ -167,7 +167,7 @@ def missing_threshold_anti(spark, sf):
     return R.missing_ids(T.table(spark, sf, "supplier").select(F.col("s_suppkey").alias("id")), _thresholds(spark, sf))
 
 
-@query("""WITH ref AS (SELECT c_nationkey AS id, year(o_orderdate) AS year, CAST(min(o_orderdate) AS DATE) AS r FROM orders JOIN customer ON c_custkey = o_custkey GROUP BY ALL),
+@query("""WITH ref AS (SELECT c_nationkey AS id, CAST(year(o_orderdate) AS INT) AS year, CAST(min(o_orderdate) AS DATE) AS r FROM orders JOIN customer ON c_custkey = o_custkey GROUP BY ALL),
 units AS (SELECT n_nationkey AS id, unnest(range(1992, 2003)) AS year FROM nation)
 SELECT u.id, CAST(u.year AS INT) AS year, r AS ref_onset_date, CAST(coalesce(greatest(1, r - make_date(u.year, 1, 2)), 1) AS INT) AS start FROM units u LEFT JOIN ref ON ref.id = u.id AND ref.year = u.year""")
 def ref_onset_start(spark, sf):
@@ -250,8 +250,8 @@ def _two(spark, sf):
     return a, o.filter("id % 4 <> 0").groupBy("id", "year").agg(F.round(F.max("v"), 2).alias("b"))
 
 
-_TWO = """a AS (SELECT o_custkey AS id, year(o_orderdate) AS year, count(*) AS a FROM orders WHERE o_custkey % 3 <> 0 GROUP BY ALL),
-b AS (SELECT o_custkey AS id, year(o_orderdate) AS year, round(max(o_totalprice), 2) AS b FROM orders WHERE o_custkey % 4 <> 0 GROUP BY ALL)"""
+_TWO = """a AS (SELECT o_custkey AS id, CAST(year(o_orderdate) AS INT) AS year, count(*) AS a FROM orders WHERE o_custkey % 3 <> 0 GROUP BY ALL),
+b AS (SELECT o_custkey AS id, CAST(year(o_orderdate) AS INT) AS year, round(max(o_totalprice), 2) AS b FROM orders WHERE o_custkey % 4 <> 0 GROUP BY ALL)"""
 
 
 @query(f"WITH {_TWO} SELECT id, year, a, b FROM a JOIN b USING (id, year)")
@@ -386,7 +386,7 @@ def coordinate_ids(spark, sf):
 
 _KDE_SQL = T.SAMPLES + """,
 st AS (SELECT id, count(*) AS n, min(onset_day)::DOUBLE AS mn, max(onset_day)::DOUBLE AS mx, stddev_samp(onset_day) * pow(count(*), -0.2) AS bw FROM samples GROUP BY id HAVING n >= 10 AND stddev_samp(onset_day) > 0),
-gr AS (SELECT id, n, bw, mn - 3 * bw AS lo, (mx - mn + 6 * bw) / 511 AS step, i, mn - 3 * bw + i * ((mx - mn + 6 * bw) / 511) AS g FROM st, (SELECT unnest(range(0, 512)) AS i)),
+gr AS (SELECT id, n, bw, mn - 3 * bw AS lo, (mx - mn + 6 * bw) / 511 AS step, i, mn - 3 * bw + i * ((mx - mn + 6 * bw) / 511) AS g FROM st, (SELECT CAST(unnest(range(0, 512)) AS INT) AS i)),
 pdf AS (SELECT gr.id, n, lo, step, i, sum(exp(-0.5 * pow((g - onset_day) / bw, 2))) AS f FROM gr JOIN samples s ON s.id = gr.id GROUP BY ALL),
 cdf AS (SELECT id, n, lo, step, i, sum(f) OVER (PARTITION BY id ORDER BY i) / sum(f) OVER (PARTITION BY id) AS c FROM pdf)"""
 
@@ -402,14 +402,14 @@ def kde_cdf(spark, sf):
 
 
 _AT = "(SELECT id, t, CASE WHEN pos <= 0 THEN c0 WHEN pos >= 511 THEN c511 ELSE a + (pos - i) * (b - a) END AS f FROM (SELECT q.id, q.t, (q.t - x.lo) / x.step AS pos, x.i, x.c AS a, y.c AS b, first_value(x.c) OVER () AS z, l.c AS c0, h.c AS c511 FROM q JOIN cdf x ON x.id = q.id AND x.i = least(510, greatest(0, floor((q.t - x.lo) / x.step)::INT)) JOIN cdf y ON y.id = x.id AND y.i = x.i + 1 JOIN cdf l ON l.id = q.id AND l.i = 0 JOIN cdf h ON h.id = q.id AND h.i = 511))"
-_PREDICT = f"""q AS (SELECT DISTINCT id, unnest(range(20, 49)) AS t FROM st), at AS {_AT},
-day AS (SELECT b.id, b.t - 20 AS k, greatest(0, b.f - a.f) AS p, z.f AS f0 FROM at a JOIN at b ON b.id = a.id AND b.t = a.t + 1 JOIN at z ON z.id = a.id AND z.t = 20),
-both AS (SELECT id, k, f0, p AS pu, CASE WHEN 1 - f0 <= 1e-12 THEN p ELSE p / (1 - f0) END AS pc FROM day)"""
+_PREDICT = f"""q AS (SELECT DISTINCT id, unnest(range(20, 49)) AS t FROM st), pts AS {_AT},
+day AS (SELECT b.id, b.t - 20 AS k, greatest(0, b.f - a.f) AS p, z.f AS f0 FROM pts a JOIN pts b ON b.id = a.id AND b.t = a.t + 1 JOIN pts z ON z.id = a.id AND z.t = 20),
+pairs AS (SELECT id, k, f0, p AS pu, CASE WHEN 1 - f0 <= 1e-12 THEN p ELSE p / (1 - f0) END AS pc FROM day)"""
 
 
 def _floored(col: str) -> str:
     return f"""(SELECT id, k, f0, CASE WHEN goal <= 1e-12 THEN 0 WHEN goal < 28 * 5e-7 THEN goal / 28 WHEN excess <= 1e-12 THEN q WHEN room <= 1e-12 THEN goal / 28 ELSE greatest(5e-7, q - excess * (q - 5e-7) / room) END AS v
-FROM (SELECT *, sum(q) OVER (PARTITION BY id) - goal AS excess, sum(q - 5e-7) OVER (PARTITION BY id) AS room FROM (SELECT id, k, f0, greatest({col}, 5e-7) AS q, least(1, sum({col}) OVER (PARTITION BY id)) AS goal FROM both)))"""
+FROM (SELECT *, sum(q) OVER (PARTITION BY id) - goal AS excess, sum(q - 5e-7) OVER (PARTITION BY id) AS room FROM (SELECT id, k, f0, greatest({col}, 5e-7) AS q, least(1, sum({col}) OVER (PARTITION BY id)) AS goal FROM pairs)))"""
 
 
 def _predicted(spark, sf):
@@ -431,7 +431,7 @@ def kde_uncond_day0(spark, sf):
 
 @query(f"""WITH {T.SAMPLES}, yrs AS (SELECT DISTINCT year AS test_year FROM samples), loo AS (SELECT id, test_year, onset_day FROM samples, yrs WHERE year <> test_year),
 st AS (SELECT id, test_year, count(*) AS n, min(onset_day)::DOUBLE AS mn, max(onset_day)::DOUBLE AS mx, stddev_samp(onset_day) * pow(count(*), -0.2) AS bw FROM loo GROUP BY ALL HAVING n >= 10 AND stddev_samp(onset_day) > 0),
-gr AS (SELECT *, mn - 3 * bw + i * ((mx - mn + 6 * bw) / 511) AS g FROM st, (SELECT unnest(range(0, 512)) AS i)),
+gr AS (SELECT *, mn - 3 * bw + i * ((mx - mn + 6 * bw) / 511) AS g FROM st, (SELECT CAST(unnest(range(0, 512)) AS INT) AS i)),
 pdf AS (SELECT gr.id, gr.test_year, n, i, sum(exp(-0.5 * pow((g - onset_day) / bw, 2))) AS f FROM gr JOIN loo s ON s.id = gr.id AND s.test_year = gr.test_year GROUP BY ALL)
 SELECT id, test_year, n, round(sum(CASE WHEN i <= 128 THEN f END) / sum(f), 8) AS q FROM pdf GROUP BY id, test_year, n""")
 def kde_loyo(spark, sf):
@@ -568,9 +568,9 @@ def ks_pietra(spark, sf):
     return M.pietra(_labels(spark, sf), ["g"]).withColumn("pietra", F.round("pietra", 9))
 
 
-@query(f"""WITH {_ROWS}, both AS (SELECT CAST(id AS VARCHAR) AS cell, b, r FROM rows UNION ALL SELECT 'ALL', b, r FROM rows),
+@query(f"""WITH {_ROWS}, pairs AS (SELECT CAST(id AS VARCHAR) AS cell, b, r FROM rows UNION ALL SELECT 'ALL', b, r FROM rows),
 flat AS (SELECT CAST(id AS VARCHAR) AS cell, round(p, 12) AS s, label FROM probs UNION ALL SELECT 'ALL', round(p, 12), label FROM probs), a AS {_auc_sql('flat', 'cell')}
-SELECT cell, n, brier, rps, round(auc, 7) AS auc FROM (SELECT cell, count(*) AS n, round(avg(b), 9) AS brier, round(avg(r), 9) AS rps FROM both GROUP BY cell) JOIN a USING (cell)""")
+SELECT cell, n, brier, rps, round(auc, 7) AS auc FROM (SELECT cell, count(*) AS n, round(avg(b), 9) AS brier, round(avg(r), 9) AS rps FROM pairs GROUP BY cell) JOIN a USING (cell)""")
 def cell_and_pooled_metrics(spark, sf):
     """Scores per cell and pooled."""
     rows = T.probabilities(spark, sf).withColumn("p", F.transform("p", lambda x: F.round(x, 12)))

@@ -38,7 +38,7 @@ def season(spark: SparkSession, sf: str, holes: bool = False) -> DataFrame:
     return rows.withColumn("x", F.when((F.col("d") * 7 + F.col("id")) % 31 != 0, F.col("x"))) if holes else rows
 
 
-SEASON = """years AS (SELECT unnest(range(1995, 2002)) AS year), days AS (SELECT unnest(range(1, 185)) AS d),
+SEASON = """years AS (SELECT CAST(unnest(range(1995, 2002)) AS INT) AS year), days AS (SELECT CAST(unnest(range(1, 185)) AS INT) AS d),
 rain AS (SELECT l_suppkey AS id, CAST(l_shipdate AS DATE) AS t, sum(l_quantity) AS x FROM lineitem GROUP BY 1, 2),
 season AS (SELECT s_suppkey AS id, year, d, coalesce(r.x, 0.0) AS x FROM supplier CROSS JOIN years CROSS JOIN days
   LEFT JOIN rain r ON r.id = s_suppkey AND r.t = make_date(year, 5, 1) + CAST(d - 1 AS INT)),
@@ -84,7 +84,7 @@ def probabilities(spark: SparkSession, sf: str) -> DataFrame:
 
 
 PROBS = """bins AS (SELECT unnest(range(1, 6)) AS bin),
-raw AS (SELECT o_orderkey AS k, o_custkey % 25 AS id, year(o_orderdate) AS year, CAST(o_orderdate AS DATE) AS time, CAST(left(o_orderpriority, 1) AS INT) AS y, bin,
+raw AS (SELECT o_orderkey AS k, o_custkey % 25 AS id, CAST(year(o_orderdate) AS INT) AS year, CAST(o_orderdate AS DATE) AS time, CAST(left(o_orderpriority, 1) AS INT) AS y, bin,
   CAST((o_orderkey * ((bin + 3) * 7919)) % 97 + 1 AS DOUBLE) AS rp, CAST((o_orderkey * ((bin + 3) * 104729)) % 97 + 1 AS DOUBLE) AS rq FROM orders, bins),
 probs AS (SELECT k, id, year, time, y, bin, rp / sum(rp) OVER (PARTITION BY k) AS p, rq / sum(rq) OVER (PARTITION BY k) AS q,
   CASE WHEN y = bin THEN 1 ELSE 0 END AS label FROM raw)"""
