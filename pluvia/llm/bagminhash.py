@@ -9,7 +9,8 @@ similarity.  Points are generated in time order, and a process stops once it is
 Signatures are cut into bands.  Texts that share a band are candidates; their exact multiset similarity is
 computed, and verified pairs form the classes (connected components).
 
-No bucket is expanded into all pairs: each bucket tests its members against one leader, then those outside the
+No bucket is expanded into all pairs.  Texts with too many shingles of their own to reach the similarity with
+any other leave first (this loses nothing and takes out those that only share a passage).  Each bucket then tests its members against one leader, then those outside the
 leader's class against 4, 16 … leaders, until all members of the bucket are of one class or have been leaders.
 A group of thousands of near copies is done after the first leader.  Exact copies are one text from the start.
 
@@ -25,7 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ._store import pin
@@ -122,11 +123,15 @@ def shingle_sets(texts: DataFrame) -> DataFrame:
     return texts.select("tid", "text").mapInArrow(run, "tid binary, items array<long>")
 
 
-def components(edges: DataFrame, label: str = "components") -> DataFrame:
+def components(edges: DataFrame, label: str = "components", small: int = 200_000) -> DataFrame:
     """Undirected edges (a, b) -> node, comp (least node of the component).
 
-    Every node takes the least label among its own and its neighbours', then follows that label's own label
+    A graph of at most ``small`` edges, which is counted first, is one task's union-find.  In a larger one every
+    node takes the least label among its own and its neighbours', then follows that label's own label
     (pointer jumping), until nothing changes; each round is written to the shared folder."""
+    if edges.count() <= small:
+        kind = edges.schema["a"].dataType.simpleString()
+        return pin(edges.select("a", "b").coalesce(1).mapInArrow(_union_find, f"node {kind}, comp {kind}"), label)
     both = pin(edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), label)
     state = pin(both.groupBy("a").agg(F.min("b").alias("low")).select(F.col("a").alias("node"), F.least("a", "low").alias("comp")), label)
     while True:
@@ -139,6 +144,30 @@ def components(edges: DataFrame, label: str = "components") -> DataFrame:
             return state
 
 
+def _union_find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    root: dict = {}
+
+    def find(x):
+        top = x
+        while root[top] != top:
+            top = root[top]
+        while root[x] != top:
+            root[x], x = top, root[x]
+        return top
+
+    kind = None
+    for batch in batches:
+        kind = batch.schema.field("a").type
+        for x, y in zip(batch.column("a").to_pylist(), batch.column("b").to_pylist(), strict=True):
+            root.setdefault(x, x)
+            root.setdefault(y, y)
+            lo, hi = sorted((find(x), find(y)))
+            root[hi] = lo
+    if root:
+        nodes = list(root)
+        yield pa.RecordBatch.from_arrays([pa.array(nodes, kind), pa.array([find(x) for x in nodes], kind)], ["node", "comp"])
+
+
 def verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
     """Pairs (a, b) whose exact multiset Jaccard similarity reaches ``similarity``."""
     left = sets.select(F.col("tid").alias("a"), F.col("items").alias("x"))
@@ -152,6 +181,13 @@ def verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
     )
 
 
+def own_items(sets: DataFrame) -> DataFrame:
+    """tid, own: how many items of a text no other text has (texts without such items are left out)."""
+    items = sets.select(F.explode("items").alias("item"), "tid")
+    alone = items.groupBy("item").agg(F.count("*").alias("n"), F.min("tid").alias("tid")).filter("n = 1")
+    return alone.groupBy("tid").agg(F.count("*").alias("own"))
+
+
 def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, doc_id: str = "doc_id", text: str = "text", salts: int = 16) -> DataFrame:
     """One row per document: doc_id, tid (of its text), class_id, copy_of (least doc_id with the same text),
     links (leaders and members that the document's text was verified against)."""
@@ -164,26 +200,39 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, doc_id: str
     wanted = members.select("tid").distinct()
     body = texts.withColumn("tid", F.coalesce(F.unhex(F.md5(F.encode("text", "UTF-8"))), F.lit(b"")))
     sets = pin(shingle_sets(body.join(wanted, "tid", "left_semi").dropDuplicates(["tid"])), "bagminhash-sets")
+    # A text of whose items more than 1 - similarity are its own is similar to no other text.  Those left are led
+    # by the texts with the fewest items of their own, which are the most central ones.
+    members = (
+        members.join(own_items(sets), "tid", "left").withColumn("own", F.coalesce("own", F.lit(0)))
+        .filter(F.col("n") - F.col("own") >= similarity * F.col("n") - 1e-9)
+    )
+    shared = members.groupBy("key").count().filter("count > 1").select("key")
+    members = pin(members.join(shared, "key"), "bagminhash-members")
 
     edges = comp = None
     leaders = 1
     while not members.isEmpty():
+        extra = [] if comp is None else [F.col("comp").alias("ca"), F.col("keys").alias("ka")]
         leader = (
-            members.withColumn("_r", F.row_number().over(_by_key()))
-            .filter(F.col("_r") <= leaders).select("key", F.col("tid").alias("a"), F.col("n").alias("na"), *([F.col("comp").alias("ca")] if comp is not None else []))
+            members.withColumn("_r", F.row_number().over(_by_key())).filter(F.col("_r") <= leaders)
+            .select("key", F.col("tid").alias("a"), F.col("n").alias("na"), F.col("own").alias("oa"), *extra)
+            .withColumn("last", F.max(F.struct("oa", "a")).over(Window.partitionBy("key")))
         )
-        pairs = members.join(leader, "key").filter((F.col("tid") != F.col("a")) & (F.least("n", "na") >= similarity * F.greatest("n", "na") - 1e-9))
-        if comp is not None:
-            pairs = pairs.filter("comp <> ca")
-        pairs = pairs.select(F.least("a", "tid").alias("a"), F.greatest("a", "tid").alias("b")).distinct()
+        # What two texts have in common is at most what the one with fewer shared items shares with any text.
+        most = F.least(F.col("n") - F.col("own"), F.col("na") - F.col("oa"))
+        once = (F.col("tid") < F.col("a")) | (F.struct(F.col("own").alias("oa"), F.col("tid").alias("a")) > F.col("last"))  # for two leaders
+        fits = (F.col("tid") != F.col("a")) & once & (most >= similarity * (F.col("n") + F.col("na") - most) - 1e-9)
+        if comp is not None:  # other classes only, and each pair in the first bucket that both are in
+            fits = fits & (F.col("comp") != F.col("ca")) & (F.col("key") == F.get(F.array_intersect("keys", "ka"), F.lit(0)))
+        pairs = members.join(leader, "key").filter(fits).select(F.least("a", "tid").alias("a"), F.greatest("a", "tid").alias("b")).distinct()
         found = pin(verified(pairs, sets, similarity), "bagminhash-edges")
         edges = found if edges is None else edges.unionByName(found)
         comp = components(edges, "bagminhash-components")
         # Those that were leaders have met all members; the others go on where the bucket has several classes.
-        rest = members.join(leader.select("key", F.col("a").alias("tid")), ["key", "tid"], "left_anti").select("key", "tid", "n")
+        rest = members.join(leader.select("key", F.col("a").alias("tid")), ["key", "tid"], "left_anti").select("key", "tid", "n", "own")
         rest = rest.join(comp.withColumnRenamed("node", "tid"), "tid", "left").withColumn("comp", F.coalesce("comp", "tid"))
         several = rest.groupBy("key").agg(F.min("comp").alias("_lo"), F.max("comp").alias("_hi")).filter("_lo <> _hi").select("key")
-        members = pin(rest.join(several, "key"), "bagminhash-members")
+        members = pin(rest.join(several, "key").join(nodes.select("tid", "keys"), "tid"), "bagminhash-members")
         leaders *= 4
 
     if edges is None:
@@ -205,9 +254,7 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, doc_id: str
 
 
 def _by_key():
-    from pyspark.sql import Window
-
-    return Window.partitionBy("key").orderBy("tid")
+    return Window.partitionBy("key").orderBy("own", "tid")
 
 
 def one_of_each(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:

@@ -28,7 +28,32 @@ QUERIES = {
 
 _GAP = "[\\x20\\x09-\\x0D]+"
 
+_TAGS = "address|article|aside|blockquote|body|br|dd|div|dl|dt|footer|form|h[1-6]|head|header|hr|html|li|main|nav|ol|option|p|pre|section|table|td|th|title|tr|ul"
+
 ORACLES = {
+    "op4_warc_revisit": """
+with p as (select page_id, octet_length(encode(coalesce(html, ''))) as payload_bytes, sha1(coalesce(html, '')) as h from pages),
+d as (select page_id, payload_bytes, list_aggregate(list_transform(range(0, 32), lambda i:
+    substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + ((('0x' || substr(h, 1 + 5 * (i // 4)::int, 5))::int >> (15 - 5 * (i % 4))::int) & 31), 1)), 'string_agg', '') as payload_digest from p)
+select page_id, payload_bytes::bigint as payload_bytes, payload_digest,
+  case when page_id = max(page_id) over g then 'response' else 'revisit' end as record_type,
+  case when page_id <> max(page_id) over g then max(page_id) over g end as refers_to
+from d window g as (partition by payload_digest)
+""",
+    "op9_site_lines": rf"""
+with t as (select page_id, nullif(lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/:?#]+)', 1)), '') as host,
+  regexp_replace(regexp_replace(regexp_replace(html, '(?is)<script[ >].*?</script *>|<style[ >].*?</style *>|<!--.*?-->', '', 'g'),
+    '(?i)</?(?:{_TAGS})(?:[ \t\r\n/][^>]*)?>', chr(10), 'g'), '<[^>]*>', '', 'g') as text from pages),
+u as (select page_id, host, replace(replace(replace(replace(replace(replace(text, '&nbsp;', ' '), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', chr(39)), '&amp;', '&') as text from t),
+v as (select page_id, host, trim(regexp_replace(regexp_replace(text, '[ \t\x0B\f]+', ' ', 'g'), ' ?[\r\n]+[ \r\n]*', chr(10), 'g'), ' ') as text from u),
+l as (select page_id, host, i, line from (select page_id, host, unnest(range(1, len(a) + 1)) as i, unnest(a) as line from (select page_id, host, string_split(text, chr(10)) as a from v)) where line <> ''),
+s as (select host, count(*) as host_pages from t where host is not null group by host having count(*) >= 5),
+f as (select host, line from (select host, line, count(distinct page_id) as n from l group by all) join s using (host) where n / host_pages > 0.3),
+k as (select l.page_id, count(*) as n_lines, count(f.line) as n_dropped, string_agg(l.line, chr(10) order by i) filter (f.line is null) as text
+  from l left join f on f.host = l.host and f.line = l.line group by l.page_id)
+select t.page_id, t.host, s.host_pages, coalesce(n_lines, 0)::bigint as n_lines, coalesce(n_dropped, 0)::bigint as n_dropped, coalesce(k.text, '') as text
+from t left join s on s.host = t.host left join k on k.page_id = t.page_id
+""",
     "op3_mix_sources": rf"""
 with docs as (
   select doc_id, source, coalesce(len(list_filter(regexp_split_to_array(text, '{_GAP}'), lambda x: x <> '')), 0)::bigint as size
