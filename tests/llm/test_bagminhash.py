@@ -3,6 +3,7 @@ import re
 from collections import Counter
 
 import numpy as np
+import pytest
 
 from pluvia.llm import bagminhash as B
 
@@ -87,7 +88,8 @@ def test_empty_and_null_ids(spark):
     assert sorted(r["class_id"] for r in got) == [7, 7, 7, 8]
 
 
-def test_components_of_a_path(spark):
+@pytest.mark.parametrize("small", [0, 1000])
+def test_components_of_a_path(spark, small):
     edges = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(100, 101)], "a long, b long")
-    got = {r["node"]: r["comp"] for r in B.components(edges).collect()}
+    got = {r["node"]: r["comp"] for r in B.components(edges, small=small).collect()}
     assert got == {**{i: 0 for i in range(41)}, 100: 100, 101: 100}
