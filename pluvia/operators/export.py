@@ -16,23 +16,20 @@ def summary(df: DataFrame, weeks: int) -> DataFrame:
     return df.select("id", F.date_format("time", "M/d/yy").alias("time"), *wide_bins(F.col("p"), names), *wide_bins(F.col("clim"), names, "clim_"))
 
 
-#: The chances from which a message names a week, a two-week span, or a three-week span.
-CASCADE = (0.70, 0.65, 0.60)
-
-
-def categorise(p: Column, weeks: int, cascade: tuple = CASCADE) -> Column:
-    """struct(category, first_week, last_week, chance): the shortest span whose best chance reaches its level; the
-    best week as category 0 if none does."""
-
-    def span(n: int) -> Column:
-        sums = [sum((F.get(p, F.lit(i + j)) for j in range(1, n)), F.get(p, F.lit(i))) for i in range(weeks - n + 1)]
-        best = F.greatest(*sums) if len(sums) > 1 else sums[0]
-        return F.struct(best.alias("chance"), F.array_position(F.array(*sums), best).cast("int").alias("first"))
-
-    pack = lambda c, s, n: F.struct(F.lit(c).alias("category"), s["first"].alias("first_week"), (s["first"] + n - 1).alias("last_week"), s["chance"].alias("chance"))
-    out = pack(0, span(1), 1)
-    for n in (3, 2, 1):
-        out = F.when(span(n)["chance"] >= cascade[n - 1], pack(n, span(n), n)).otherwise(out)
+#: Fixed values: (category, first week, last week, least chance) in the order of trial.
+SPANS = ((1, 1, 1, 0.70), (1, 1, 2, 0.70), (1, 2, 3, 0.65), (2, 2, 4, 0.65), (2, 3, 4, 0.60))
+
+
+def categorise(p: Column, spans: tuple = SPANS, weeks: int = 4) -> Column:
+    """struct(category, first_week, last_week, chance) of the first span that reaches its chance; else category 3
+    (uncertain) with the most likely week."""
+    pack = lambda c, first, last, chance: F.struct(F.lit(c).alias("category"), first.alias("first_week"), last.alias("last_week"), chance.alias("chance"))
+    head = F.slice(p, 1, weeks)
+    best = F.array_position(head, F.array_max(head)).cast("int")
+    out = pack(3, best, best, F.array_max(head))
+    for category, first, last, least in reversed(spans):
+        chance = sum((F.get(p, F.lit(w - 1)) for w in range(first + 1, last + 1)), F.get(p, F.lit(first - 1)))
+        out = F.when(chance >= least, pack(category, F.lit(first), F.lit(last), chance)).otherwise(out)
     return out
 
 
@@ -42,10 +39,10 @@ def week_dates(issue: Column, first: Column, last: Column) -> tuple[Column, Colu
 
 
 def message(district: Column, category: Column, chance: Column, start: Column, end: Column) -> Column:
+    """One text for each category; percents round half to even."""
     percent = F.bround(chance * 100).cast("int").cast("string")
-    when = F.concat(F.date_format(start, "MMM dd"), F.lit(" to "), F.date_format(end, "MMM dd"))
-    return F.when(category > 0, F.concat(district, F.lit(": season onset expected "), when, F.lit(" ("), percent, F.lit("%)"))).otherwise(
-        F.concat(district, F.lit(": onset uncertain; most likely "), when, F.lit(" ("), percent, F.lit("%)")))
+    lead = F.when(category == 1, ": season onset expected ").when(category == 2, ": season onset expected later, ").otherwise(": onset uncertain; most likely ")
+    return F.concat(district, lead, F.date_format(start, "MMM dd"), F.lit(" to "), F.date_format(end, "MMM dd"), F.lit(" ("), percent, F.lit("%)"))
 
 
 def day_label(year: Column, day_of_season: Column, start: str = "05-01") -> Column:

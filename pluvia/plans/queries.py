@@ -186,7 +186,7 @@ def dissemination_semi(spark, sf):
     return R.keep_units(T.table(spark, sf, "customer").withColumnRenamed("c_nationkey", "unit"), units, "unit").select(F.col("c_custkey").alias("id"), F.col("c_acctbal").alias("x"))
 
 
-_CELL_SQL = "cells AS (SELECT s_suppkey AS id, 5.0 + (s_suppkey % 30) AS lat, 65.0 + (s_suppkey * 7 % 30) AS lon, s_acctbal AS x FROM supplier)"
+_CELL_SQL = "cells AS (SELECT s_suppkey AS id, 5.0::DOUBLE + (s_suppkey % 30) AS lat, 65.0::DOUBLE + (s_suppkey * 7 % 30) AS lon, s_acctbal AS x FROM supplier)"
 
 
 def _cells(spark, sf):
@@ -367,7 +367,7 @@ def coverage_quantiles(spark, sf):
     return out.withColumns({c: F.round(c, 8) for c in ("min", "p05", "p25", "median", "p75", "p95", "max")})
 
 
-@query(f"WITH {_CELL_SQL}, t AS (SELECT n_nationkey AS t, 5.3 + n_nationkey AS lat, 65.4 + (n_nationkey * 11 % 30) AS lon FROM nation), d AS (SELECT c.id, t, (c.lat - t.lat) * (c.lat - t.lat) + (c.lon - t.lon) * (c.lon - t.lon) AS gap FROM cells c, t WHERE abs(floor(c.lat / 4) - floor(t.lat / 4)) <= 1 AND abs(floor(c.lon / 4) - floor(t.lon / 4)) <= 1) SELECT id, arg_min(t, gap * 1e6 + t) AS t, round(min(gap), 8) AS gap FROM d GROUP BY id")
+@query(f"WITH {_CELL_SQL}, t AS (SELECT n_nationkey AS t, 5.3::DOUBLE + n_nationkey AS lat, 65.4::DOUBLE + (n_nationkey * 11 % 30) AS lon FROM nation), d AS (SELECT c.id, t, (c.lat - t.lat) * (c.lat - t.lat) + (c.lon - t.lon) * (c.lon - t.lon) AS gap FROM cells c, t WHERE abs(floor(c.lat / 4) - floor(t.lat / 4)) <= 1 AND abs(floor(c.lon / 4) - floor(t.lon / 4)) <= 1) SELECT id, arg_min(t, gap * 1e6 + t) AS t, round(min(gap), 8) AS gap FROM d GROUP BY id")
 def nearest_cell(spark, sf):
     """Nearest target of each cell among those in neighbouring coarse cells."""
     n = F.col("n_nationkey")
@@ -604,16 +604,16 @@ def export_summary(spark, sf):
     return out.select("id", "time", F.round("week1", 6).alias("week1"), F.round("later", 6).alias("later"), F.round("clim_week2", 6).alias("clim_week2"))
 
 
-@query("""SELECT k, category, first_week, chance, message FROM (SELECT *, 'D' || id || CASE WHEN category > 0 THEN ': season onset expected ' ELSE ': onset uncertain; most likely ' END || strftime(t + ((first_week - 1) * 7 + 1)::INT, '%b %d') || ' to ' || strftime(t + (last_week * 7)::INT, '%b %d') || ' (' || CAST(round_even(chance * 100, 0) AS INT) || '%)' AS message FROM (
-SELECT *, CASE category WHEN 1 THEN f1 WHEN 2 THEN f2 WHEN 3 THEN f3 ELSE f1 END AS first_week, CASE category WHEN 2 THEN f2 + 1 WHEN 3 THEN f3 + 2 ELSE f1 END AS last_week, round(CASE category WHEN 2 THEN m2 WHEN 3 THEN m3 ELSE m1 END, 9) AS chance FROM (
-SELECT *, CASE WHEN m1 >= 0.70 THEN 1 WHEN m2 >= 0.65 THEN 2 WHEN m3 >= 0.60 THEN 3 ELSE 0 END AS category, list_position([a, b, c, d], m1) AS f1, list_position([a + b, b + c, c + d], m2) AS f2, list_position([a + b + c, b + c + d], m3) AS f3 FROM (
-SELECT *, greatest(a, b, c, d) AS m1, greatest(a + b, b + c, c + d) AS m2, greatest(a + b + c, b + c + d) AS m3 FROM (
-SELECT o_orderkey AS k, o_custkey % 25 AS id, CAST(o_orderdate AS DATE) AS t, (o_orderkey * 31 % 64) / 128.0 AS a, (o_orderkey * 17 % 32) / 128.0 AS b, (o_orderkey * 13 % 64) / 256.0 AS c, (o_orderkey * 7 % 16) / 128.0 AS d FROM orders)))))""")
+@query("""WITH o AS (SELECT o_orderkey AS k, o_custkey % 25 AS id, CAST(o_orderdate AS DATE) AS t, (o_orderkey * 31 % 64) / 128.0::DOUBLE AS a, (o_orderkey * 17 % 32) / 128.0::DOUBLE AS b, (o_orderkey * 13 % 64) / 256.0::DOUBLE AS c, (o_orderkey * 7 % 16) / 128.0::DOUBLE AS d FROM orders),
+r AS (SELECT *, CASE WHEN a >= 0.70 THEN 111 WHEN a + b >= 0.70 THEN 112 WHEN b + c >= 0.65 THEN 123 WHEN b + c + d >= 0.65 THEN 224 WHEN c + d >= 0.60 THEN 234 ELSE 300 + 11 * list_position([a, b, c, d], greatest(a, b, c, d)) END AS code FROM o),
+s AS (SELECT k, id, t, CAST(code // 100 AS INT) AS category, CAST(code // 10 % 10 AS INT) AS first_week, CAST(code % 10 AS INT) AS last_week, list_sum(list_slice([a, b, c, d], code // 10 % 10, code % 10)) AS chance FROM r)
+SELECT k, category, first_week, round(chance, 9) AS chance, 'D' || id || CASE category WHEN 1 THEN ': season onset expected ' WHEN 2 THEN ': season onset expected later, ' ELSE ': onset uncertain; most likely ' END
+  || strftime(t + ((first_week - 1) * 7 + 1), '%b %d') || ' to ' || strftime(t + last_week * 7, '%b %d') || ' (' || CAST(round_even(chance * 100, 0) AS INT) || '%)' AS message FROM s""")
 def categorise_onset(spark, sf):
     """Message category, dates and text."""
     k = F.col("o_orderkey")
     p = F.array((k * 31 % 64) / 128.0, (k * 17 % 32) / 128.0, (k * 13 % 64) / 256.0, (k * 7 % 16) / 128.0)
-    rows = T.table(spark, sf, "orders").select(k.alias("k"), (F.col("o_custkey") % 25).alias("id"), F.to_date("o_orderdate").alias("t"), p.alias("p")).withColumn("c", X.categorise(F.col("p"), 4))
+    rows = T.table(spark, sf, "orders").select(k.alias("k"), (F.col("o_custkey") % 25).alias("id"), F.to_date("o_orderdate").alias("t"), p.alias("p")).withColumn("c", X.categorise(F.col("p")))
     start, end = X.week_dates(F.col("t"), F.col("c.first_week"), F.col("c.last_week"))
     text = X.message(F.concat(F.lit("D"), F.col("id").cast("string")), F.col("c.category"), F.col("c.chance"), start, end)
     return rows.select("k", F.col("c.category").alias("category"), F.col("c.first_week").alias("first_week"), F.round("c.chance", 9).alias("chance"), text.alias("message"))
