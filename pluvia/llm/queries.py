@@ -39,6 +39,38 @@ select page_id, payload_bytes::bigint as payload_bytes, payload_digest,
   case when page_id = max(page_id) over g then 'response' else 'revisit' end as record_type,
   case when page_id <> max(page_id) over g then max(page_id) over g end as refers_to
 from d window g as (partition by payload_digest)
+""",
+    "op8_quality_divergence": rf"""
+with d as (select doc_id, text, case when lang is null then 'null' else '=' || lang end as key,
+    coalesce(list_filter(regexp_split_to_array(text, '{_GAP}'), lambda w: w <> ''), []::varchar[]) as words from documents),
+own as (select key from d group by key having count(*) >= 20 order by count(*) desc, key limit 512),
+r as (select d.*, case when own.key is null then '*' else d.key end as ref from d left join own using (key)),
+m as (select doc_id, key, ref, len(words)::bigint as n_words, length(array_to_string(words, ''))::bigint as word_chars,
+    coalesce(length(regexp_replace(text, '[^#*$%&|<>]+', '', 'g')), 0)::bigint as n_symbols,
+    coalesce(len(lines) - len(list_distinct(lines)), 0)::bigint as n_dup_lines,
+    coalesce(length(regexp_replace(text, '[^\p{{Ll}}]+', '', 'g')), 0) as lo, coalesce(length(regexp_replace(text, '[^\p{{Lu}}]+', '', 'g')), 0) as up,
+    coalesce(length(regexp_replace(text, '[^\p{{Nd}}]+', '', 'g')), 0) as di, coalesce(length(regexp_replace(text, '[^.,;:!?''"()-]+', '', 'g')), 0) as pu
+  from (select *, list_filter(string_split(text, chr(10)), lambda l: regexp_matches(l, '[^\x20\x09-\x0D]')) as lines from r)),
+w as (select doc_id, key, ref, unnest(range(1, len(words) + 1)) as i, unnest(words) as word from r),
+t as (select *, case when lead(word, 2) over o is not null then word || chr(1) || lead(word) over o || chr(1) || lead(word, 2) over o end as tri from w window o as (partition by doc_id order by i)),
+s as (select doc_id, i, case when tri is not null and count(*) over (partition by doc_id, tri) > 1 then 1 else 0 end as again from t),
+rep as (select doc_id, sum(c)::bigint as n_repeat_words from (select doc_id, max(again) over (partition by doc_id order by i rows between 2 preceding and current row) as c from s) group by doc_id),
+cnt as (select key, lower(word) as word, count(*) as n from w group by all),
+every as (select key, word, n from cnt semi join own using (key) union all select '*', word, sum(n)::bigint from cnt group by word),
+top as (select * from (select *, row_number() over (partition by key order by n desc, word) as rk, sum(n) over (partition by key) as all_words from every) where rk <= 12),
+cls as (select doc_id, key, ref, unnest(['lo', 'up', 'di', 'pu', 'sy', 'ot']) as c, unnest([lo, up, di, pu, n_symbols, word_chars - lo - up - di - pu - n_symbols]) as x from m),
+refc as (select key, c, sum(x) as y from cls group by all union all select '*', c, sum(x) from cls group by c),
+docw as (select m.doc_id, m.ref, top.rk, top.n as y, (select count(*) from w where w.doc_id = m.doc_id and lower(w.word) = top.word) as x from m join top on top.key = m.ref),
+hw as (select doc_id, x, y from docw union all
+  select m.doc_id, m.n_words - coalesce(sum(docw.x), 0), any_value(a.all_words) - sum(docw.y) from m join docw using (doc_id) join (select distinct key, all_words from top) a on a.key = m.ref group by m.doc_id, m.n_words),
+hc as (select cls.doc_id, x, y from cls join refc on refc.key = cls.ref and refc.c = cls.c),
+js as (select 'w' as k, doc_id, x / greatest(sum(x) over (partition by doc_id), 1) as p, y / greatest(sum(y) over (partition by doc_id), 1) as q from hw union all
+  select 'c', doc_id, x / greatest(sum(x) over (partition by doc_id), 1), y / greatest(sum(y) over (partition by doc_id), 1) from hc),
+dist as (select doc_id, k, sqrt(greatest(sum(case when p > 0 then p * log2(2 * p / (p + q)) else 0 end + case when q > 0 then q * log2(2 * q / (p + q)) else 0 end) / 2, 0)) as v from js group by all)
+select m.doc_id, n_words, word_chars, n_symbols, n_dup_lines, coalesce(n_repeat_words, 0)::bigint as n_repeat_words, base_failed,
+  not base_failed and (word_chars < 200 or c.v <= 0.3) and (n_words < 100 or w.v <= 0.3) as kept, round(c.v, 6) as class_distance, round(w.v, 6) as word_distance
+from (select *, n_words < 50 or 100 * coalesce(n_repeat_words, 0) > 50 * n_words as base_failed from m left join rep using (doc_id)) m
+join dist c on c.doc_id = m.doc_id and c.k = 'c' join dist w on w.doc_id = m.doc_id and w.k = 'w'
 """,
     "op9_site_lines": rf"""
 with t as (select page_id, nullif(lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/:?#]+)', 1)), '') as host,
