@@ -39,6 +39,20 @@ select page_id, payload_bytes::bigint as payload_bytes, payload_digest,
   case when page_id = max(page_id) over g then 'response' else 'revisit' end as record_type,
   case when page_id <> max(page_id) over g then max(page_id) over g end as refers_to
 from d window g as (partition by payload_digest)
+""",
+    "op6_simhash_windows": r"""
+with cut as (select doc_id, list_filter(regexp_split_to_array(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D!-/:-@\[-`{-~]+'), lambda w: w <> '') as a from documents),
+icut as (select item_id, list_filter(regexp_split_to_array(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D!-/:-@\[-`{-~]+'), lambda w: w <> '') as a from benchmark),
+ds as (select doc_id, p, array_to_string(a[p + 1 : p + 5], ' ') as s from (select doc_id, a, unnest(range(0, len(a) - 4)) as p from cut where len(a) >= 5)),
+its as (select item_id, array_to_string(a[p + 1 : p + 5], ' ') as s from (select item_id, a, unnest(range(0, len(a) - 4)) as p from icut where len(a) >= 5)),
+size as (select item_id, count(*) as m from its group by item_id), len as (select doc_id, count(*) as n from ds group by doc_id),
+pair as (select doc_id, item_id, min(p) as lo, max(p) as hi from ds join (select distinct item_id, s from its) using (s) group by all),
+win as (select doc_id, item_id, least(m, n) as w, m, unnest(range(greatest(0, lo - m + 1), least(n - least(m, n), hi) + 1)) as start from pair join size using (item_id) join len using (doc_id)),
+got as (select win.doc_id, win.item_id, w, m, start, s, count(*) as c from win join ds on ds.doc_id = win.doc_id and ds.p >= start and ds.p < start + w group by all),
+want as (select item_id, s, count(*) as c from its group by all),
+alike as (select doc_id, item_id, w, start, sum(least(got.c, want.c)) / (any_value(w) + any_value(m) - sum(least(got.c, want.c))) as similarity from got join want using (item_id, s) group by doc_id, item_id, w, start)
+select doc_id, item_id, similarity::double as similarity, start::bigint as first_word, (w + 4)::bigint as words
+from (select *, row_number() over (partition by doc_id, item_id order by similarity desc, start) as r from alike where similarity >= 0.8) where r = 1
 """,
     "op8_quality_divergence": rf"""
 with d as (select doc_id, text, case when lang is null then 'null' else '=' || lang end as key,
