@@ -2,7 +2,7 @@
 
 Words are maximal runs without separators, with A-Z in lower case.  A word's hash is a polynomial of its bytes
 modulo 2^64, mixed; two different words agree with a chance of about 2^-64.  Buffers are taken in pieces of a
-few MB cut between words, so memory does not grow with a text's length.
+MB cut between words, so memory does not grow with a text's length.
 """
 
 from __future__ import annotations
@@ -12,7 +12,7 @@ import pyarrow as pa
 
 SPACE = b" \t\n\x0b\x0c\r"
 PUNCTUATION = bytes(c for c in range(33, 127) if not chr(c).isalnum())
-_MULTIPLIER, _PIECE = 0x9E3779B97F4A7C15, 4 << 20
+_MULTIPLIER, _PIECE = 0x9E3779B97F4A7C15, 1 << 20
 
 
 def mix(x: np.ndarray) -> np.ndarray:

@@ -34,6 +34,8 @@ from ._words import mix, shingles, slices, word_hashes
 
 BANDS, ROWS, WIDTH, SIMILARITY = 36, 7, 5, 0.8
 _UNIT = 1.0 / (1 << 53)
+#: Words that a task works on at a time.
+_AT_ONCE = 250_000
 
 
 def weighted(items: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -89,11 +91,10 @@ def sign(texts: DataFrame, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             hashes, offsets = word_hashes(batch.column("text"))
-            items, at = shingles(hashes, offsets, WIDTH)
-            for i, j in slices(at, 500_000):
-                triple = weighted(items[at[i] : at[j]], at[i : j + 1] - at[i])
-                value = signatures(*triple, j - i, bands * rows)
-                n = np.diff(at[i : j + 1])
+            for i, j in slices(offsets, _AT_ONCE):
+                items, at = shingles(hashes[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i], WIDTH)
+                value = signatures(*weighted(items, at), j - i, bands * rows)
+                n = np.diff(at)
                 full = n > 0
                 ends = np.concatenate([[0], np.cumsum(full * bands)])
                 part = batch.slice(i, j - i)
@@ -112,13 +113,13 @@ def shingle_sets(texts: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             hashes, offsets = word_hashes(batch.column("text"))
-            items, at = shingles(hashes, offsets, WIDTH)
-            for i, j in slices(at, 500_000):
-                _, item, weight = weighted(items[at[i] : at[j]], at[i : j + 1] - at[i])
+            for i, j in slices(offsets, _AT_ONCE):
+                items, at = shingles(hashes[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i], WIDTH)
+                _, item, weight = weighted(items, at)
                 first = np.repeat(np.cumsum(weight) - weight, weight)
                 nth = (np.arange(len(first)) - first).astype(np.uint64)
                 flat = mix(np.repeat(item, weight) + nth * np.uint64(0x9E3779B97F4A7C15)).astype(np.int64)
-                yield pa.RecordBatch.from_arrays([batch.slice(i, j - i).column("tid"), _lists(flat, at[i : j + 1] - at[i])], ["tid", "items"])
+                yield pa.RecordBatch.from_arrays([batch.slice(i, j - i).column("tid"), _lists(flat, at)], ["tid", "items"])
 
     return texts.select("tid", "text").mapInArrow(run, "tid binary, items array<long>")
 
