@@ -79,6 +79,11 @@ def linear_probs(terms: list[Column], coefficients: list[list[float]], intercept
     return softmax(F.array(*[sum((t * float(c) for t, c in zip(terms, row, strict=True)), F.lit(float(b))) for row, b in zip(coefficients, intercepts, strict=True)]))
 
 
+def fold_years(df: DataFrame, true_holdout: set[int] = frozenset(), year: str = "year") -> list[int]:
+    """Years of the table that get a fold: all but those that the training rule leaves out."""
+    return sorted(r[0] for r in df.select(year).distinct().collect() if r[0] is not None and r[0] not in {-1, *true_holdout})
+
+
 def cross_validate(df: DataFrame, names: list[str], label: str, years: list[int], true_holdout: set[int] = frozenset(), year: str = "year") -> DataFrame:
     """Leave-one-year-out predictions: each year is predicted from all others but the true holdouts."""
     df = df.cache()

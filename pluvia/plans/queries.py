@@ -638,7 +638,8 @@ def _blend(spark, sf):
 def multinom_cv(spark, sf):
     """K-7, K-8, K-11: leave-one-year-out multinomial predictions."""
     rows, names = L.design(_blend(spark, sf), L.expand_formula("a_qx * rain", 2))
-    return L.cross_validate(rows.drop("p", "q"), names, "label", [1996, 1997, 1998]).select("k", "year", "label", F.posexplode("p").alias("bin", "prob"))
+    rows = rows.drop("p", "q")
+    return L.cross_validate(rows, names, "label", L.fold_years(rows)).select("k", "year", "label", F.posexplode("p").alias("bin", "prob"))
 
 
 @query()

@@ -12,6 +12,8 @@ from pluvia.operators import models as L
 from pluvia.operators import regrid as G
 from pluvia.operators import relations as R
 from pluvia.operators.onset import OnsetRule
+from pluvia.plans import queries as Q
+from pluvia.plans import tables as T
 from pluvia.sources import files
 from pluvia.streaming import forecasts
 
@@ -79,6 +81,12 @@ def test_multinomial_equals_newton(spark):
     assert np.abs(np.array([r["p"] for r in out[:-1]]) - p).max() < 1e-3
 
 
+def test_every_year_is_predicted(spark, sf):
+    got = {(r["k"], r["bin"]): r["year"] for r in Q.multinom_cv(spark, sf).select("k", "bin", "year").collect()}
+    years = {r["k"]: r["year"] for r in T.probabilities(spark, sf).select("k", "year").collect()}
+    assert got == {(k, b): y for k, y in years.items() for b in range(T.BINS)}
+
+
 def test_platt_and_fallback(spark):
     rnd = np.random.default_rng(1)
     score = rnd.uniform(size=600).round(3)
