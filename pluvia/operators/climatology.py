@@ -17,19 +17,30 @@ def leave_one_out(samples: DataFrame, test_years: DataFrame | None = None) -> Da
     return samples.join(F.broadcast(listed)).select("id", "year", "onset_day", F.explode("_years").alias("test_year")).filter("year <> test_year").drop("year")
 
 
+def equal_samples(samples: DataFrame, keys: list[str], x: str = "onset_day") -> DataFrame:
+    """keys -> n, least and largest value, and the distinct values with their numbers of samples."""
+    counted = samples.filter(F.col(x).isNotNull()).groupBy(*keys, F.col(x).cast("double").alias("_v")).agg(F.count(F.lit(1)).alias("_c"))
+    return counted.groupBy(*keys).agg(
+        F.sum("_c").alias("n"), F.min("_v").alias("_min"), F.max("_v").alias("_max"), F.collect_list(F.struct(F.col("_v").alias("x"), F.col("_c").alias("n"))).alias("_x"))
+
+
 def fit_kde(samples: DataFrame, keys: list[str], x: str = "onset_day", grid: int = GRID, min_samples: int = MIN_SAMPLES) -> DataFrame:
     """keys -> n, lo, step, cdf: Gaussian kernels of Scott's width on ``grid`` points from three widths below the
-    least to three above the largest sample.  Groups that are too small or constant are left out."""
-    stats = samples.filter(F.col(x).isNotNull()).groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("n"), F.stddev_samp(x).alias("_sd"), F.min(x).cast("double").alias("_min"), F.max(x).cast("double").alias("_max"),
-        F.collect_list(F.col(x).cast("double")).alias("_x"))
+    least to three above the largest sample.  Equal samples are one kernel with their number as weight, so a group
+    holds distinct values.  Groups that are too small or constant are left out."""
+    weighted = lambda f: F.aggregate("_x", F.lit(0.0), lambda s, v: s + v["n"] * f(v["x"]))
+    stats = (
+        equal_samples(samples, keys, x)
+        .withColumn("_mean", weighted(lambda v: v) / F.col("n"))
+        .withColumn("_sd", F.when(F.col("n") > 1, F.sqrt(weighted(lambda v: (v - F.col("_mean")) * (v - F.col("_mean"))) / (F.col("n") - 1))))
+    )
     bw = F.col("_sd") * F.pow(F.col("n"), F.lit(-0.2))
     low = F.col("_min") - 3 * bw
     step = (F.col("_max") + 3 * bw - low) / (grid - 1)
 
     def table(f: Column) -> Column:
         at = F.transform(F.sequence(F.lit(0), F.lit(grid - 1)), lambda i: f["lo"] + i * f["step"])
-        pdf = F.transform(at, lambda g: F.aggregate(f["x"], F.lit(0.0), lambda s, v: s + F.exp(-0.5 * (g - v) * (g - v) / (f["bw"] * f["bw"]))))
+        pdf = F.transform(at, lambda g: F.aggregate(f["x"], F.lit(0.0), lambda s, v: s + v["n"] * F.exp(-0.5 * (g - v["x"]) * (g - v["x"]) / (f["bw"] * f["bw"]))))
         start = F.struct(F.array().cast("array<double>").alias("a"), F.lit(0.0).alias("t"))
         return F.aggregate(pdf, start, lambda s, v: F.struct(F.array_append(s["a"], s["t"] + v).alias("a"), (s["t"] + v).alias("t")),
                            lambda s: F.transform(s["a"], lambda c: c / s["t"]))

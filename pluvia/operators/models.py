@@ -7,7 +7,6 @@ import re
 from functools import reduce
 
 import numpy as np
-import pandas as pd
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -111,27 +110,45 @@ def newton_1d(x: np.ndarray, y: np.ndarray, min_rows: int = 10, steps: int = 100
     return float(w[0]), float(w[1])
 
 
-def platt_weights(flat: DataFrame, keys: list[str], x: str = "score", y: str = "label") -> DataFrame:
-    """keys -> intercept, slope.  Rows are binned to distinct (x, y) with counts first, so a group stays small."""
+def platt_weights(flat: DataFrame, keys: list[str], x: str = "score", y: str = "label", n: str | None = None, min_rows: int = 10, steps: int = 100) -> DataFrame:
+    """keys -> intercept, slope; NULL with too few rows or one class.  ``n`` counts equal rows, if they are grouped.
 
-    def fit(rows: pd.DataFrame) -> pd.DataFrame:
-        n = rows["n"].to_numpy()
-        a, b = newton_1d(np.repeat(rows["x"].to_numpy(), n), np.repeat(rows["y"].to_numpy(), n))
-        return pd.DataFrame({**{k: rows[k][:1] for k in keys}, "intercept": [a], "slope": [b]})
-
-    kinds = dict(flat.dtypes)
-    counted = flat.groupBy(*keys, F.round(x, 6).alias("x"), F.col(y).alias("y")).agg(F.count(F.lit(1)).alias("n"))
-    schema = ", ".join([*[f"{k} {kinds[k]}" for k in keys], "intercept double, slope double"])
-    out = counted.groupBy(*keys).applyInPandas(fit, schema)
-    return out.withColumns({c: F.when(~F.isnan(c), F.col(c)) for c in ("intercept", "slope")})
+    The fits of :func:`newton_1d` for all groups at once: Spark sums each group's gradient and Hessian, so that no
+    task holds a group; the driver holds five sums and two weights a group."""
+    spark, kinds = flat.sparkSession, dict(flat.dtypes)
+    weight = F.lit(1) if n is None else F.col(n)
+    rows = flat.groupBy(*keys, F.col(x).cast("double").alias("_x"), F.col(y).cast("double").alias("_y")).agg(F.sum(weight).cast("double").alias("_n")).cache()
+    groups = rows.groupBy(*keys).agg(F.sum("_n").alias("_rows"), (F.min("_y") < F.max("_y")).alias("_both")).collect()
+    fits = {tuple(g[k] for k in keys): np.zeros(2) for g in groups if g["_rows"] >= min_rows and g["_both"]}
+    schema = ", ".join(f"{k} {kinds[k]}" for k in keys)
+    open_ = set(fits)
+    for _ in range(steps):
+        if not open_:
+            break
+        now = spark.createDataFrame([(*g, *map(float, fits[g])) for g in open_], f"{schema}, _a double, _b double")
+        on = reduce(lambda p, q: p & q, [rows[k].eqNullSafe(now[k]) for k in keys])
+        z = F.greatest(F.lit(-35.0), F.least(F.lit(35.0), F.col("_a") + F.col("_b") * F.col("_x")))
+        at = rows.join(F.broadcast(now), on).select(*[now[k] for k in keys], "_x", "_y", "_n", (1 / (1 + F.exp(-z))).alias("_p"))
+        e, h = F.col("_n") * (F.col("_p") - F.col("_y")), F.col("_n") * F.col("_p") * (1 - F.col("_p"))
+        sums = {"g0": e, "g1": e * F.col("_x"), "h00": h, "h01": h * F.col("_x"), "h11": h * F.col("_x") * F.col("_x")}
+        for r in at.groupBy(*keys).agg(*[F.sum(v).alias(f"_{k}") for k, v in sums.items()]).collect():
+            g = tuple(r[k] for k in keys)
+            step = np.linalg.solve(np.array([[r["_h00"], r["_h01"]], [r["_h01"], r["_h11"]]]) + 1e-9 * np.eye(2), np.array([r["_g0"], r["_g1"]]))
+            fits[g] = fits[g] - step
+            if np.abs(step).max() < 1e-10:
+                open_.discard(g)
+    rows.unpersist()
+    every = [tuple(g[k] for k in keys) for g in groups]
+    return spark.createDataFrame([(*g, *(map(float, fits[g]) if g in fits else (None, None))) for g in every], f"{schema}, intercept double, slope double")
 
 
 def platt_cross_validate(flat: DataFrame, years: list[int]) -> DataFrame:
     """bin, year, score, label -> adds ``calibrated``: each year by the fit of all others on the raw score."""
     spark = flat.sparkSession
     tests = spark.createDataFrame([(y,) for y in years], "test_year int")
-    train = flat.join(F.broadcast(tests), F.col("year") != F.col("test_year"))
-    fits = platt_weights(train, ["test_year", "bin"]).withColumnRenamed("test_year", "year")
+    counted = flat.groupBy("year", "bin", "score", "label").agg(F.count(F.lit(1)).alias("n"))
+    train = counted.join(F.broadcast(tests), F.col("year") != F.col("test_year"))
+    fits = platt_weights(train, ["test_year", "bin"], n="n").withColumnRenamed("test_year", "year")
     z = F.col("intercept") + F.col("slope") * F.col("score")
     return flat.join(F.broadcast(fits), ["year", "bin"], "left").withColumn("calibrated", F.when(F.col("slope").isNull(), F.col("score")).otherwise(1 / (1 + F.exp(-z)))).drop("intercept", "slope")
 

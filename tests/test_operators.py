@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from pluvia.functions import arrays as A
 from pluvia.functions import ids as I
+from pluvia.operators import climatology as C
 from pluvia.operators import export as X
 from pluvia.operators import metrics as M
 from pluvia.operators import models as L
@@ -100,6 +101,31 @@ def test_platt_and_fallback(spark):
     assert all(abs(v - full) < 0.1 for v in near)
 
 
+def test_platt_counts_rows_and_keeps_scores(spark):
+    rng = np.random.default_rng(3)
+    x = 0.5 + rng.random(60) * 1e-6  # distinct only beyond six digits
+    rows = [(1, float(v), int(rng.random() < (0.2 if v < 0.5000005 else 0.8))) for v in x]
+    lots = [(2, v, y, 100_000_000) for v, y in ((0.2, 0), (0.2, 1), (0.7, 1))]  # too many rows for one task
+    first = L.platt_weights(spark.createDataFrame(rows, "g int, score double, label int"), ["g"]).first()
+    a, b = L.newton_1d(np.array([r[1] for r in rows]), np.array([r[2] for r in rows]))
+    p = [1 / (1 + np.exp(-(i + s * 0.5000009))) for i, s in ((a, b), (first["intercept"], first["slope"]))]
+    assert p[0] == pytest.approx(p[1], abs=1e-3)
+    got = L.platt_weights(spark.createDataFrame(lots, "g int, score double, label int, n long"), ["g"], n="n").first()
+    assert got["intercept"] + got["slope"] * 0.2 == pytest.approx(0, abs=1e-6)
+
+
+def test_kernels_are_weighted_by_equal_samples(spark):
+    days = [3] * 4 + [9] * 7 + [20]
+    df = spark.createDataFrame([(1, d) for d in days], "id int, onset_day int")
+    fit = C.fit_kde(df, ["id"])
+    r = fit.first()
+    bw = np.std(days, ddof=1) * len(days) ** -0.2
+    at = np.linspace(3 - 3 * bw, 20 + 3 * bw, C.GRID)
+    pdf = np.exp(-0.5 * ((at[:, None] - np.array(days)) / bw) ** 2).sum(axis=1)
+    assert r["n"] == 12 and r["cdf"] == pytest.approx(np.cumsum(pdf) / pdf.sum())
+    assert C.equal_samples(df, ["id"]).select(F.size("_x")).first()[0] == 3
+
+
 def test_mixing_weights_find_the_better_model(spark):
     good, bad = [0.7, 0.2, 0.1], [0.1, 0.2, 0.7]
     table = spark.createDataFrame([(good, bad, 1)] * 7 + [(good, bad, 2)] * 2 + [(good, bad, 3)], "g array<double>, b array<double>, y int")
