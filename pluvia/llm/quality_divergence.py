@@ -5,8 +5,10 @@ distance, with references of its language that are computed from all documents.
 distance exceeds its threshold; histograms of few symbols are noisy, so each comparison has a minimum
 length below which it passes.  Everything is DataFrame and SQL functions.
 
-The references are a bounded table: the ``max_languages`` most frequent values of ``lang`` with at least
-``min_docs`` documents have their own; all other documents use the pooled reference of the whole corpus.
+Every value of ``lang`` has its own reference, a row of a table that is joined by language.  As with short
+documents, a comparison passes where the language's other documents have too few words or characters to be a
+reference.  The word threshold is calibrated per reference: where the common words weigh little, a text with none
+of them is near the reference, so the threshold is at most ``none_share`` of that text's distance.
 
 Defined cases: a null text has no words and fails the base rules; a null ``lang`` is a value like any
 other; repeated rows are judged separately; an empty table gives an empty result; other columns are
@@ -81,47 +83,39 @@ def measure(docs: DataFrame, text: str = "text") -> DataFrame:
 
 
 def language_key(lang: Column) -> Column:
-    """Distinguishes null from every value; "*" is the key of the pooled reference."""
+    """Distinguishes null from every value."""
     return F.when(lang.isNull(), "null").otherwise(F.concat(F.lit("="), lang))
 
 
-def common_words(docs: DataFrame, k: int, min_docs: int, max_languages: int) -> DataFrame:
+def common_words(docs: DataFrame, k: int) -> DataFrame:
     """key -> its k most frequent lower-case words with counts, and the number of all words."""
-    own = (
-        docs.groupBy("key").agg(F.count("*").alias("docs")).filter(F.col("docs") >= min_docs)
-        .orderBy(F.col("docs").desc(), "key").limit(max_languages).select("key")
-    )
     counts = pin(
         docs.select("key", F.explode(F.transform(words_of(F.col("text")), lambda w: F.lower(w))).alias("word"))
         .groupBy("key", "word").agg(F.count("*").alias("n")), "quality-words")
-    pooled = counts.groupBy("word").agg(F.sum("n").alias("n")).select(F.lit("*").alias("key"), "word", "n")
-    every = counts.join(F.broadcast(own), "key", "left_semi").unionByName(pooled)
     rank = F.row_number().over(Window.partitionBy("key").orderBy(F.col("n").desc(), "word"))
-    top = every.withColumn("r", rank).filter(F.col("r") <= k)
+    top = counts.withColumn("r", rank).filter(F.col("r") <= k)
     listed = top.groupBy("key").agg(F.sort_array(F.collect_list(F.struct("r", "word", "n"))).alias("_t"))
-    totals = every.groupBy("key").agg(F.sum("n").alias("all_words"))
+    totals = counts.groupBy("key").agg(F.sum("n").alias("all_words"))
     return listed.join(totals, "key").select("key", F.col("_t.word").alias("common"), F.col("_t.n").alias("common_n"), "all_words")
 
 
 def judge(
     docs: DataFrame, max_class_distance: float = 0.3, max_word_distance: float = 0.3, min_chars: int = 200,
-    min_words: int = 100, k: int = 12, min_docs: int = 20, max_languages: int = 512,
+    min_words: int = 100, k: int = 12, min_reference_words: int = 1000, min_reference_chars: int = 2000, none_share: float = 0.9,
 ) -> DataFrame:
-    """One row per document: the counts, both distances, base_failed and kept."""
+    """One row per document: the counts, both distances, base_failed and kept.
+
+    The joins by language have no broadcast hint: Spark sends small tables and sorts large ones, dividing a hot language."""
     source = docs.select("doc_id", "text", language_key(F.col("lang")).alias("key"))
-    common = pin(common_words(source, k, min_docs, max_languages), "quality-common")  # at most max_languages + 1 rows
-    own = F.broadcast(common.select("key", F.col("common").alias("_own")))
-    whole = common.filter("key = '*'").first()
-    pooled = F.array(*[F.lit(w) for w in (whole["common"] if whole else [])]).cast("array<string>")
+    common = pin(common_words(source, k), "quality-common")
     letters = F.array(*[F.lit(x) for x in MARKS[:k]])
     marks = F.array_join(F.transform(
         F.filter(F.transform("words", lambda w: F.array_position("_common", F.lower(w)).cast("int")), lambda i: i > 0),
         lambda i: F.get(letters, i - 1)), "")
     of_word = {f"w_{x}": (F.length("_marks") - F.length(F.replace("_marks", F.lit(x), F.lit("")))).cast("long") for x in MARKS[:k]}
     measured = (
-        measure(source.join(own, "key", "left"))
-        .withColumn("ref", F.when(F.col("_own").isNull(), "*").otherwise(F.col("key")))
-        .withColumn("_common", F.coalesce("_own", pooled))
+        measure(source.join(common.select("key", F.col("common").alias("_own")), "key", "left"))
+        .withColumn("_common", F.coalesce("_own", F.array().cast("array<string>")))
         .withColumn("_marks", marks)
         .withColumns(of_word)
         .withColumn("w_other", F.col("n_words") - F.length("_marks"))
@@ -129,20 +123,26 @@ def judge(
     )
     measured = pin(measured, "quality-measured")
     classes = [*[f"c_{n}" for n in CLASSES], "c_other"]
-    sums = [F.sum(c).alias(f"r{c}") for c in classes]
-    refs = measured.groupBy("key").agg(*sums).unionByName(measured.agg(*sums).withColumn("key", F.lit("*")))
-    ref = refs.join(F.broadcast(common), "key").withColumnRenamed("key", "ref")
     in_common = [F.coalesce(F.get("common_n", F.lit(i)), F.lit(0)) for i in range(k)]
     rest = F.col("all_words") - sum(in_common[1:], in_common[0])
+    none = js_distance([F.lit(0)] * k + [F.lit(1)], [*in_common, rest])
+    ref = (
+        measured.groupBy("key").agg(*[F.sum(c).alias(f"r{c}") for c in classes], F.sum("word_chars").alias("all_chars"))
+        .join(common, "key", "left").withColumn("all_words", F.coalesce("all_words", F.lit(0)))
+        .withColumn("word_limit", F.least(F.lit(max_word_distance), none_share * none))
+    )
+    ref = pin(ref, "quality-references")
     base_failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
+    few_chars = (F.col("word_chars") < min_chars) | (F.col("all_chars") - F.col("word_chars") < min_reference_chars)
+    few_words = (F.col("n_words") < min_words) | (F.col("all_words") - F.col("n_words") < min_reference_words)
     return (
-        measured.join(F.broadcast(ref), "ref", "left")
+        measured.join(ref.drop("common"), "key", "left")
         .withColumn("class_distance", js_distance([F.col(c) for c in classes], [F.col(f"r{c}") for c in classes]))
         .withColumn("word_distance", js_distance([*[F.col(f"w_{x}") for x in MARKS[:k]], F.col("w_other")], [*in_common, rest]))
         .withColumn("base_failed", base_failed)
         .withColumn("kept", ~F.col("base_failed")
-                    & ((F.col("word_chars") < min_chars) | (F.col("class_distance") <= max_class_distance))
-                    & ((F.col("n_words") < min_words) | (F.col("word_distance") <= max_word_distance)))
+                    & (few_chars | (F.col("class_distance") <= max_class_distance))
+                    & (few_words | (F.col("word_distance") <= F.col("word_limit"))))
         .select("doc_id", "n_words", "word_chars", F.col("c_symbol").alias("n_symbols"), "n_dup_lines", "n_repeat_words",
                 "base_failed", "kept", F.round("class_distance", 6).alias("class_distance"), F.round("word_distance", 6).alias("word_distance"))
     )

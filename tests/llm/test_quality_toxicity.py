@@ -42,6 +42,20 @@ def test_verdict_agrees_with_quality_labels(spark):
     assert share[1] > 0.98 and share[0] < 0.3
 
 
+def test_rare_language_has_its_own_reference(spark):
+    rnd = random.Random(5)
+    stem = lambda: "".join(rnd.choice("bcdfglmnprst") + rnd.choice("aeiou") for _ in range(3))
+    content = [stem() for _ in range(3000)]
+    text = lambda small, share: " ".join(rnd.choice(small) if rnd.random() < share else rnd.choice(content) for _ in range(300))
+    main, own = [f"m{c}" for c in "abcdefghijkl"], [f"q{c}" for c in "abcdefghijkl"]
+    rows = [(k, text(main, 0.17), "main") for k in range(200)]  # more than twenty, light common words
+    rows += [(1000 + k, text(own, 0.4), "rare") for k in range(8)] + [(2000, text(own, 0), "rare"), (2001, text(main, 0), "main")]
+    rows += [(3000, text(own, 0.4), "one")]  # no reference but itself
+    kept = {r["doc_id"]: r["kept"] for r in Q.judge(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()}
+    assert not kept[2000] and not kept[2001] and kept[3000]
+    assert sum(kept[1000 + k] for k in range(8)) == 8 and sum(kept[k] for k in range(200)) >= 198
+
+
 def test_divergence_of_empty_table(spark):
     assert Q.judge(spark.createDataFrame([], "doc_id long, text string, lang string")).count() == 0
 
