@@ -11,16 +11,32 @@ def normal_id(x: Column) -> Column:
     return F.nullif(F.trim(x.cast("string")), F.lit(""))
 
 
-def format_coordinate(x: Column, digits: int, fixed: bool = False) -> Column:
-    """Rounded to ``digits``, with trailing zeros or trimmed; minus zero is zero."""
-    text = F.round(x, digits).cast(f"decimal(20,{digits})").cast("string")
+def round_binary(x: Column, digits: int) -> Column:
+    """The decimal of up to six ``digits`` next to the double's binary value, ties to even, as Python's round."""
+    size = F.abs(x.cast("double"))
+    scaled = (size - F.floor(size)) * float(1 << 60)  # exact: a power of two
+    units, one = F.floor(scaled), F.lit(1 << 60).cast("decimal(38,0)")
+    more = (units.cast("decimal(20,0)") * F.lit(10**digits).cast("decimal(7,0)")).cast("decimal(38,0)")
+    left = more % one
+    down = ((more - left) / one).cast("long")
+    half = F.lit(1 << 59).cast("decimal(38,0)")
+    up = (left > half) | ((left == half) & ((scaled > units.cast("double")) | (down % 2 == 1) if digits else (scaled > units.cast("double")) | (F.floor(size) % 2 == 1)))
+    n = F.floor(size) * 10**digits + down + up.cast("long")
+    whole = F.when(x < 0, -n).otherwise(n)
+    return (whole.cast("decimal(20,0)") * F.lit(10.0**-digits).cast(f"decimal(7,{digits})")).cast(f"decimal(20,{digits})")
+
+
+def format_coordinate(x: Column, digits: int, fixed: bool = False, half_even: bool = False) -> Column:
+    """Rounded to ``digits``, with trailing zeros or trimmed; minus zero is zero.  ``half_even`` rounds as the reference."""
+    rounded = round_binary(x, digits) if half_even else F.round(x, digits).cast(f"decimal(20,{digits})")
+    text = rounded.cast("string")
     if not fixed and digits:
         text = F.regexp_replace(F.regexp_replace(text, "0+$", ""), "\\.$", "")
     return F.when(text.rlike("^-0(\\.0*)?$"), F.substring(text, 2, 40)).otherwise(text)
 
 
-def grid_id(lat: Column, lon: Column, digits: int = 2, fixed: bool = False) -> Column:
-    return F.concat_ws("_", format_coordinate(lat, digits, fixed), format_coordinate(lon, digits, fixed))
+def grid_id(lat: Column, lon: Column, digits: int = 2, fixed: bool = False, half_even: bool = False) -> Column:
+    return F.concat_ws("_", format_coordinate(lat, digits, fixed, half_even), format_coordinate(lon, digits, fixed, half_even))
 
 
 def parse_grid_id(id_: Column) -> tuple[Column, Column]:

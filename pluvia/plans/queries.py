@@ -378,7 +378,14 @@ def nearest_cell(spark, sf):
 @query(f"WITH {_CELL_SQL} SELECT DISTINCT concat(printf('%.2f', lat + id % 8 * 0.125), '_', printf('%.2f', lon)) AS fixed, lon FROM cells WHERE id % 8 IN (0, 2, 4, 6)")
 def coordinate_ids(spark, sf):
     """Ids from coordinates and back."""
-    c = _cells(spark, sf).filter("id % 8 IN (0, 2, 4, 6)").withColumn("fixed", I.grid_id(F.col("lat") + F.col("id") % 8 * 0.125, F.col("lon"), 2, fixed=True))
+    c = _cells(spark, sf).filter("id % 8 IN (0, 2, 4, 6)").withColumn("fixed", I.grid_id(F.col("lat") + F.col("id") % 8 * 0.125, F.col("lon"), 2, fixed=True, half_even=True))
+    return c.select("fixed", I.parse_grid_id(F.col("fixed"))[1].alias("lon")).distinct()
+
+
+@query(f"WITH {_CELL_SQL} SELECT DISTINCT concat(printf('%.2f', lat + id % 8 * 0.125), '_', printf('%.2f', lon)) AS fixed, lon FROM cells")
+def coordinate_ids_all(spark, sf):
+    """Ids from all coordinates, rounding ties among them, and back."""
+    c = _cells(spark, sf).withColumn("fixed", I.grid_id(F.col("lat") + F.col("id") % 8 * 0.125, F.col("lon"), 2, fixed=True, half_even=True))
     return c.select("fixed", I.parse_grid_id(F.col("fixed"))[1].alias("lon")).distinct()
 
 

@@ -175,6 +175,13 @@ def test_ids(spark):
     assert value(spark, I.normal_id(F.lit("  "))) is None
 
 
+def test_ids_round_like_the_reference(spark):
+    xs = [5.125, 5.375, 5.625, 5.875, -5.125, 2.675, 1.005, 0.015, -0.001, 77.5, 179.995, 0.5, 1.5, 0.0]
+    for digits in (0, 1, 2, 3):
+        got = spark.createDataFrame([(x,) for x in xs], "x double").select("x", I.format_coordinate(F.col("x"), digits, True, half_even=True).alias("s")).collect()
+        assert {r["x"]: r["s"] for r in got} == {x: f"{round(x, digits) or 0.0:.{digits}f}" for x in xs}
+
+
 def test_messages(spark):
     span = lambda p: tuple(value(spark, X.categorise(lits(p))))[:3]
     chances = ([0.7, 0.1, 0.1, 0], [0.5, 0.25, 0, 0], [0.1, 0.5, 0.25, 0], [0.1, 0.25, 0.25, 0.25], [0, 0, 0.375, 0.25], [0.2, 0.1, 0.3, 0.1])
