@@ -129,6 +129,15 @@ def ensemble_rain_stats(spark, sf):
     return O.ensemble_stats(rows, ["id", "year", "issue", "lead"]).withColumns({c: F.round(c, 9) for c in ("rain_mean", "rain_sd")})
 
 
+@query(f"""WITH {T.FORECASTS} SELECT id, year, issue, CAST(d AS INT) AS lead, round(avg(v), 9) AS rain_mean, round(stddev_samp(v), 9) AS rain_sd, avg(CASE WHEN v > 1 THEN 1 ELSE 0 END) AS frac_raining
+FROM (SELECT *, CASE WHEN (d + number + id) % 4 <> 0 OR id % 50 <> 1 THEN x END AS v FROM forecasts) GROUP BY id, year, issue, d""")
+def ensemble_rain_stats_all(spark, sf):
+    """A1: as ensemble_rain_stats, of all leads."""
+    rows = T.forecasts(spark, sf).select("id", "year", "issue", "number", F.posexplode("rain").alias("lead", "x")).withColumn("lead", F.col("lead") + 1)
+    rows = rows.withColumn("x", F.when(((F.col("lead") + F.col("number") + F.col("id")) % 4 != 0) | (F.col("id") % 50 != 1), F.col("x")))
+    return O.ensemble_stats(rows, ["id", "year", "issue", "lead"]).withColumns({c: F.round(c, 9) for c in ("rain_mean", "rain_sd")})
+
+
 @query(f"WITH {T.SEASON} SELECT id, quantile_cont(roll, 0.9) AS threshold FROM (SELECT id, CASE WHEN count(x) OVER w = 3 THEN sum(x) OVER w END AS roll FROM holed WINDOW w AS (PARTITION BY id, year ORDER BY d ROWS BETWEEN CURRENT ROW AND 2 FOLLOWING)) GROUP BY id")
 def threshold_quantile(spark, sf):
     """Exact quantile of three-day sums per unit."""
@@ -215,6 +224,13 @@ def missing_policy_drop(spark, sf):
     return rows.groupBy("year").agg(F.count(F.lit(1)).alias("n"), F.sum("x").alias("total"))
 
 
+@query()
+def missing_policy_drop_all(spark, sf):
+    """Series with a missing day in the whole season go as a whole; here every series has one."""
+    rows = R.missing_policy(T.season(spark, sf, holes=True), "drop", ["id", "year"])
+    return rows.groupBy("year").agg(F.count(F.lit(1)).alias("n"), F.sum("x").alias("total"))
+
+
 @query(f"WITH {T.SEASON} SELECT year, count(*) AS n, avg(coalesce(x, 0)) AS mean FROM holed GROUP BY year")
 def missing_policy_zero(spark, sf):
     """F8: missing days are zero."""
@@ -332,6 +348,13 @@ def regrid_weighted_mean(spark, sf):
     return G.weighted_mean(cells, _weights(spark, sf), ["year", "d"]).withColumn("x", F.round("x", 8))
 
 
+@query(f"WITH {T.SEASON}, {_WEIGHTS_SQL} SELECT target_id, year, d, round(sum(weight * x) / nullif(sum(CASE WHEN x IS NOT NULL THEN weight ELSE 0 END), 0), 8) AS x FROM holed JOIN w ON source_id = id GROUP BY target_id, year, d")
+def regrid_weighted_mean_all(spark, sf):
+    """As regrid_weighted_mean, of all days."""
+    cells = T.season(spark, sf, holes=True).withColumnRenamed("id", "source_id")
+    return G.weighted_mean(cells, _weights(spark, sf), ["year", "d"]).withColumn("x", F.round("x", 8))
+
+
 @query(f"WITH {_WEIGHTS_SQL} SELECT source_id, target_id, round(weight / nullif(sum(weight) OVER (PARTITION BY target_id), 0), 9) AS weight FROM w")
 def weights_renormalise(spark, sf):
     """Weights that sum to one per target."""
@@ -408,6 +431,12 @@ def kde_cdf(spark, sf):
     return _kde(spark, sf).select("id", "n", F.posexplode("cdf").alias("i", "c")).filter("i % 51 = 0").withColumn("c", F.round("c", 8))
 
 
+@query(f"WITH {_KDE_SQL} SELECT id, n, i, round(c, 8) AS c FROM cdf")
+def kde_cdf_all(spark, sf):
+    """K-1, K-2: distribution function of each unit on its whole grid."""
+    return _kde(spark, sf).select("id", "n", F.posexplode("cdf").alias("i", "c")).withColumn("c", F.round("c", 8))
+
+
 _AT = "(SELECT id, t, CASE WHEN pos <= 0 THEN c0 WHEN pos >= 511 THEN c511 ELSE a + (pos - i) * (b - a) END AS f FROM (SELECT q.id, q.t, (q.t - x.lo) / x.step AS pos, x.i, x.c AS a, y.c AS b, first_value(x.c) OVER () AS z, l.c AS c0, h.c AS c511 FROM q JOIN cdf x ON x.id = q.id AND x.i = least(510, greatest(0, floor((q.t - x.lo) / x.step)::INT)) JOIN cdf y ON y.id = x.id AND y.i = x.i + 1 JOIN cdf l ON l.id = q.id AND l.i = 0 JOIN cdf h ON h.id = q.id AND h.i = 511))"
 _PREDICT = f"""q AS (SELECT DISTINCT id, unnest(range(20, 49)) AS t FROM st), pts AS {_AT},
 day AS (SELECT b.id, b.t - 20 AS k, greatest(0, b.f - a.f) AS p, z.f AS f0 FROM pts a JOIN pts b ON b.id = a.id AND b.t = a.t + 1 JOIN pts z ON z.id = a.id AND z.t = 20),
@@ -447,6 +476,13 @@ def kde_loyo(spark, sf):
     return fits.select("id", "test_year", "n", F.round(F.get("cdf", F.lit(128)), 8).alias("q"))
 
 
+@query()
+def kde_loyo_all(spark, sf):
+    """K-5: as kde_loyo, on the whole grid."""
+    fits = C.fit_kde(C.leave_one_out(T.onset_samples(spark, sf)), ["id", "test_year"])
+    return fits.select("id", "test_year", "n", F.posexplode("cdf").alias("i", "q")).withColumn("q", F.round("q", 8))
+
+
 # Features and scalar functions
 
 @query(f"""WITH {T.FORECASTS}, f AS (SELECT id, year, issue, d, sum(x) AS x FROM forecasts GROUP BY ALL), s AS (SELECT *, sum(x) OVER (PARTITION BY id, year, issue) AS t FROM f),

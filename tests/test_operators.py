@@ -126,6 +126,33 @@ def test_kernels_are_weighted_by_equal_samples(spark):
     assert C.equal_samples(df, ["id"]).select(F.size("_x")).first()[0] == 3
 
 
+def test_kde_loyo_on_the_whole_grid(spark, sf):
+    samples = [(r["id"], r["year"], r["onset_day"]) for r in T.onset_samples(spark, sf).collect()]
+    got = {}
+    for r in Q.kde_loyo_all(spark, sf).collect():
+        got.setdefault((r["id"], r["test_year"]), {})[r["i"]] = (r["n"], r["q"])
+    expected = {}
+    for unit in {s[0] for s in samples}:
+        for y in {s[1] for s in samples}:
+            days = np.array([d for i, t, d in samples if i == unit and t != y], float)
+            if len(days) >= C.MIN_SAMPLES and np.std(days) > 0:
+                bw = np.std(days, ddof=1) * len(days) ** -0.2
+                at = np.linspace(days.min() - 3 * bw, days.max() + 3 * bw, C.GRID)
+                pdf = np.exp(-0.5 * ((at[:, None] - days) / bw) ** 2).sum(axis=1)
+                expected[unit, y] = (len(days), np.cumsum(pdf) / pdf.sum())
+    assert set(got) == set(expected)
+    for k, (n, cdf) in expected.items():
+        assert set(got[k]) == set(range(C.GRID)) and got[k][0][0] == n
+        assert [got[k][i][1] for i in range(C.GRID)] == pytest.approx(cdf, abs=2e-8)
+
+
+def test_missing_days_anywhere_drop_a_series(spark, sf):
+    assert Q.missing_policy_drop_all(spark, sf).count() == 0  # (7 d + id) mod 31 is 0 on some of 184 days of every series
+    rows = [(1, 2000, d, None if d == 150 else 1.0) for d in range(1, 185)] + [(2, 2000, d, 2.0) for d in range(1, 185)]
+    got = R.missing_policy(spark.createDataFrame(rows, "id int, year int, d int, x double"), "drop", ["id", "year"])
+    assert {r["id"] for r in got.collect()} == {2} and got.count() == 184
+
+
 def test_mixing_weights_find_the_better_model(spark):
     good, bad = [0.7, 0.2, 0.1], [0.1, 0.2, 0.7]
     table = spark.createDataFrame([(good, bad, 1)] * 7 + [(good, bad, 2)] * 2 + [(good, bad, 3)], "g array<double>, b array<double>, y int")
