@@ -10,9 +10,9 @@ Signatures are cut into bands.  Texts that share a band are candidates; their ex
 computed, and verified pairs form the classes (connected components).
 
 No bucket is expanded into all pairs.  Texts with too many shingles of their own to reach the similarity with
-any other leave first (this loses nothing and takes out those that only share a passage).  Each bucket then tests its members against one leader, then those outside the
-leader's class against 4, 16 … leaders, until all members of the bucket are of one class or have been leaders.
-A group of thousands of near copies is done after the first leader.  Exact copies are one text from the start.
+any other leave first (this loses nothing and takes out those that only share a passage).  Members of a bucket
+that are of one class already need not meet: :func:`classes` says which pairs are verified, so that a group of
+thousands of near copies costs about one pair for each.  Exact copies are one text from the start.
 
 Defined cases: a text of fewer than five words is one shingle; texts without words match exact copies only;
 all null texts are copies of each other; class_id is the least doc_id of the class (null if it has none);
@@ -23,13 +23,14 @@ names.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import partial, reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ._store import pin
+from ._store import pin, unpin
 from ._words import mix, shingles, slices, word_hashes
 
 BANDS, ROWS, WIDTH, SIMILARITY = 36, 7, 5, 0.8
@@ -73,18 +74,34 @@ def signatures(owner: np.ndarray, items: np.ndarray, weight: np.ndarray, texts:
 
 
 def band_keys(value: np.ndarray, bands: int, rows: int) -> np.ndarray:
-    """One 64-bit key per band."""
-    bits = value.view(np.uint64).reshape(len(value), bands, rows)
-    key = np.broadcast_to(np.arange(1, bands + 1, dtype=np.uint64), (len(value), bands)).copy()
+    """One 64-bit key per band: its number in the top byte, then a byte of each of its at most seven values."""
+    part = mix(value.view(np.uint64).reshape(len(value), bands, rows)) & np.uint64(0xFF)
+    key = np.broadcast_to(np.arange(bands, dtype=np.uint64) << np.uint64(56), (len(value), bands)).copy()
     for i in range(rows):
-        key = mix(key * np.uint64(3) + bits[:, :, i])
-    return key.astype(np.int64)
+        key |= part[:, :, i] << np.uint64(8 * i)
+    return key.view(np.int64)
+
+
+def agreement(x: Column, y: Column) -> Column:
+    """Number of equal value bytes of two texts' keys: estimates the similarity, times the values."""
+    low, high = F.lit(0x007F7F7F7F7F7F7F), F.lit(0x0080808080808080)
+
+    def differ(p: Column, q: Column) -> Column:
+        d = p.bitwiseXOR(q)
+        return F.bit_count((d.bitwiseAND(low) + low).bitwiseOR(d).bitwiseAND(high))
+
+    return F.size(x) * 7 - F.aggregate(F.zip_with(x, y, differ), F.lit(0), lambda s, v: s + v)
 
 
 def _lists(flat: np.ndarray, offsets: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(flat))
 
 
+def text_key(text: Column) -> Column:
+    """Equal texts have equal keys; null is a text of its own."""
+    return F.coalesce(F.unhex(F.md5(F.encode(text, "UTF-8"))), F.lit(b""))
+
+
 def sign(texts: DataFrame, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """doc_id, text -> doc_id, tid (of equal texts), n (shingles), keys (one per band, none without words)."""
 
@@ -102,9 +119,8 @@ def sign(texts: DataFrame, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
                     [part.column("doc_id"), part.column("tid"), pa.array(n), _lists(band_keys(value[full], bands, rows).ravel(), ends)],
                     ["doc_id", "tid", "n", "keys"])
 
-    tid = F.coalesce(F.unhex(F.md5(F.encode("text", "UTF-8"))), F.lit(b""))
     kind = texts.schema["doc_id"].dataType.simpleString()
-    return texts.select("doc_id", tid.alias("tid"), "text").mapInArrow(run, f"doc_id {kind}, tid binary, n long, keys array<long>")
+    return texts.select("doc_id", text_key(F.col("text")).alias("tid"), "text").mapInArrow(run, f"doc_id {kind}, tid binary, n long, keys array<long>")
 
 
 def shingle_sets(texts: DataFrame) -> DataFrame:
@@ -127,46 +143,50 @@ def shingle_sets(texts: DataFrame) -> DataFrame:
 def components(edges: DataFrame, label: str = "components", small: int = 200_000) -> DataFrame:
     """Undirected edges (a, b) -> node, comp (least node of the component).
 
-    A graph of at most ``small`` edges, which is counted first, is one task's union-find.  In a larger one every
-    node takes the least label among its own and its neighbours', then follows that label's own label
-    (pointer jumping), until nothing changes; each round is written to the shared folder."""
-    if edges.count() <= small:
-        kind = edges.schema["a"].dataType.simpleString()
-        return pin(edges.select("a", "b").coalesce(1).mapInArrow(_union_find, f"node {kind}, comp {kind}"), label)
-    both = pin(edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), label)
+    Tasks first replace their edges by spanning stars, ``small`` edges at a time.  Then every node takes the least
+    label among its own and its neighbours' and follows that label's own label (pointer jumping), until nothing
+    changes; each round is written to the shared folder."""
+    kind = edges.schema["a"].dataType.simpleString()
+    stars = edges.select("a", "b").mapInArrow(partial(_stars, small), f"a {kind}, b {kind}")
+    both = pin(stars.select(F.explode(F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b")))).alias("e")).select("e.*").distinct(), label)
     state = pin(both.groupBy("a").agg(F.min("b").alias("low")).select(F.col("a").alias("node"), F.least("a", "low").alias("comp")), label)
     while True:
         near = both.join(state.withColumnRenamed("node", "b"), "b").groupBy("a").agg(F.min("comp").alias("near"))
         least = state.join(near.withColumnRenamed("a", "node"), "node").select("node", F.col("comp").alias("old"), F.least("comp", "near").alias("comp"))
         jump = state.select(F.col("node").alias("comp"), F.col("comp").alias("root"))
         after = pin(least.join(jump, "comp", "left").select("node", "old", F.coalesce(F.least("comp", "root"), "comp").alias("comp")), label)
-        state = after.select("node", "comp")
+        unpin(state)
+        state = after
         if after.filter("old <> comp").isEmpty():
-            return state
-
-
-def _union_find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    root: dict = {}
-
-    def find(x):
-        top = x
-        while root[top] != top:
-            top = root[top]
-        while root[x] != top:
-            root[x], x = top, root[x]
-        return top
-
-    kind = None
-    for batch in batches:
-        kind = batch.schema.field("a").type
-        for x, y in zip(batch.column("a").to_pylist(), batch.column("b").to_pylist(), strict=True):
-            root.setdefault(x, x)
-            root.setdefault(y, y)
-            lo, hi = sorted((find(x), find(y)))
-            root[hi] = lo
-    if root:
-        nodes = list(root)
-        yield pa.RecordBatch.from_arrays([pa.array(nodes, kind), pa.array([find(x) for x in nodes], kind)], ["node", "comp"])
+            unpin(both)
+            out = after.drop("old")
+            out.pinned_at = after.pinned_at
+            return out
+
+
+def _stars(small: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Edges -> (node, least node that it hangs together with among ``small`` edges)."""
+    for whole in batches:
+        step = small or 1
+        for i in range(0, whole.num_rows, step):
+            batch, root = whole.slice(i, step), {}
+
+            def find(x, root=root):
+                top = x
+                while root[top] != top:
+                    top = root[top]
+                while root[x] != top:
+                    root[x], x = top, root[x]
+                return top
+
+            for x, y in zip(batch.column("a").to_pylist(), batch.column("b").to_pylist(), strict=True):
+                root.setdefault(x, x)
+                root.setdefault(y, y)
+                lo, hi = sorted((find(x), find(y)))
+                root[hi] = lo
+            nodes = [x for x in root if find(x) != x]
+            kind = batch.schema.field("a").type
+            yield pa.RecordBatch.from_arrays([pa.array(nodes, kind), pa.array([find(x) for x in nodes], kind)], ["a", "b"])
 
 
 def verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
@@ -189,91 +209,131 @@ def own_items(sets: DataFrame) -> DataFrame:
     return alone.groupBy("tid").agg(F.count("*").alias("own"))
 
 
-def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, doc_id: str = "doc_id", text: str = "text", salts: int = 16) -> DataFrame:
+def led_pairs(texts: DataFrame, similarity: float) -> DataFrame:
+    """tid, n, own, comp, keys -> pairs (a, b): each bucket's leader with those members that are of another class."""
+    members = texts.select("tid", "n", "own", "comp", F.explode("keys").alias("key"))
+    lead = F.min(F.struct("own", "tid", "n", "comp")).alias("lead")
+    leaders = members.groupBy("key").agg(lead, F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo <> hi").select("key", "lead.*")
+    leaders = leaders.toDF("key", "oa", "a", "na", "ca")
+    return _pairs(members.join(leaders, "key").filter((F.col("comp") != F.col("ca")) & _fits(similarity)))
+
+
+def _fits(similarity: float) -> Column:
+    """What two texts have in common is at most what the one with fewer shared items shares with any text."""
+    most = F.least(F.col("n") - F.col("own"), F.col("na") - F.col("oa"))
+    return most >= similarity * (F.col("n") + F.col("na") - most) - 1e-9
+
+
+def _pairs(met: DataFrame) -> DataFrame:
+    return met.select(F.least("a", "tid").alias("a"), F.greatest("a", "tid").alias("b")).distinct()
+
+
+def classes(texts: DataFrame, sets: DataFrame, similarity: float, first: int = 6, minors: int = 256) -> tuple[DataFrame, list[DataFrame]]:
+    """tid, n, own, keys of texts -> the same with comp, the class; and the tables (a, b) of verified pairs.
+
+    A bucket is done once all pairs of members of different classes are verified:
+
+    1. members of the ``first`` bands' buckets meet their bucket's leader, the member with the fewest items of its
+       own, which is the most central one; that joins nearly all of a group of any size;
+    2. in the buckets of all bands, members of another class than the leader's meet the leader;
+    3. in buckets that still hold several classes, the members outside of the largest class meet all others: in
+       rounds of about ``minors`` such members a bucket, four times as many each round, until none is left."""
+    values = BANDS * ROWS
+    least = similarity * values - 6.5 * (similarity * (1 - similarity) * values) ** 0.5  # a pair has less with 1e-10
+
+    edges = []
+
+    def joined(now: DataFrame, pairs: DataFrame) -> DataFrame:
+        """``now`` with the classes that the verified ones among ``pairs`` make."""
+        edges.append(pin(verified(pairs, sets, similarity), "bagminhash-edges"))
+        if edges[-1].isEmpty():
+            return now
+        of = now.select("tid", "comp")
+        ends = edges[-1].join(of.toDF("a", "ca"), "a").join(of.toDF("b", "cb"), "b")
+        merged = components(ends.select(F.col("ca").alias("a"), F.col("cb").alias("b")), "bagminhash-components")
+        after = pin(now.join(merged.toDF("comp", "_root"), "comp", "left").withColumn("comp", F.coalesce("_root", "comp")).drop("_root"), "bagminhash-classes")
+        unpin(now, merged)
+        return after
+
+    now = pin(texts.withColumn("comp", F.col("tid")), "bagminhash-classes")
+    now = joined(now, led_pairs(now.withColumn("keys", F.slice("keys", 1, first)), similarity))
+    now = joined(now, led_pairs(now, similarity))
+    members = pin(now.select("tid", F.explode("keys").alias("key")), "bagminhash-members")
+    while True:
+        each = members.join(now.select("tid", "comp"), "tid").groupBy("key", "comp").agg(F.count("*").alias("c"))
+        several = (
+            each.groupBy("key").agg(F.max(F.struct("c", "comp")).alias("largest"), F.sum("c").alias("all"))
+            .select("key", F.col("largest.comp").alias("main"), (F.col("all") - F.col("largest.c")).alias("others")).filter("others > 0")
+        )
+        several = pin(several, "bagminhash-several")
+        most = several.agg(F.max("others")).first()[0]
+        if not most:
+            break
+        full = members.join(several, "key").join(now, "tid")
+        turn = (F.col("comp") != F.col("main")) & (F.pmod(F.xxhash64("tid"), F.ceil(F.col("others") / minors)) == 0)
+        meet = pin(full.filter(turn).select("key", F.col("tid").alias("a"), F.col("n").alias("na"), F.col("own").alias("oa"), F.col("comp").alias("ca"), F.col("keys").alias("ka")), "bagminhash-meet")
+        rows = members.join(now, "tid").join(meet, "key")
+        once = F.col("key") == F.get(F.array_intersect("keys", "ka"), F.lit(0))
+        pairs = _pairs(rows.filter((F.col("comp") != F.col("ca")) & _fits(similarity) & (agreement(F.col("keys"), F.col("ka")) >= least) & once))
+        now = joined(now, pairs)
+        if most <= minors:
+            unpin(several, meet)
+            break
+        # Those that met all others leave the bucket, and so do buckets in which all outside of the largest class did.
+        left = members.join(several.filter(F.col("others") > minors).select("key"), "key", "left_semi").join(meet.select("key", F.col("a").alias("tid")), ["key", "tid"], "left_anti")
+        left = pin(left, "bagminhash-members")
+        unpin(members, several, meet)
+        members, minors = left, minors * 4
+    unpin(members)
+    return now, edges
+
+
+def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per document: doc_id, tid (of its text), class_id, copy_of (least doc_id with the same text),
-    links (leaders and members that the document's text was verified against)."""
+    links (verified pairs that the document's text is in)."""
     texts = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     signed = pin(sign(texts), "bagminhash-signed")
-    nodes = pin(signed.groupBy("tid").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies"), F.first("n").alias("n"), F.first("keys").alias("keys")), "bagminhash-nodes")
-    keyed = nodes.select("tid", "n", F.explode("keys").alias("key"))
+    nodes = pin(signed.groupBy("tid").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies"), F.first("keys").alias("keys")), "bagminhash-nodes")
+    keyed = nodes.select("tid", F.explode("keys").alias("key"))
     shared = keyed.groupBy("key").count().filter("count > 1").select("key")
-    members = pin(keyed.join(shared, "key"), "bagminhash-members")  # of buckets with several texts
-    wanted = members.select("tid").distinct()
-    body = texts.withColumn("tid", F.coalesce(F.unhex(F.md5(F.encode("text", "UTF-8"))), F.lit(b"")))
+    wanted = pin(keyed.join(shared, "key").select("tid").distinct(), "bagminhash-wanted")
+    body = texts.withColumn("tid", text_key(F.col("text")))
     sets = pin(shingle_sets(body.join(wanted, "tid", "left_semi").dropDuplicates(["tid"])), "bagminhash-sets")
-    # A text of whose items more than 1 - similarity are its own is similar to no other text.  Those left are led
-    # by the texts with the fewest items of their own, which are the most central ones.
-    members = (
-        members.join(own_items(sets), "tid", "left").withColumn("own", F.coalesce("own", F.lit(0)))
+    # A text of whose items more than 1 - similarity are its own is similar to no other text.
+    alive = (
+        sets.select("tid", F.size("items").alias("n")).join(own_items(sets), "tid", "left").withColumn("own", F.coalesce("own", F.lit(0)))
         .filter(F.col("n") - F.col("own") >= similarity * F.col("n") - 1e-9)
     )
-    shared = members.groupBy("key").count().filter("count > 1").select("key")
-    members = pin(members.join(shared, "key"), "bagminhash-members")
-
-    edges = comp = None
-    leaders = 1
-    while not members.isEmpty():
-        extra = [] if comp is None else [F.col("comp").alias("ca"), F.col("keys").alias("ka")]
-        leader = (
-            members.withColumn("_r", F.row_number().over(_by_key())).filter(F.col("_r") <= leaders)
-            .select("key", F.col("tid").alias("a"), F.col("n").alias("na"), F.col("own").alias("oa"), *extra)
-            .withColumn("last", F.max(F.struct("oa", "a")).over(Window.partitionBy("key")))
-        )
-        # What two texts have in common is at most what the one with fewer shared items shares with any text.
-        most = F.least(F.col("n") - F.col("own"), F.col("na") - F.col("oa"))
-        once = (F.col("tid") < F.col("a")) | (F.struct(F.col("own").alias("oa"), F.col("tid").alias("a")) > F.col("last"))  # for two leaders
-        fits = (F.col("tid") != F.col("a")) & once & (most >= similarity * (F.col("n") + F.col("na") - most) - 1e-9)
-        if comp is not None:  # other classes only, and each pair in the first bucket that both are in
-            fits = fits & (F.col("comp") != F.col("ca")) & (F.col("key") == F.get(F.array_intersect("keys", "ka"), F.lit(0)))
-        pairs = members.join(leader, "key").filter(fits).select(F.least("a", "tid").alias("a"), F.greatest("a", "tid").alias("b")).distinct()
-        found = pin(verified(pairs, sets, similarity), "bagminhash-edges")
-        edges = found if edges is None else edges.unionByName(found)
-        comp = components(edges, "bagminhash-components")
-        # Those that were leaders have met all members; the others go on where the bucket has several classes.
-        rest = members.join(leader.select("key", F.col("a").alias("tid")), ["key", "tid"], "left_anti").select("key", "tid", "n", "own")
-        rest = rest.join(comp.withColumnRenamed("node", "tid"), "tid", "left").withColumn("comp", F.coalesce("comp", "tid"))
-        several = rest.groupBy("key").agg(F.min("comp").alias("_lo"), F.max("comp").alias("_hi")).filter("_lo <> _hi").select("key")
-        members = pin(rest.join(several, "key").join(nodes.select("tid", "keys"), "tid"), "bagminhash-members")
-        leaders *= 4
-
-    if edges is None:
-        linked = nodes.select("tid", "rep", "copies", F.col("tid").alias("comp"), F.lit(0).cast("long").alias("links"))
-    else:
-        degree = edges.select("a", "b").distinct().select(F.explode(F.array("a", "b")).alias("tid")).groupBy("tid").agg(F.count("*").alias("links"))
-        linked = (
-            nodes.join(comp.withColumnRenamed("node", "tid"), "tid", "left").join(degree, "tid", "left")
-            .select("tid", "rep", "copies", F.coalesce("comp", "tid").alias("comp"), F.coalesce("links", F.lit(0)).cast("long").alias("links"))
-        )
-    # A text with one document and no link is its own class; only the others are joined back, over salted keys.
-    special = linked.filter("copies > 1 OR links > 0")
+    now, edges = classes(alive.join(nodes.select("tid", "keys"), "tid"), sets, similarity)
+    links = reduce(DataFrame.unionByName, edges).select(F.explode(F.array("a", "b")).alias("tid")).groupBy("tid").agg(F.count("*").alias("links"))
+    # A text with one document and no link is its own class; only the others are joined back.
+    special = (
+        nodes.select("tid", "rep", "copies").join(now.select("tid", "comp").join(links, "tid"), "tid", "left")
+        .filter("copies > 1 OR links > 0").withColumn("comp", F.coalesce("comp", "tid"))
+    )
     least = special.groupBy("comp").agg(F.min("rep").alias("class_id"))
-    special = special.join(least, "comp").select("tid", "rep", "class_id", "links", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("_salt"))
-    rows = signed.select("doc_id", "tid").withColumn("_salt", F.pmod(F.xxhash64("doc_id"), F.lit(salts)).cast("int"))
-    return rows.join(special, ["tid", "_salt"], "left").select(
+    special = pin(special.join(least, "comp").select("tid", "rep", "class_id", "links"), "bagminhash-special")
+    unpin(nodes, wanted, sets, now, *edges)
+    return signed.select("doc_id", "tid").join(special, "tid", "left").select(
         "doc_id", "tid", F.coalesce("class_id", "doc_id").alias("class_id"), F.coalesce("rep", "doc_id").alias("copy_of"),
         F.coalesce("links", F.lit(0)).cast("long").alias("links"))
 
 
-def _by_key():
-    return Window.partitionBy("key").orderBy("own", "tid")
-
-
 def one_of_each(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """The documents, all columns, with one of each class: that with the least doc_id.
 
     Of rows that share doc_id and text one stays; rows without a doc_id stay, one for each text, if no row of
-    their class has one."""
-    tid = F.coalesce(F.unhex(F.md5(F.encode("text", "UTF-8"))), F.lit(b""))
+    their class has one.  The rows travel as one struct, so that no column of theirs can clash."""
     found = near_duplicates(docs, similarity)
-    key = [F.col("doc_id").eqNullSafe(F.col("_doc")), F.col("_tid") == F.col("_of")]
-    named = docs.withColumn("_tid", tid)
-    drops = found.filter(~F.col("doc_id").eqNullSafe(F.col("class_id"))).select(F.col("doc_id").alias("_doc"), F.col("tid").alias("_of")).distinct()
-    kept = named.join(drops, key[0] & key[1], "left_anti")
-    again = pin(found.groupBy("doc_id", "tid").count().filter("count > 1").select(F.col("doc_id").alias("_doc"), F.col("tid").alias("_of")), "bagminhash-repeats")
+    named = docs.select(F.struct("*").alias("row"), F.col("doc_id").alias("id"), text_key(F.col("text")).alias("of"))
+    same = lambda other: named["id"].eqNullSafe(other["doc_id"]) & (named["of"] == other["tid"])
+    drops = pin(found.filter(~F.col("doc_id").eqNullSafe(F.col("class_id"))).select("doc_id", "tid").distinct(), "bagminhash-drops")
+    again = pin(found.groupBy("doc_id", "tid").count().filter("count > 1").select("doc_id", "tid"), "bagminhash-repeats")
+    kept = named.join(drops, same(drops), "left_anti")
     if not again.isEmpty():
-        same = key[0] & key[1]
-        kept = kept.join(again, same, "left_anti").unionByName(kept.join(again, same, "left_semi").dropDuplicates(["doc_id", "_tid"]))
-    return kept.drop("_tid")
+        repeated = kept.join(again, same(again), "left_semi").dropDuplicates(["id", "of"])
+        kept = kept.join(again, same(again), "left_anti").unionByName(repeated)
+    return kept.select("row.*")
 
 
 def op10_bagminhash(spark, sf_dir: str) -> DataFrame:
