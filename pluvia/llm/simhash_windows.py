@@ -8,25 +8,29 @@ it in a whole block at least.  Candidates within the radius are verified by the
 similarity of the shingles; pairs from ``similarity`` on are returned, with the best window.
 
 Words are runs without white space and ASCII punctuation, A-Z in lower case.  The items are a stated query
-set: they are scanned in blocks of ``block_items``, each of which is sent to all tasks; documents are neither
-shuffled nor collected.
+set: they are scanned in blocks of about ``block_items``, dealt by hash, each of which is sent to all tasks when
+its turn comes; documents are neither shuffled nor collected.
 
-Defined cases: null texts and texts under five words contain nothing; items under five words are not searched
-for; a document shorter than an item is one window; equal windows: the first; repeated documents or items are
+Defined cases: null texts and texts without words contain nothing, and so do such items; an item of fewer than
+five words is one shingle of its own words, found where they come together; a document shorter than an item is one window; equal windows: the first; repeated documents or items are
 reported each; empty tables give an empty result; other columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections import Counter
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
+from ._store import pin
 from ._words import PUNCTUATION, SPACE, mix, shingles, slices, word_hashes
 
 WIDTH, BLOCKS, RADIUS, SIMILARITY = 5, 32, 31, 0.8
@@ -70,14 +74,17 @@ class MultiIndex:
 
 
 class Benchmark:
-    """A block of items: their shingles, the sizes each shingle occurs in, and a multi-index per size."""
+    """A block of items: their shingles, the sizes each shingle occurs in, and a multi-index per size.
 
-    def __init__(self, texts: list[str | None]):
+    Items of at least five words have shingles of ``width`` five; the shorter ones of ``width`` words one of those."""
+
+    def __init__(self, texts: list[str | None], width: int = WIDTH):
         hashes, words = word_hashes(pa.array(texts, pa.string()), APART)
-        items, at = shingles(hashes, words, WIDTH)
+        items, at = shingles(hashes, words, width)
+        self.width, n = width, np.diff(words)
         self.bags: dict[int, Counter] = {}
         sizes: dict[int, list[int]] = {}
-        for k in np.flatnonzero(np.diff(words) >= WIDTH).tolist():
+        for k in np.flatnonzero(n >= width if width == WIDTH else n == width).tolist():
             self.bags[k] = Counter(items[at[k] : at[k + 1]].tolist())
             sizes.setdefault(int(at[k + 1] - at[k]), []).append(k)
         self.index = {}
@@ -120,43 +127,65 @@ class Benchmark:
         return best
 
 
-def _blocks(benchmark: DataFrame, block_items: int) -> Iterator[list[tuple]]:
-    """(item_id, text) of the items in blocks of bounded size."""
-    items, offset = benchmark.select("item_id", "text").filter("text IS NOT NULL").orderBy("item_id", "text"), 0
-    while block := items.offset(offset).limit(block_items).collect():
-        yield [tuple(r) for r in block]
-        if len(block) < block_items:
-            return
-        offset += block_items
+#: The last block that this Python worker has indexed.
+_indexed: tuple[str, list[Benchmark]] = ("", [])
+
+
+def _indexes(name: str, block: list[tuple]) -> list[Benchmark]:
+    """The block's indexes by shingle width, kept for the worker's further tasks."""
+    global _indexed
+    if _indexed[0] != name:
+        _indexed = name, [b for width in range(WIDTH, 0, -1) if (b := Benchmark([t for _, t in block], width)).bags]
+    return _indexed[1]
+
+
+def _blocks(benchmark: DataFrame, block_items: int) -> Iterator[tuple[str, list[tuple]]]:
+    """Name and rows (item_id, text) of blocks of about ``block_items`` items, one at a time."""
+    items = benchmark.select("item_id", "text").filter("text IS NOT NULL")
+    blocks = -(-items.count() // block_items)
+    for k in range(blocks):
+        yield uuid.uuid4().hex, [tuple(r) for r in items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == k).collect()]
 
 
-def scan(bench: Benchmark, texts: pa.Array, similarity: float) -> Iterator[tuple[int, int, float, int, int]]:
+def scan(benches: list[Benchmark], texts: pa.Array, similarity: float) -> Iterator[tuple[int, int, float, int, int]]:
     """(text, item, similarity, first word, words) of the items found in each text."""
     hashes, words = word_hashes(texts, APART)
     for i, j in slices(words, 1_000_000):
-        items, at = shingles(hashes[words[i] : words[j]], words[i : j + 1] - words[i], WIDTH)
-        hits = bench.hits(items)
-        owner = np.searchsorted(at, hits, "right") - 1
-        for d in np.unique(owner).tolist():
-            own = bench.search(items[at[d] : at[d + 1]], hits[owner == d] - at[d], similarity)
-            for k, (alike, start, w) in sorted(own.items()):
-                yield i + d, k, alike, start, w + WIDTH - 1
+        for bench in benches:
+            items, at = shingles(hashes[words[i] : words[j]], words[i : j + 1] - words[i], bench.width)
+            hits = bench.hits(items)
+            owner = np.searchsorted(at, hits, "right") - 1
+            for d in np.unique(owner).tolist():
+                own = bench.search(items[at[d] : at[d + 1]], hits[owner == d] - at[d], similarity)
+                for k, (alike, start, w) in sorted(own.items()):
+                    yield i + d, k, alike, start, w + bench.width - 1
+
+
+def _each_block(rows: DataFrame, benchmark: DataFrame, block_items: int, of_block) -> list[DataFrame]:
+    """``of_block(rows, name, shared block)`` for each block.  With several, each one's rows are written before the
+    next is sent, so that the driver and the tasks hold one block."""
+    out, before = [], None
+    for name, block in _blocks(benchmark, block_items):
+        if before is not None:
+            out[-1] = pin(out[-1], "simhash-block")
+            before.destroy()
+        before = rows.sparkSession.sparkContext.broadcast(block)
+        out.append(of_block(out[-1] if out else rows, name, before))
+    return out
 
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY, block_items: int = 50_000, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per document and item found in it: doc_id, item_id, similarity, first_word, words."""
-    spark, narrow = docs.sparkSession, docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
+    narrow = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     kind, item = docs.schema[doc_id].dataType.simpleString(), benchmark.schema["item_id"].dataType
     schema = f"doc_id {kind}, item_id {item.simpleString()}, similarity double, first_word long, words long"
     item_type = to_arrow_type(item)
 
-    def of_block(block: list[tuple]) -> DataFrame:
-        shared = spark.sparkContext.broadcast(block)
-
+    def of_block(_: DataFrame, name: str, shared: Broadcast) -> DataFrame:
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            bench = Benchmark([t for _, t in shared.value])
+            benches = _indexes(name, shared.value)
             for batch in batches:
-                row, k, alike, start, n = [list(x) for x in zip(*scan(bench, batch.column("text"), similarity), strict=True)] or [[]] * 5
+                row, k, alike, start, n = [list(x) for x in zip(*scan(benches, batch.column("text"), similarity), strict=True)] or [[]] * 5
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("doc_id").take(pa.array(row, pa.int64())), pa.array([shared.value[x][0] for x in k], item_type),
                      pa.array(alike, pa.float64()), pa.array(start, pa.int64()), pa.array(n, pa.int64())],
@@ -164,31 +193,24 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILA
 
         return narrow.mapInArrow(run, schema)
 
-    parts = [of_block(b) for b in _blocks(benchmark, block_items)] or [spark.createDataFrame([], schema)]
-    out = parts[0]
-    for more in parts[1:]:
-        out = out.unionByName(more)
-    return out
+    parts = _each_block(narrow, benchmark, block_items, of_block) or [docs.sparkSession.createDataFrame([], schema)]
+    return reduce(DataFrame.unionByName, parts)
 
 
 def drop_leaks(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY, block_items: int = 50_000, text: str = "text") -> DataFrame:
     """The documents, all columns, in which no item is found."""
 
-    def without(rows: DataFrame, block: list[tuple]) -> DataFrame:
-        shared = docs.sparkSession.sparkContext.broadcast(block)
-
+    def of_block(rows: DataFrame, name: str, shared: Broadcast) -> DataFrame:
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            bench = Benchmark([t for _, t in shared.value])
+            benches = _indexes(name, shared.value)
             for batch in batches:
                 clean = np.ones(batch.num_rows, bool)
-                clean[[x[0] for x in scan(bench, batch.column(text), similarity)]] = False
+                clean[[x[0] for x in scan(benches, batch.column(text), similarity)]] = False
                 yield batch.filter(pa.array(clean))
 
         return rows.mapInArrow(run, rows.schema)
 
-    for block in _blocks(benchmark, block_items):
-        docs = without(docs, block)
-    return docs
+    return (_each_block(docs, benchmark, block_items, of_block) or [docs])[-1]
 
 
 def op6_simhash_windows(spark, sf_dir: str) -> DataFrame:

@@ -129,12 +129,12 @@ def lay_out(rows: DataFrame, buckets: int = 256) -> DataFrame:
     )
 
 
-def mix_sources(docs: DataFrame, block_tokens: int = 64, max_epochs: int = 3) -> DataFrame:
-    """One row per document: doc_id, source, size, source_size, target, start, taken, copies.
+def mix_sources(docs: DataFrame, block_tokens: int = 64, max_epochs: int = 3, carry: tuple | list = ()) -> DataFrame:
+    """One row per document: doc_id, source, size, source_size, target, start, taken, copies and the columns ``carry``.
 
     ``taken`` counts the words the schedule takes of the document over all passes; ``copies`` says how often
     the block with its first word is taken, for mixes of whole documents."""
-    rows = pin(docs.select("doc_id", "source", n_words(F.col("text")).alias("size")), "mix-rows")
+    rows = pin(docs.select("doc_id", "source", n_words(F.col("text")).alias("size"), *carry), "mix-rows")
     targets = source_targets(rows.groupBy("source").agg(F.sum("size").alias("source_size")), max_epochs)
     targets = pin(targets.withColumn("source_no", F.row_number().over(Window.partitionBy().orderBy(F.col("source").asc_nulls_last())).cast("long")), "mix-targets")
     numbered = rows.join(targets, rows["source"].eqNullSafe(targets["source"])).drop(targets["source"])
@@ -159,21 +159,19 @@ def mix_sources(docs: DataFrame, block_tokens: int = 64, max_epochs: int = 3) ->
     none = F.lit(0).cast("long")
     mixed = placed.join(taken, ["source_no", "start"], "left").select(
         "doc_id", "source", "size", "source_size", "target", "start",
-        F.coalesce("taken", none).alias("taken"), F.coalesce("copies", none).alias("copies"))
-    empty = numbered.filter("size = 0").select("doc_id", "source", "size", "source_size", "target", none.alias("start"), none.alias("taken"), none.alias("copies"))
+        F.coalesce("taken", none).alias("taken"), F.coalesce("copies", none).alias("copies"), *carry)
+    empty = numbered.filter("size = 0").select("doc_id", "source", "size", "source_size", "target", none.alias("start"), none.alias("taken"), none.alias("copies"), *carry)
     return mixed.unionByName(empty)
 
 
 def mixed_documents(docs: DataFrame, block_tokens: int = 64, max_epochs: int = 3) -> DataFrame:
-    """The mix in whole documents, all columns: each document as often as the schedule takes the block with its
-    first word.  Rows that agree in doc_id, source and number of words share their copies evenly, rounded down."""
-    key = ["doc_id", "source", "size"]
-    times = mix_sources(docs, block_tokens, max_epochs).groupBy(*key).agg((F.expr("sum(copies) div count(*)")).cast("int").alias("_copies")).filter("_copies > 0")
-    times = times.select(*[F.col(k).alias(f"_{k}") for k in key], "_copies")
-    rows = docs.withColumn("_words", n_words(F.col("text")))
-    same = rows["doc_id"].eqNullSafe(times["_doc_id"]) & rows["source"].eqNullSafe(times["_source"]) & (rows["_words"] == times["_size"])
-    taken = rows.join(times, same).withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
-    return taken.select(*docs.columns)
+    """The mix in whole documents, all columns: each row as often as the schedule takes the block with its first
+    word.  Rows are numbered once, so that repeated rows keep copies of their own, and travel as one struct, so
+    that no column of theirs can clash."""
+    rows = pin(docs.select(F.struct("*").alias("row"), F.monotonically_increasing_id().alias("uid")), "mix-documents")
+    narrow = rows.select("uid", F.col("row.doc_id").alias("doc_id"), F.col("row.source").alias("source"), F.col("row.text").alias("text"))
+    times = mix_sources(narrow, block_tokens, max_epochs, carry=["uid"]).filter("copies > 0").select("uid", F.col("copies").cast("int").alias("copies"))
+    return rows.join(times, "uid").select("row", F.explode(F.sequence(F.lit(1), F.col("copies")))).select("row.*")
 
 
 def op3_mix_sources(spark, sf_dir: str) -> DataFrame:

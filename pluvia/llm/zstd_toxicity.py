@@ -10,8 +10,8 @@ toxic documents, since whole documents are mostly ordinary.  Both dictionaries a
 dictionary of common text, so that ordinary text costs the same with either.
 
 Fitting uses a bounded sample: at most ``max_toxic`` and ``max_ordinary`` labelled training documents (least
-hash of doc_id) of at most ``max_bytes`` each; half of them, by hash, train the dictionaries and the others
-the calibration.  Scoring reads every text whole.  Labels come only from rows whose crc32(doc_id) mod 4 is
+hash of doc_id); of a text over ``max_bytes`` it takes pieces spread over the whole text.  Half of the sample, by
+hash, trains the dictionaries and the others the calibration.  Scoring reads every text whole.  Labels come only from rows whose crc32(doc_id) mod 4 is
 not 2; lang, source and doc_id are no inputs of a score.
 
 Defined cases: null and empty texts have no windows and get the calibrated score of that; without labels of
@@ -33,6 +33,7 @@ from pyspark.sql import functions as F
 
 WINDOW, STRIDE, GRAM = 64, 32, 6
 THRESHOLD = 0.3
+MODEL = "share double, common binary, toxic binary, ordinary binary, weights array<double>"
 
 
 def held_out(doc_id: Column, mod: int, fold: int) -> Column:
@@ -61,13 +62,14 @@ def grams(data: bytes) -> np.ndarray:
 
 def contrast_grams(toxic: list[bytes], ordinary: list[bytes], min_share: float = 0.01, min_ratio: float = 60.0) -> np.ndarray:
     """Six-grams in at least ``min_share`` of the toxic texts and ``min_ratio`` times rarer in ordinary ones."""
-    count = lambda docs: np.unique(np.concatenate([np.unique(grams(d)) for d in docs] + [np.zeros(0, np.uint64)]), return_counts=True)
-    (ut, nt), (uo, no) = count(toxic), count(ordinary)
-    at = np.minimum(np.searchsorted(uo, ut), max(0, len(uo) - 1))
-    rest = np.where(uo[at] == ut, no[at], 0) if len(uo) else np.zeros(len(ut))
+    ut, nt = np.unique(np.concatenate([np.unique(grams(d)) for d in toxic] + [np.zeros(0, np.uint64)]), return_counts=True)
+    ut, nt = (x[nt >= max(3, min_share * len(toxic))] for x in (ut, nt))
+    rest = np.zeros(len(ut), np.int64)
+    for data in ordinary:
+        rest += np.isin(ut, grams(data))
     ratio = ((nt + 0.5) / (len(toxic) + 1)) / ((rest + 0.5) / (len(ordinary) + 1))
     floor = min(min_ratio, (len(ordinary) + 1) / 2)  # what an unseen gram can reach in a small sample
-    return ut[(nt >= max(3, min_share * len(toxic))) & (ratio >= floor)]
+    return ut[ratio >= floor]
 
 
 def spans(data: bytes, chosen: np.ndarray) -> list[bytes]:
@@ -138,8 +140,16 @@ def crossed(f: np.ndarray) -> np.ndarray:
     return np.column_stack([f, f[:, :1] * f[:, 1:2], f[:, 3:4] * f[:, 6:7], f[:, 0:1] * f[:, 6:7], f[:, 0:1] ** 2]) / 10
 
 
+def sampled(text: Column, max_bytes: int, piece: int = 512) -> Column:
+    """The text, or pieces spread evenly over it where it has over ``max_bytes``."""
+    last = max_bytes // piece - 1
+    at = F.transform(F.sequence(F.lit(0), F.lit(last)), lambda i: F.substring(text, 1 + F.floor(i * (F.length(text) - piece) / last).cast("int"), piece))
+    return F.when(F.octet_length(text) <= max_bytes, text).otherwise(F.array_join(at, " "))
+
+
 def fit(docs: DataFrame, labels: DataFrame, mod: int = 4, fold: int = 2, max_toxic: int = 3000, max_ordinary: int = 5000, max_bytes: int = 32_768) -> dict:
-    """The model from a bounded sample of labelled training rows, see above."""
+    """The model from a bounded sample of labelled training rows, see above; one task trains it, the driver gets
+    the dictionaries and weights."""
     known = (
         labels.filter(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id"), mod, fold))
         .groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
@@ -147,27 +157,31 @@ def fit(docs: DataFrame, labels: DataFrame, mod: int = 4, fold: int = 2, max_tox
     order = F.xxhash64("doc_id")
     pick = lambda y, n: known.filter(F.col("toxic") == y).orderBy(order, "doc_id").limit(n)
     ids = pick(1, max_toxic).unionByName(pick(0, max_ordinary))
-    rows = (
-        docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id")
-        .filter((F.octet_length("text") > 0) & (F.octet_length("text") <= max_bytes))
-        .select("doc_id", "text", "toxic").collect()
-    )
-    texts = sorted({(normal(r["text"]), r["toxic"]) for r in rows})
+    rows = docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id").filter(F.octet_length("text") > 0).select(sampled(F.col("text"), max_bytes).alias("text"), "toxic")
+    # A text counts once; of equal ids with several texts the first by hash are taken up to the bound.
+    rows = rows.distinct().orderBy(F.xxhash64("text"), "text", "toxic").limit(max_toxic + max_ordinary)
+    got = rows.withColumn("sample", F.lit(0)).groupBy("sample").applyInArrow(_fit_task, MODEL).first()
+    return {"share": 0.0} if got is None else {k: v for k, v in got.asDict().items() if v is not None}
+
+
+def _fit_task(table: pa.Table) -> pa.Table:
+    texts = sorted({(normal(t), y) for t, y in zip(table.column("text").to_pylist(), table.column("toxic").to_pylist(), strict=True)})
+    model = dict.fromkeys(("common", "toxic", "ordinary", "weights")) | {"share": sum(y for _, y in texts) / len(texts)}
     side = lambda y, half: [t for t, label in texts if label == y and zlib.crc32(t) % 2 == half]
-    share = sum(y for _, y in texts) / len(texts) if texts else 0.0
     toxic, ordinary = side(1, 0), side(0, 0)
-    if not toxic or not ordinary or not side(1, 1) or not side(0, 1):
-        return {"share": share}
-    chosen = contrast_grams(toxic, ordinary)
-    pieces = lambda docs, n: [w for t in docs for w in windows(t, n, n)]
-    parts = {
-        "common": train(pieces(ordinary, 128), 96 << 10),
-        "toxic": train([s for t in toxic for s in spans(t, chosen)], 2 << 10),
-        "ordinary": train(pieces(ordinary, 32), 2 << 10),
-    }
-    again = side(1, 1) + side(0, 1)
-    y = np.array([1.0] * len(side(1, 1)) + [0.0] * len(side(0, 1)))
-    return parts | {"share": share, "weights": logistic(crossed(Distance(**parts).features(again)), y)}
+    if toxic and ordinary and side(1, 1) and side(0, 1):
+        chosen = contrast_grams(toxic, ordinary)
+        pieces = lambda docs, n: [w for t in docs for w in windows(t, n, n)]
+        parts = {
+            "common": train(pieces(ordinary, 128), 96 << 10),
+            "toxic": train([s for t in toxic for s in spans(t, chosen)], 2 << 10),
+            "ordinary": train(pieces(ordinary, 32), 2 << 10),
+        }
+        again = side(1, 1) + side(0, 1)
+        y = np.array([1.0] * len(side(1, 1)) + [0.0] * len(side(0, 1)))
+        model |= parts | {"weights": logistic(crossed(Distance(**parts).features(again)), y).tolist()}
+    return pa.table({"share": pa.array([model["share"]], pa.float64()), **{k: pa.array([model[k]], pa.binary()) for k in ("common", "toxic", "ordinary")},
+                     "weights": pa.array([model["weights"]], pa.list_(pa.float64()))})
 
 
 class Scorer:
@@ -175,7 +189,7 @@ class Scorer:
 
     def __init__(self, model: dict):
         self.model = model
-        self.distance = Distance(model["common"], model["toxic"], model["ordinary"]) if "weights" in model else None
+        self.distance = Distance(*(bytes(model[k]) for k in ("common", "toxic", "ordinary"))) if "weights" in model else None
 
     def __call__(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """(scores, numbers of windows)."""

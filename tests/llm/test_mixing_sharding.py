@@ -1,8 +1,10 @@
+import hashlib
 import random
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import pytest
+import xxhash
 
 from pluvia.llm import lpt_shards as P
 from pluvia.llm import source_schedule as S
@@ -89,3 +91,69 @@ def test_a_group_larger_than_a_shard_stays_whole(spark):
 
 def test_lpt_is_greedy():
     assert P.lpt_schedule([(5, "a"), (4, "b"), (3, "c"), (3, "d")], 2) == {"a": 0, "b": 1, "c": 1, "d": 0}
+
+
+def test_mixed_documents_give_out_every_copy(spark):
+    """Rows that agree in doc_id, source and words, and user columns of any name."""
+    rows = [(7, "x " * 40 + "y" * (k % 3), s, 70, f"c{k}", k) for k in range(10) for s in ("a", "b")] + [(k, "z " * 30, "c", k, "c", k) for k in range(40)]
+    rows += [(None, "q " * 50, None, 1, None, None)] * 5 + [(9, None, "a", 0, "n", 0), (9, "", "a", 0, "n", 0)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, _words int, _copies string, row int")
+    narrow = docs.select("doc_id", "text", "source")
+    want = Counter()
+    for r in S.mix_sources(narrow).collect():
+        want[r["doc_id"], r["source"], r["size"]] += r["copies"]
+    out = S.mixed_documents(docs)
+    assert out.columns == docs.columns
+    got = Counter((r["doc_id"], r["source"], len((r["text"] or "").split())) for r in out.collect())
+    assert got == +want
+    assert {tuple(r) for r in out.collect()} <= {tuple(r) for r in docs.collect()}
+    assert {k for k in want if k[1] in ("a", "b") and want[k]} <= set(got)
+
+
+def slow_lpt(items, shards):
+    """Every item, largest first, to the shard that has least; ties by key and by number."""
+    loads, where = [0] * shards, {}
+    for size, key in sorted(items, key=lambda x: (-x[0], str(x[1]))):
+        shard = loads.index(min(loads))
+        loads[shard] += size
+        where[key] = shard
+    return where
+
+
+def test_query_on_table_equals_brute_force(spark, sf):
+    rows = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()]
+    groups = defaultdict(int)
+    for _, t in rows:
+        groups[hashlib.md5(t.encode()).hexdigest()] += len(t.encode()) + 16
+    bundles = 40 * 256
+    limit, small, items = sum(groups.values()) / bundles, defaultdict(int), []
+    bundle = lambda key: (xxhash.xxh64_intdigest(key, 42) - (1 << 64) * (xxhash.xxh64_intdigest(key, 42) >> 63)) % bundles
+    for key, size in groups.items():
+        if size > limit:
+            items.append((size, key))
+        else:
+            small[bundle(key)] += size
+    where = slow_lpt(items + [(size, b) for b, size in small.items()], 40)
+    got = P.op5_lpt_shards(spark, sf).collect()
+    slots = defaultdict(list)
+    texts = Counter(rows)
+    assert len(got) == len(rows) and {r["law"] for r in got} == {"bytes"} and {r["grown_shard"] for r in got} == {None}
+    by_id = {i: t for i, t in rows}
+    for r in got:
+        t = by_id[r["doc_id"]]
+        key = hashlib.md5(t.encode()).hexdigest()
+        assert texts[r["doc_id"], t] and r["size"] == len(t.encode()) + 16 and r["text_crc32"] == zlib.crc32(t.encode())
+        assert r["shard"] == where[key if key in where else bundle(key)]
+        slots[r["shard"]].append(r["slot"])
+    assert all(sorted(x) == list(range(len(x))) for x in slots.values())
+
+
+def test_without_bundles_it_is_plain_lpt(spark):
+    rnd = random.Random(3)
+    rows = [(k, "x" * rnd.randint(0, 300) + str(k % 150)) for k in range(200)]
+    got = P.assign_shards(spark.createDataFrame(rows, "doc_id long, text string"), shards=5, bundles_per_shard=100_000).collect()
+    groups = defaultdict(int)
+    for _, t in rows:
+        groups[hashlib.md5(t.encode()).hexdigest()] += len(t) + 16
+    where = slow_lpt([(size, key) for key, size in groups.items()], 5)
+    assert all(r["shard"] == where[r["group_key"]] for r in got)

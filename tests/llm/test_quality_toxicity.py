@@ -1,7 +1,10 @@
 import random
+import math
 import re
 import zlib
 
+import numpy as np
+import zstandard
 from pyspark.sql import functions as F
 
 from pluvia.llm import quality_divergence as Q
@@ -105,3 +108,43 @@ def test_toxicity_without_labels(spark):
 def test_query_on_small_table(spark, sf):
     out = Z.op7_zstd_toxicity(spark, sf)
     assert out.count() == spark.read.parquet(f"{sf}/documents.parquet").count()
+
+
+def slow_score(model, text):
+    """The score from one zstandard frame per window and dictionary."""
+    data = b" " + " ".join(text.lower().split()).encode() + b" " if text else b""
+    cut = [data[i : i + 64] for i in range(0, len(data), 32) if i == 0 or i + 32 < len(data)]
+    params = zstandard.ZstdCompressionParameters(window_log=18, hash_log=16, chain_log=16, search_log=1, min_match=6, strategy=zstandard.STRATEGY_DFAST, write_content_size=0, write_dict_id=0)
+    size = {}
+    for side in ("toxic", "ordinary"):
+        words = zstandard.ZstdCompressionDict(bytes(model["common"]) + bytes(model[side]), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+        packer = zstandard.ZstdCompressor(compression_params=params, dict_data=words)
+        size[side] = [len(packer.compress(w)) for w in cut]
+    gain = [o - t for o, t in zip(size["ordinary"], size["toxic"])]
+    top = sorted([*gain, 0, 0, 0])[::-1][:3]
+    f = [*top, math.log1p(sum(max(g - 3, 0) for g in gain)), math.log1p(sum(g >= 6 for g in gain)), sum(gain) / max(1, len(gain)), math.log1p(len(gain))]
+    x = [1.0, *(v / 10 for v in [*f, f[0] * f[1], f[3] * f[6], f[0] * f[6], f[0] ** 2])]
+    return 1 / (1 + math.exp(-max(-30.0, min(30.0, sum(a * b for a, b in zip(x, model["weights"]))))))
+
+
+def test_query_scores_equal_brute_force(spark):
+    sf = "/root/testdata/sf0.01"
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    model = Z.fit(docs, spark.read.parquet(f"{sf}/labels.parquet"))
+    assert "weights" in model
+    texts = {r["doc_id"]: r["text"] for r in docs.collect()}
+    got = Z.op7_zstd_toxicity(spark, sf).collect()
+    assert sorted(r["doc_id"] for r in got) == sorted(texts)
+    for r in got:
+        want = slow_score(model, texts[r["doc_id"]])
+        assert abs(r["score"] - want) < 1e-9 and r["predicted"] == int(r["score"] >= 0.3)
+        assert r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 4 == 2)
+
+
+def test_long_labelled_texts_are_sampled_all_over(spark):
+    text = "".join(f"{k:05d}" for k in range(20_000))
+    got = spark.createDataFrame([(text,), ("short",), ("é" * 40_000,)], "t string").select(Z.sampled(F.col("t"), 32_768).alias("t")).collect()
+    assert got[1]["t"] == "short"
+    parts = got[0]["t"].split(" ")
+    assert len(parts) == 64 and text.startswith(parts[0]) and text.endswith(parts[-1]) and all(len(p) == 512 and p in text for p in parts)
+    assert len(np.unique([text.index(p) for p in parts])) == 64 and len(got[2]["t"]) == 64 * 513 - 1

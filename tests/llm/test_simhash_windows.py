@@ -84,3 +84,11 @@ def test_empty(spark):
     bench = spark.createDataFrame([(1, "a b c d e f")], "item_id long, text string")
     assert S.find_leaks(docs, bench).count() == 0
     assert S.find_leaks(bench.select(bench.item_id.alias("doc_id"), "text"), bench.filter("false")).count() == 0
+
+
+def test_short_items_are_found_whole(spark):
+    bench = spark.createDataFrame([(1, "zebra quartz"), (2, "lone"), (3, "a b c d"), (4, "one two three four five six")], "item_id long, text string")
+    docs = spark.createDataFrame([(1, "the Zebra, quartz!"), (2, "zebra and quartz"), (3, "a b c"), (4, "x a b c d y"), (5, "lone"), (6, "zebra"), (7, "one two three four five six seven lone")], "doc_id long, text string")
+    got = S.find_leaks(docs, bench, block_items=2)
+    assert {(r["doc_id"], r["item_id"], r["first_word"], r["words"]) for r in got.collect()} == {(1, 1, 1, 2), (4, 3, 1, 4), (5, 2, 0, 1), (7, 2, 7, 1), (7, 4, 0, 6)}
+    assert {r["doc_id"] for r in S.drop_leaks(docs, bench, block_items=2).collect()} == {2, 3, 6}
