@@ -205,8 +205,10 @@ class Model:
         return np.log10((1 - self.shape.prior) * p + self.shape.prior * self.share[target])
 
 
-def train_round(docs: DataFrame, model: Model, salts: int = 16, block: int = 256) -> np.ndarray:
-    """Weights after one distributed round: the tasks' weights averaged by their numbers of tokens."""
+def train_round(docs: DataFrame, model: Model, block: int = 256, fan_in: int = 64) -> np.ndarray:
+    """Weights after one distributed round: the tasks' weights averaged by their numbers of tokens.
+
+    The sums go up a tree of ``fan_in``, so that a task adds a few MB at a time however many tasks there are."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -223,15 +225,18 @@ def train_round(docs: DataFrame, model: Model, salts: int = 16, block: int = 256
             parts = [change[i : i + block].tobytes() for i in range(0, len(change), block)]
             k = len(parts)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(range(k), pa.int32()), pa.array([TaskContext.get().partitionId() % salts] * k, pa.int32()), pa.array(parts), pa.array([n] * k, pa.int64())],
-                ["block", "salt", "change", "n"])
+                [pa.array(range(k), pa.int32()), pa.array([TaskContext.get().partitionId()] * k, pa.int32()), pa.array(parts), pa.array([n] * k, pa.int64())],
+                ["block", "task", "change", "n"])
 
     def add(rows: pd.DataFrame) -> pd.DataFrame:
         total = np.sum([np.frombuffer(x, np.float32) for x in rows["change"]], axis=0, dtype=np.float32)
-        return pd.DataFrame({"block": rows["block"][:1], "salt": [0], "change": [total.tobytes()], "n": [rows["n"].sum()]})
+        return pd.DataFrame({"block": rows["block"][:1], "task": rows["task"][:1] // fan_in, "change": [total.tobytes()], "n": [rows["n"].sum()]})
 
-    kind = "block int, salt int, change binary, n long"
-    changes = docs.select("text").mapInArrow(run, kind).groupBy("block", "salt").applyInPandas(add, kind).groupBy("block").applyInPandas(add, kind)
+    kind = "block int, task int, change binary, n long"
+    changes = docs.select("text").mapInArrow(run, kind)
+    for _ in range(2):
+        changes = changes.groupBy("block", F.expr(f"task div {fan_in}").alias("up")).applyInPandas(add, kind)
+    changes = changes.groupBy("block").applyInPandas(add, kind)
     out = model.weights.copy()
     for r in changes.collect():  # one row per block of the weights
         i = r["block"] * block

@@ -92,8 +92,10 @@ def common_words(docs: DataFrame, k: int) -> DataFrame:
     counts = pin(
         docs.select("key", F.explode(F.transform(words_of(F.col("text")), lambda w: F.lower(w))).alias("word"))
         .groupBy("key", "word").agg(F.count("*").alias("n")), "quality-words")
-    rank = F.row_number().over(Window.partitionBy("key").orderBy(F.col("n").desc(), "word"))
-    top = counts.withColumn("r", rank).filter(F.col("r") <= k)
+    # A language's words are ranked in 64 cells first, so that no task holds all words of a common language.
+    rank = lambda *by: F.row_number().over(Window.partitionBy("key", *by).orderBy(F.col("n").desc(), "word"))
+    cells = counts.withColumn("cell", F.pmod(F.xxhash64("word"), F.lit(64))).withColumn("r", rank("cell")).filter(F.col("r") <= k)
+    top = cells.withColumn("r", rank()).filter(F.col("r") <= k)
     listed = top.groupBy("key").agg(F.sort_array(F.collect_list(F.struct("r", "word", "n"))).alias("_t"))
     totals = counts.groupBy("key").agg(F.sum("n").alias("all_words"))
     return listed.join(totals, "key").select("key", F.col("_t.word").alias("common"), F.col("_t.n").alias("common_n"), "all_words")

@@ -19,8 +19,23 @@ QUERIES = {
     "op3_mix_sources": op3_mix_sources,
     "op4_warc_revisit": op4_warc_revisit,
     "op5_lpt_shards": op5_lpt_shards,
-    "op6_simhash_windows": op6_simhash_windows,
-    "op7_zstd_toxicity": op7_zstd_toxicity,
+    "op6_simhash_windows": r"""
+with icut as materialized (select item_id, list_filter(regexp_split_to_array(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D!-/:-@\[-`{-~]+'), lambda w: w <> '') as a from benchmark),
+its as materialized (select item_id, md5_number(array_to_string(a[p + 1 : p + 5], ' ')) as s from (select item_id, a, unnest(range(0, len(a) - 4)) as p from icut where len(a) >= 5)),
+want as materialized (select item_id, s, c, sum(c) over (partition by item_id)::bigint as m from (select item_id, s, count(*) as c from its group by item_id, s)),
+cut as materialized (select doc_id, list_filter(regexp_split_to_array(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D!-/:-@\[-`{-~]+'), lambda w: w <> '') as a from documents),
+ds as materialized (select doc_id, p, n, md5_number(array_to_string(a[p + 1 : p + 5], ' ')) as s from (select doc_id, a, len(a) - 4 as n, unnest(range(0, len(a) - 4)) as p from cut where len(a) >= 5) group by all),
+of_s as materialized (select s, list({'item_id': item_id, 'c': c, 'm': m}) as items from want group by s),
+hit as materialized (select doc_id, x.item_id as item_id, p, s, n, x.c as c, x.m as m from (select doc_id, p, s, n, unnest(found) as x
+  from (select *, max(items) over (partition by s) as found from (select doc_id, p, n, s, null as items from ds union all select null, null, null, s, items from of_s)) where p is not null and found is not null)),
+pair as materialized (select doc_id, item_id, m, least(m, n) as w, n, min(p) as lo, max(p) as hi, list({'p': p, 's': s, 'c': c}) as hits from hit group by doc_id, item_id, m, n),
+win as materialized (select doc_id, item_id, m, w, hits, unnest(range(greatest(0, lo - m + 1), least(n - w, hi) + 1)) as start from pair),
+near as materialized (select doc_id, item_id, m, w, start, unnest(list_filter(hits, lambda x: x.p >= start and x.p < start + w)) as x from win),
+got as materialized (select doc_id, item_id, m, w, start, x.s as s, x.c as c, count(*) as k from near group by doc_id, item_id, m, w, start, x.s, x.c),
+alike as materialized (select doc_id, item_id, w, start, sum(least(k, c)) / (w + m - sum(least(k, c))) as similarity from got group by doc_id, item_id, m, w, start)
+select doc_id, item_id, best.a::double as similarity, (-best.b)::bigint as first_word, (best.w + 4)::bigint as words
+from (select doc_id, item_id, max({'a': similarity, 'b': -start, 'w': w}) as best from alike where similarity >= 0.8 group by doc_id, item_id)
+""",
     "op8_quality_divergence": op8_quality_divergence,
     "op9_site_lines": op9_site_lines,
     "op10_bagminhash": op10_bagminhash,
@@ -51,14 +66,13 @@ win as (select doc_id, item_id, least(m, n) as w, m, unnest(range(greatest(0, lo
 got as (select win.doc_id, win.item_id, w, m, start, s, count(*) as c from win join ds on ds.doc_id = win.doc_id and ds.p >= start and ds.p < start + w group by all),
 want as (select item_id, s, count(*) as c from its group by all),
 alike as (select doc_id, item_id, w, start, sum(least(got.c, want.c)) / (any_value(w) + any_value(m) - sum(least(got.c, want.c))) as similarity from got join want using (item_id, s) group by doc_id, item_id, w, start)
-select doc_id, item_id, similarity::double as similarity, start::bigint as first_word, (w + 4)::bigint as words
-from (select *, row_number() over (partition by doc_id, item_id order by similarity desc, start) as r from alike where similarity >= 0.8) where r = 1
+select doc_id, item_id, best.a::double as similarity, (-best.b)::bigint as first_word, (best.w + 4)::bigint as words
+from (select doc_id, item_id, max({'a': similarity, 'b': -start, 'w': w}) as best from alike where similarity >= 0.8 group by doc_id, item_id)
 """,
     "op8_quality_divergence": rf"""
 with d as (select doc_id, text, case when lang is null then 'null' else '=' || lang end as key,
     coalesce(list_filter(regexp_split_to_array(text, '{_GAP}'), lambda w: w <> ''), []::varchar[]) as words from documents),
-own as (select key from d group by key having count(*) >= 20 order by count(*) desc, key limit 512),
-r as (select d.*, case when own.key is null then '*' else d.key end as ref from d left join own using (key)),
+r as (select d.*, key as ref from d),
 m as (select doc_id, key, ref, len(words)::bigint as n_words, length(array_to_string(words, ''))::bigint as word_chars,
     coalesce(length(regexp_replace(text, '[^#*$%&|<>]+', '', 'g')), 0)::bigint as n_symbols,
     coalesce(len(lines) - len(list_distinct(lines)), 0)::bigint as n_dup_lines,
@@ -70,10 +84,12 @@ t as (select *, case when lead(word, 2) over o is not null then word || chr(1) |
 s as (select doc_id, i, case when tri is not null and count(*) over (partition by doc_id, tri) > 1 then 1 else 0 end as again from t),
 rep as (select doc_id, sum(c)::bigint as n_repeat_words from (select doc_id, max(again) over (partition by doc_id order by i rows between 2 preceding and current row) as c from s) group by doc_id),
 cnt as (select key, lower(word) as word, count(*) as n from w group by all),
-every as (select key, word, n from cnt semi join own using (key) union all select '*', word, sum(n)::bigint from cnt group by word),
-top as (select * from (select *, row_number() over (partition by key order by n desc, word) as rk, sum(n) over (partition by key) as all_words from every) where rk <= 12),
+top as (select * from (select *, row_number() over (partition by key order by n desc, word) as rk, sum(n) over (partition by key) as all_words from cnt) where rk <= 12),
+rest as (select key, any_value(all_words) as all_words, 1 - sum(n) / any_value(all_words) as r from top group by key),
+lim as (select key, all_words, least(0.3, 0.9 * sqrt(greatest(((1 - r) + log2(2 / (1 + r)) + case when r > 0 then r * log2(2 * r / (1 + r)) else 0 end) / 2, 0))) as word_limit from rest),
+chars as (select key, sum(word_chars) as all_chars from m group by key),
 cls as (select doc_id, key, ref, unnest(['lo', 'up', 'di', 'pu', 'sy', 'ot']) as c, unnest([lo, up, di, pu, n_symbols, word_chars - lo - up - di - pu - n_symbols]) as x from m),
-refc as (select key, c, sum(x) as y from cls group by all union all select '*', c, sum(x) from cls group by c),
+refc as (select key, c, sum(x) as y from cls group by all),
 docw as (select m.doc_id, m.ref, top.rk, top.n as y, (select count(*) from w where w.doc_id = m.doc_id and lower(w.word) = top.word) as x from m join top on top.key = m.ref),
 hw as (select doc_id, x, y from docw union all
   select m.doc_id, m.n_words - coalesce(sum(docw.x), 0), any_value(a.all_words) - sum(docw.y) from m join docw using (doc_id) join (select distinct key, all_words from top) a on a.key = m.ref group by m.doc_id, m.n_words),
@@ -82,9 +98,10 @@ js as (select 'w' as k, doc_id, x / greatest(sum(x) over (partition by doc_id),
   select 'c', doc_id, x / greatest(sum(x) over (partition by doc_id), 1), y / greatest(sum(y) over (partition by doc_id), 1) from hc),
 dist as (select doc_id, k, sqrt(greatest(sum(case when p > 0 then p * log2(2 * p / (p + q)) else 0 end + case when q > 0 then q * log2(2 * q / (p + q)) else 0 end) / 2, 0)) as v from js group by all)
 select m.doc_id, n_words, word_chars, n_symbols, n_dup_lines, coalesce(n_repeat_words, 0)::bigint as n_repeat_words, base_failed,
-  not base_failed and (word_chars < 200 or c.v <= 0.3) and (n_words < 100 or w.v <= 0.3) as kept, round(c.v, 6) as class_distance, round(w.v, 6) as word_distance
+  not base_failed and (word_chars < 200 or all_chars - word_chars < 2000 or c.v <= 0.3) and (n_words < 100 or all_words - n_words < 1000 or w.v <= word_limit) as kept,
+  round(c.v, 6) as class_distance, round(coalesce(w.v, 0), 6) as word_distance
 from (select *, n_words < 50 or 100 * coalesce(n_repeat_words, 0) > 50 * n_words as base_failed from m left join rep using (doc_id)) m
-join dist c on c.doc_id = m.doc_id and c.k = 'c' join dist w on w.doc_id = m.doc_id and w.k = 'w'
+join dist c on c.doc_id = m.doc_id and c.k = 'c' left join dist w on w.doc_id = m.doc_id and w.k = 'w' join chars on chars.key = m.key left join lim on lim.key = m.key
 """,
     "op9_site_lines": rf"""
 with t as (select page_id, nullif(lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/:?#]+)', 1)), '') as host,

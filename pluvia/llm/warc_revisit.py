@@ -3,13 +3,14 @@
 Pages are written as gzipped WARC response records (one gzip member each) into archives of bounded size in
 the shared folder.  Resolution reads the archives' headers, shuffles them by payload digest, joins each
 duplicate to the original response, and rewrites every archive with fresh headers: duplicates become
-``revisit`` records without payload that refer to the original.
+``revisit`` records without payload that refer to the original by record id, URI and date.  A rewritten record keeps
+its capture date; its id follows from the old one, so that revisits name ids that exist in the new archives.
 
 Archives are named once by the task attempt that writes them and only those named in the written manifest
 are read, so a retried task leaves no doubled records.  A task holds one record at a time.
 
 Defined cases: a null payload is empty; payloads under ``min_bytes`` are always responses; of equal payloads
-that with the largest page_id is the response (null ids are smallest; among equal ids the last written); a
+that with the largest page_id, a whole number, is the response (null ids are smallest; among equal ids the last written); a
 null URL or id leaves its header out; repeated rows are separate records; no pages give no archives and no
 records; other columns are ignored, whatever their names.
 """
@@ -31,11 +32,13 @@ from pyspark.sql import functions as F
 from ._store import pin, shared_dir
 
 MANIFEST = "file string, records long, bytes long"
-HEADERS = ("file string, offset long, record_type string, record_id string, page_id long, target_uri string, "
+HEADERS = ("file string, offset long, record_type string, record_id string, date string, page_id long, target_uri string, "
            "payload_digest string, payload_bytes long, refers_to long")
 HTTP = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: %d\r\n\r\n"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
-ROLL_BYTES, ROLL_RECORDS = 32 << 20, 100_000
+ROLL_BYTES, ROLL_RECORDS = 512 << 20, 1_000_000
+#: Archives are read and rewritten by at most so many tasks at once; each takes several where there are more.
+MOST_TASKS = 20_000
 
 
 def digest_of(payload: bytes) -> str:
@@ -54,12 +57,18 @@ def _open(uri: str, mode: str):
     return store.open_output_stream(path)
 
 
-def make_record(kind: str, page_id, url, digest: str, size: int, payload: bytes | None = None, refers_to=None, refers_uri=None) -> bytes:
-    """One WARC record as a gzip member.  A revisit's block is the HTTP head alone."""
+def fresh_id(old: str) -> str:
+    """The id of the rewritten form of a record."""
+    return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, old)}>"
+
+
+def make_record(kind: str, page_id, url, digest: str, size: int, payload: bytes | None = None, record_id: str | None = None, date: str | None = None,
+                original: dict | None = None) -> bytes:
+    """One WARC record as a gzip member.  A revisit's block is the HTTP head alone; ``original`` is the record it revisits."""
     block = HTTP % size + (payload or b"" if kind == "response" else b"")
     clean = lambda x: re.sub(r"[\x00-\x20\x7f]", lambda m: f"%{ord(m[0]):02X}", x)
-    head = [("WARC-Type", kind), ("WARC-Record-ID", f"<urn:uuid:{uuid.uuid4()}>"),
-            ("WARC-Date", datetime.now(timezone.utc).strftime("%Y-%m-%dT%H:%M:%SZ")),
+    head = [("WARC-Type", kind), ("WARC-Record-ID", record_id or f"<urn:uuid:{uuid.uuid4()}>"),
+            ("WARC-Date", date or datetime.now(timezone.utc).strftime("%Y-%m-%dT%H:%M:%SZ")),
             ("WARC-Payload-Digest", f"sha1:{digest}"), ("X-Payload-Length", str(size)),
             ("Content-Type", "application/http; msgtype=response")]
     if page_id is not None:
@@ -67,11 +76,11 @@ def make_record(kind: str, page_id, url, digest: str, size: int, payload: bytes
     if url is not None:
         head.append(("WARC-Target-URI", clean(url)))
     if kind == "revisit":
-        head.append(("WARC-Profile", PROFILE))
-        if refers_to is not None:
-            head.append(("X-Refers-To-Page", str(refers_to)))
-        if refers_uri is not None:
-            head.append(("WARC-Refers-To-Target-URI", clean(refers_uri)))
+        head += [("WARC-Profile", PROFILE), ("WARC-Refers-To", fresh_id(original["record_id"])), ("WARC-Refers-To-Date", original["date"])]
+        if original["page_id"] is not None:
+            head.append(("X-Refers-To-Page", str(original["page_id"])))
+        if original["target_uri"] is not None:
+            head.append(("WARC-Refers-To-Target-URI", clean(original["target_uri"])))
     head.append(("Content-Length", str(len(block))))
     text = "WARC/1.1\r\n" + "".join(f"{k}: {v}\r\n" for k, v in head) + "\r\n"
     pack = zlib.compressobj(1, zlib.DEFLATED, 31)
@@ -146,8 +155,8 @@ def write_archives(pages: DataFrame, page_id: str = "page_id", url: str = "url",
 
 
 def _spread(manifest: DataFrame) -> DataFrame:
-    """The archives' names, one partition each."""
-    return manifest.select("file").repartition(max(1, manifest.count()))
+    """The archives' names over the tasks."""
+    return manifest.select("file").repartition(max(1, min(MOST_TASKS, manifest.count())))
 
 
 def _number(text: str | None) -> int | None:
@@ -167,7 +176,7 @@ def read_headers(manifest: DataFrame) -> DataFrame:
                         payload = block.partition(b"\r\n\r\n")[2]
                         if digest_of(payload) != digest or len(payload) != int(h["X-Payload-Length"]):
                             raise ValueError(f"{uri}: the payload at byte {offset} differs from its digest")
-                    found.append((uri, offset, h["WARC-Type"], h["WARC-Record-ID"], _number(h.get("X-Page-ID")), h.get("WARC-Target-URI"),
+                    found.append((uri, offset, h["WARC-Type"], h["WARC-Record-ID"], h["WARC-Date"], _number(h.get("X-Page-ID")), h.get("WARC-Target-URI"),
                                   digest, int(h["X-Payload-Length"]), _number(h.get("X-Refers-To-Page"))))
                     if len(found) >= 10_000:
                         yield _frame(found)
@@ -182,21 +191,19 @@ def _frame(rows: list[tuple]) -> pd.DataFrame:
     return out.astype({"page_id": "Int64", "refers_to": "Int64", "offset": "int64", "payload_bytes": "int64"})
 
 
-def resolve(headers: DataFrame, min_bytes: int = 0, salts: int = 32) -> DataFrame:
-    """headers -> adds ``original`` (struct of the response's page_id, file, offset, target_uri), null for
-    responses.  Only digests with several records are joined, over salted keys: one payload may hold any
-    share of the records."""
-    place = F.struct("page_id", "file", "offset", "target_uri")
+def resolve(headers: DataFrame, min_bytes: int = 0) -> DataFrame:
+    """headers -> adds ``original`` (struct of the response's page_id, file, offset, record_id, date, target_uri), null
+    for responses.  Only digests with several records are joined; where one payload holds any share of the records,
+    Spark divides its side of the join."""
+    place = F.struct("page_id", "file", "offset", "record_id", "date", "target_uri")
     winners = (
         headers.filter(F.col("payload_bytes") >= min_bytes)
         .groupBy("payload_digest").agg(F.max(place).alias("original"), F.count("*").alias("n"))
         .filter("n > 1").drop("n")
-        .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     )
-    salted = headers.withColumn("_salt", F.pmod(F.xxhash64("file", "offset"), F.lit(salts)).cast("int"))
     own = (F.col("original.file") == F.col("file")) & (F.col("original.offset") == F.col("offset"))
     return (
-        salted.join(winners, ["payload_digest", "_salt"], "left").drop("_salt")
+        headers.join(winners, "payload_digest", "left")
         .withColumn("original", F.when((F.col("payload_bytes") >= min_bytes) & ~own, F.col("original")))
     )
 
@@ -207,22 +214,24 @@ def rewrite_archives(manifest: DataFrame, resolved: DataFrame) -> DataFrame:
 
     def rewrite(key, rows: pd.DataFrame) -> pd.DataFrame:
         roller = _Roller(folder, roll=False)
-        known = {o: (pid, uri) for o, dup, pid, uri in zip(rows["offset"], rows["duplicate"], rows["original_page"], rows["original_uri"], strict=True) if dup}
+        twice = rows[rows["original_id"].notna()]
+        known = {o: {"record_id": rid, "date": date, "page_id": pid, "target_uri": uri}
+                 for o, rid, date, pid, uri in zip(*(twice[c] for c in ("offset", "original_id", "original_date", "original_page", "original_uri")), strict=True)}
         for offset, h, block in records_of(key[0]):
             digest, size = h["WARC-Payload-Digest"].removeprefix("sha1:"), int(h["X-Payload-Length"])
-            pid, uri = h.get("X-Page-ID"), h.get("WARC-Target-URI")
+            same = (h.get("X-Page-ID"), h.get("WARC-Target-URI"), digest, size)
+            kept = {"record_id": fresh_id(h["WARC-Record-ID"]), "date": h["WARC-Date"]}
             if offset in known:
-                to, to_uri = known[offset]
-                roller.add(make_record("revisit", pid, uri, digest, size, refers_to=to, refers_uri=to_uri))
+                roller.add(make_record("revisit", *same, original=known[offset], **kept))
             else:
-                roller.add(make_record("response", pid, uri, digest, size, block.partition(b"\r\n\r\n")[2]))
+                roller.add(make_record("response", *same, block.partition(b"\r\n\r\n")[2], **kept))
         roller.close()
         return roller.manifest()
 
     plans = resolved.select(
-        "file", "offset", F.col("original").isNotNull().alias("duplicate"),
+        "file", "offset", F.col("original.record_id").alias("original_id"), F.col("original.date").alias("original_date"),
         F.col("original.page_id").cast("string").alias("original_page"), F.col("original.target_uri").alias("original_uri"))
-    spread = plans.repartition(max(1, manifest.count()), "file")
+    spread = plans.repartition(max(1, min(MOST_TASKS, manifest.count())), "file")
     return pin(spread.groupBy("file").applyInPandas(rewrite, MANIFEST), "warc-manifest")
 
 
