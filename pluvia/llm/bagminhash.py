@@ -203,10 +203,10 @@ def verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
 
 
 def own_items(sets: DataFrame) -> DataFrame:
-    """tid, own: how many items of a text no other text has (texts without such items are left out)."""
-    items = sets.select(F.explode("items").alias("item"), "tid")
-    alone = items.groupBy("item").agg(F.count("*").alias("n"), F.min("tid").alias("tid")).filter("n = 1")
-    return alone.groupBy("tid").agg(F.count("*").alias("own"))
+    """handle, own: how many items of a text no other text has (texts without such items are left out)."""
+    items = sets.select(F.explode("items").alias("item"), F.xxhash64("tid").alias("handle"))
+    alone = items.groupBy("item").agg(F.count("*").alias("n"), F.min("handle").alias("handle")).filter("n = 1")
+    return alone.groupBy("handle").agg(F.count("*").alias("own"))
 
 
 def led_pairs(texts: DataFrame, similarity: float) -> DataFrame:
@@ -245,7 +245,12 @@ def classes(texts: DataFrame, sets: DataFrame, similarity: float, first: int = 6
 
     def joined(now: DataFrame, pairs: DataFrame) -> DataFrame:
         """``now`` with the classes that the verified ones among ``pairs`` make."""
+        pairs = pin(pairs, "bagminhash-pairs")
+        if pairs.isEmpty():
+            unpin(pairs)
+            return now
         edges.append(pin(verified(pairs, sets, similarity), "bagminhash-edges"))
+        unpin(pairs)
         if edges[-1].isEmpty():
             return now
         of = now.select("tid", "comp")
@@ -294,18 +299,20 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, doc_id: str
     texts = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     signed = pin(sign(texts), "bagminhash-signed")
     nodes = pin(signed.groupBy("tid").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies"), F.first("keys").alias("keys")), "bagminhash-nodes")
-    keyed = nodes.select("tid", F.explode("keys").alias("key"))
+    # The many rows of bands and items carry a text's 8-byte handle; what meets is looked up by the text's key.
+    keyed = nodes.select(F.xxhash64("tid").alias("handle"), F.explode("keys").alias("key"))
     shared = keyed.groupBy("key").count().filter("count > 1").select("key")
-    wanted = pin(keyed.join(shared, "key").select("tid").distinct(), "bagminhash-wanted")
-    body = texts.withColumn("tid", text_key(F.col("text")))
-    sets = pin(shingle_sets(body.join(wanted, "tid", "left_semi").dropDuplicates(["tid"])), "bagminhash-sets")
+    wanted = keyed.join(shared, "key").select("handle").distinct()
+    body = texts.withColumn("tid", text_key(F.col("text"))).withColumn("handle", F.xxhash64("tid"))
+    sets = pin(shingle_sets(body.join(wanted, "handle", "left_semi").dropDuplicates(["handle", "tid"])), "bagminhash-sets")
     # A text of whose items more than 1 - similarity are its own is similar to no other text.
     alive = (
-        sets.select("tid", F.size("items").alias("n")).join(own_items(sets), "tid", "left").withColumn("own", F.coalesce("own", F.lit(0)))
-        .filter(F.col("n") - F.col("own") >= similarity * F.col("n") - 1e-9)
+        sets.select("tid", F.size("items").alias("n"), F.xxhash64("tid").alias("handle")).join(own_items(sets), "handle", "left").drop("handle")
+        .withColumn("own", F.coalesce("own", F.lit(0))).filter(F.col("n") - F.col("own") >= similarity * F.col("n") - 1e-9)
     )
     now, edges = classes(alive.join(nodes.select("tid", "keys"), "tid"), sets, similarity)
-    links = reduce(DataFrame.unionByName, edges).select(F.explode(F.array("a", "b")).alias("tid")).groupBy("tid").agg(F.count("*").alias("links"))
+    ends = [e.select(F.explode(F.array("a", "b")).alias("tid")) for e in edges]
+    links = reduce(DataFrame.unionByName, ends, nodes.select("tid").limit(0)).groupBy("tid").agg(F.count("*").alias("links"))
     # A text with one document and no link is its own class; only the others are joined back.
     special = (
         nodes.select("tid", "rep", "copies").join(now.select("tid", "comp").join(links, "tid"), "tid", "left")
@@ -313,7 +320,7 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, doc_id: str
     )
     least = special.groupBy("comp").agg(F.min("rep").alias("class_id"))
     special = pin(special.join(least, "comp").select("tid", "rep", "class_id", "links"), "bagminhash-special")
-    unpin(nodes, wanted, sets, now, *edges)
+    unpin(nodes, sets, now, *edges)
     return signed.select("doc_id", "tid").join(special, "tid", "left").select(
         "doc_id", "tid", F.coalesce("class_id", "doc_id").alias("class_id"), F.coalesce("rep", "doc_id").alias("copy_of"),
         F.coalesce("links", F.lit(0)).cast("long").alias("links"))
