@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -56,3 +56,27 @@ def require_columns(df: DataFrame, names: list[str], what: str = "table") -> Dat
 def collisions(df: DataFrame, id_col: str, keys: list[str]) -> DataFrame:
     """Ids that stand for several coordinates."""
     return df.select(id_col, *keys).distinct().groupBy(id_col).count().filter("count > 1")
+
+
+def infer_digits(cells: DataFrame, lat: str = "lat", lon: str = "lon", most: int = 6, error: float = 1e-4) -> int:
+    """Least number of digits whose ids are free of collisions and off by at most ``error`` of the grid's spacing.
+
+    Spark gives one row: the spacing, and for each number of digits its distinct ids and largest error."""
+    pairs = cells.select(F.col(lat).cast("double").alias("lat"), F.col(lon).cast("double").alias("lon")).distinct()
+    if pairs.filter(F.col("lat").isNull() | F.col("lon").isNull() | F.isnan("lat") | F.isnan("lon")).limit(1).count() or pairs.isEmpty():
+        raise ValueError("grid ids need coordinates that are all finite")
+    steps = []
+    for c in ("lat", "lon"):  # distinct values of one coordinate: thousands at most
+        values = pairs.select(c).distinct()
+        gap = values.select((F.lead(c).over(Window.partitionBy().orderBy(c)) - F.col(c)).alias("d")).filter("d > 0").agg(F.min("d")).first()[0]
+        steps += [] if gap is None else [gap]
+    off = lambda c, k: F.max(F.abs(F.round(c, k) - F.col(c)))
+    got = pairs.agg(
+        F.count(F.lit(1)).alias("n"), F.max(F.greatest(F.abs("lat"), F.abs("lon"))).alias("size"),
+        *[F.count_distinct(grid_id(F.col("lat"), F.col("lon"), k, half_even=True)).alias(f"ids{k}") for k in range(most + 1)],
+        *[F.greatest(off("lat", k), off("lon", k)).alias(f"off{k}") for k in range(most + 1)]).first()
+    allowed = min(steps) * error if steps else max(1.0, got["size"]) * 1e-6
+    for k in range(most + 1):
+        if got[f"ids{k}"] == got["n"] and got[f"off{k}"] <= allowed:
+            return k
+    raise ValueError(f"no number of digits up to {most} gives ids without collisions")

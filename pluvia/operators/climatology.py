@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.arrays import floor_probs, let, total
+from .relations import forecast_window, month_day
 
 GRID, MIN_SAMPLES, EPS = 512, 10, 1e-12
 
@@ -80,3 +81,30 @@ def predict(rows: DataFrame, horizon: int, d0: str = "d0", low: float = 5e-7) ->
     frame = F.struct("lo", "step", "cdf", F.col(d0).cast("double").alias("d0"))
     out = rows.withColumn("_p", let(let(frame, days), both))
     return out.select(*rows.columns, "_p.p_day0", "_p.p_uncond", "_p.p_cond")
+
+
+def training_samples(truth: DataFrame, first: int, last: int, onset: str = "onset_day") -> DataFrame:
+    """Rows with an onset in the years first..last."""
+    return truth.filter(F.col(onset).isNotNull() & F.col("year").between(first, last))
+
+
+def issue_grid(spark: SparkSession, first: int, last: int, start: str, end: str, horizons: list[tuple[str, str, int]] | int = 28) -> DataFrame:
+    """year, time, d0 (days since the season's start), horizon: every issue date of every year, both ends included.
+
+    ``horizons`` are month-day ranges with their days, or one number for all; dates outside all ranges leave."""
+    if end < start:
+        raise ValueError(f"the season's last issue {end} is before its start {start}")
+    years = spark.range(first, last + 1).select(F.col("id").cast("int").alias("year"))
+    opened = month_day(F.col("year"), start)
+    rows = years.select("year", F.explode(F.sequence(opened, month_day(F.col("year"), end))).alias("time"))
+    days = F.lit(horizons) if isinstance(horizons, int) else forecast_window(F.col("time"), horizons)
+    return rows.withColumn("d0", F.datediff("time", opened)).withColumn("horizon", days).filter("horizon IS NOT NULL")
+
+
+def issue_probabilities(fits: DataFrame, grid: DataFrame, horizon: int, low: float = 5e-7) -> DataFrame:
+    """Each unit's fit at each issue date: id, year, time, d0, horizon, p_day0, p_uncond, p_cond.
+
+    The grid (a few hundred dates a year) is one array that every fit's row unfolds."""
+    dates = grid.agg(F.collect_list(F.struct("year", "time", "d0", "horizon")).alias("_dates"))
+    rows = fits.join(F.broadcast(dates)).withColumn("_d", F.explode("_dates")).select(*fits.columns, "_d.*")
+    return predict(rows, horizon, "d0", low).drop("lo", "step", "cdf", "n")

@@ -10,7 +10,7 @@ import numpy as np
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.arrays import clean_probs, softmax
@@ -65,6 +65,36 @@ def fit_multinomial(train: DataFrame, names: list[str], label: str) -> dict:
     return {"coef": model.coefficientMatrix.toArray(), "intercept": model.interceptVector.toArray(), "scale": scale, "names": names}
 
 
+def final_fit(df: DataFrame, names: list[str], label: str, true_holdout: set[int] = frozenset(), year: str = "year") -> dict:
+    """The fit of all training years, which are all but the true holdouts; every outcome class must occur in them."""
+    known = df.filter(F.col(label).isNotNull())
+    train = known.filter(~F.col(year).isin([-1, *true_holdout]))
+    lost = known.select(label).distinct().join(train.select(label).distinct(), label, "left_anti")
+    if some := [r[0] for r in lost.limit(5).collect()]:
+        raise ValueError(f"the training years lack the outcome classes {some}")
+    return fit_multinomial(train, names, label)
+
+
+def bundle(spark: SparkSession, model: dict) -> DataFrame:
+    """A fit as a table, to be written and read: class, position, term, coefficient, mean, deviation; the intercept is the
+    term at position -1."""
+    rows = [(k, -1, "(intercept)", float(b), 0.0, 1.0) for k, b in enumerate(model["intercept"])]
+    rows += [(k, j, n, float(model["coef"][k][j]), *map(float, model["scale"][n])) for k in range(len(model["intercept"])) for j, n in enumerate(model["names"])]
+    return spark.createDataFrame(rows, "class int, position int, term string, coefficient double, mean double, deviation double")
+
+
+def from_bundle(table: DataFrame) -> dict:
+    """The fit of a table from :func:`bundle` (a few rows a class)."""
+    rows = sorted(table.collect(), key=lambda r: (r["class"], r["position"]))
+    classes = sorted({r["class"] for r in rows})
+    terms = [r for r in rows if r["class"] == classes[0] and r["position"] >= 0]
+    of = {(r["class"], r["position"]): r["coefficient"] for r in rows}
+    if len(of) != len(classes) * (len(terms) + 1):
+        raise ValueError("the bundle lacks coefficients")
+    return {"names": [r["term"] for r in terms], "scale": {r["term"]: (r["mean"], r["deviation"]) for r in terms},
+            "intercept": [of[k, -1] for k in classes], "coef": [[of[k, j] for j in range(len(terms))] for k in classes]}
+
+
 def apply_multinomial(df: DataFrame, model: dict, out: str = "p") -> DataFrame:
     """Class probabilities from the coefficients, in SQL; NULL where a predictor is missing."""
     z = [sum(((F.col(n) - m) / s * float(c) for (n, (m, s)), c in zip(model["scale"].items(), row, strict=True)), F.lit(float(b)))

@@ -106,8 +106,18 @@ def first_onset(days: DataFrame, rule: OnsetRule, keys: list[str], start: Column
 
 def onset_of_array(a: Column, threshold: Column, rule: OnsetRule, start: Column | None = None) -> Column:
     """The same search within one row: ``a`` is the series; needs no shuffle."""
-    n = F.size(a)
     begin = F.greatest(F.lit(1), F.ceil(start).cast("int")) if start is not None else F.lit(1)
+    return F.get(onset_days(a, threshold, rule, begin), 0).cast("int")
+
+
+def first_from(days: Column, start: Column) -> Column:
+    """The first of the sorted ``days`` (from :func:`onset_days`) from ``start`` on: several searches of one series."""
+    return F.get(F.filter(days, lambda d: d >= F.ceil(start)), 0).cast("int")
+
+
+def onset_days(a: Column, threshold: Column, rule: OnsetRule, begin: Column | None = None) -> Column:
+    """All days from ``begin`` on that start the season if the search does not start later."""
+    n, begin = F.size(a), F.lit(1) if begin is None else begin
     low, high, last = rule.reach
     dry = lambda i: F.coalesce(F.get(a, i - 1) < rule.dry_below, F.lit(False))  # noqa: E731  1-based day
     if rule.mode == "consecutive_dry":
@@ -130,7 +140,7 @@ def onset_of_array(a: Column, threshold: Column, rule: OnsetRule, start: Column
         return F.coalesce(ok, F.lit(False))
 
     days = F.sequence(begin, n - rule.window + 1)
-    return F.when((begin <= n - rule.window + 1) & threshold.isNotNull(), F.get(F.filter(days, fits), 0)).cast("int")
+    return F.when((begin <= n - rule.window + 1) & threshold.isNotNull(), F.filter(days, fits))
 
 
 def threshold_quantile(days: DataFrame, k: int, q: float, id_col: str = "id", keys: list[str] | None = None, rain: str = "x") -> DataFrame:
@@ -150,14 +160,21 @@ def lead_start(issue: Column, reference: Column, default: int | None = 1) -> Col
     return F.coalesce(F.greatest(F.lit(1), F.datediff(reference, issue)), F.lit(default))
 
 
-def onset_probabilities(members: DataFrame, keys: list[str], onsets: list[str], horizon: int) -> DataFrame:
-    """Members' onset leads -> per key and variant the share of all members with onset on lead 1..horizon."""
+def onset_probabilities(members: DataFrame, keys: list[str], onsets: list[str], horizon: int, rain: str | None = None) -> DataFrame:
+    """Members' onset leads -> per key and variant the share of all members with onset on lead 1..horizon.
+
+    With ``rain``, the members' arrays, the shares are NULL where no member has any value."""
     share = lambda c, k: F.count_if(F.col(c) == k) / F.count(F.lit(1))
-    return members.groupBy(*keys).agg(*[F.array(*[share(c, k) for k in range(1, horizon + 1)]).alias(f"p_{c}") for c in onsets])
+    known = F.lit(True) if rain is None else F.coalesce(F.bool_or(F.exists(rain, lambda x: x.isNotNull())), F.lit(False))
+    return members.groupBy(*keys).agg(*[F.when(known, F.array(*[share(c, k) for k in range(1, horizon + 1)])).alias(f"p_{c}") for c in onsets])
+
 
+def ensemble_stats(members: DataFrame, keys: list[str], x: str = "x", rain_above: float = 1.0, lead: str = "lead") -> DataFrame:
+    """Mean and sample deviation of the members that have a value, and the share of all members with rain.
 
-def ensemble_stats(members: DataFrame, keys: list[str], x: str = "x", rain_above: float = 1.0) -> DataFrame:
-    """Mean and sample deviation of the members that have a value, and the share of all members with rain."""
-    return members.groupBy(*keys).agg(
+    The share is NULL where no lead of the series (the keys without ``lead``) has any value."""
+    out = members.groupBy(*keys).agg(
         F.avg(x).alias("rain_mean"), F.stddev_samp(x).alias("rain_sd"),
         F.avg(F.coalesce((F.col(x) > rain_above).cast("int"), F.lit(0))).alias("frac_raining"))
+    known = F.count("rain_mean").over(Window.partitionBy(*[k for k in keys if k != lead])) > 0
+    return out.withColumn("frac_raining", F.when(known, F.col("frac_raining")))

@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+import tempfile
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.ids import parse_grid_id
+
 
 def parse_years(text: str | None) -> list[int]:
     """ "2001,2003:2005" -> [2001, 2003, 2004, 2005]; empty means no filter."""
@@ -118,25 +123,56 @@ def forecast_window(date: Column, horizons: list[tuple[str, str, int]]) -> Colum
     return out
 
 
+def cut(df: DataFrame) -> DataFrame:
+    """Checkpoint in the cluster's shared folder (``spark.checkpoint.dir``); local sessions without one take a temporary
+    folder."""
+    context = df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        base = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        if not base and not context.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        context.setCheckpointDir(base or tempfile.mkdtemp(prefix="spark-checkpoint-"))
+    return df.checkpoint()
+
+
 def nearest(points: DataFrame, targets: DataFrame, key: str, target_key: str, cell: float = 1.0) -> DataFrame:
-    """Nearest target of each point by squared degrees: candidates share a coarse cell or touch it.
+    """key, nearest target (the least key of ties) and ``gap``, the squared degrees to it; NULL without any target.
 
-    Points without a target within one cell stay without."""
+    Points meet the targets of their coarse cell and its neighbours.  What lies outside of those is more than a cell
+    away, so a target within a cell is the nearest of all; the other points go on with cells of twice the size."""
     step = F.explode(F.expr("sequence(-1, 1)"))
-    near = targets.withColumn("_i", F.floor(F.col("lat") / cell)).withColumn("_j", F.floor(F.col("lon") / cell))
-    near = near.withColumn("_di", step).withColumn("_dj", step).select(
-        target_key, F.col("lat").alias("_lat"), F.col("lon").alias("_lon"), (F.col("_i") + F.col("_di")).alias("_i"), (F.col("_j") + F.col("_dj")).alias("_j"))
-    at = points.withColumn("_i", F.floor(F.col("lat") / cell)).withColumn("_j", F.floor(F.col("lon") / cell))
+    near = lambda p, t, size: (
+        p.withColumn("_i", F.floor(F.col("lat") / size)).withColumn("_j", F.floor(F.col("lon") / size)).join(
+            t.withColumn("_di", step).withColumn("_dj", step).select(
+                target_key, F.col("lat").alias("_lat"), F.col("lon").alias("_lon"),
+                (F.floor(F.col("lat") / size) + F.col("_di")).alias("_i"), (F.floor(F.col("lon") / size) + F.col("_dj")).alias("_j")), ["_i", "_j"]))
     gap = F.pow(F.col("lat") - F.col("_lat"), 2) + F.pow(F.col("lon") - F.col("_lon"), 2)
-    return at.join(near, ["_i", "_j"]).groupBy(key).agg(F.min_by(target_key, F.struct(gap, target_key)).alias(target_key), F.min(gap).alias("gap"))
-
-
-def resolve_overlap(df: DataFrame, keys: list[str], how: str, x: str = "x", lead: str = "lead") -> DataFrame:
-    """One value per valid date of overlapping forecasts: that of the nearest (least) lead, of the longest, or the mean."""
+    out, rest, size = [], points.select(key, "lat", "lon"), cell
+    while True:
+        found = cut(near(rest, targets, size).groupBy(key).agg(F.min_by(target_key, F.struct(gap, target_key)).alias(target_key), F.min(gap).alias("gap")))
+        if size > 720:  # the whole globe is within three cells
+            out.append(rest.select(key).join(found, key, "left"))
+            break
+        sure = found.filter(F.col("gap") <= size * size)
+        out.append(sure)
+        rest = cut(rest.join(sure.select(key), key, "left_anti"))
+        if rest.isEmpty():
+            break
+        size *= 2
+    return reduce(DataFrame.unionByName, out)
+
+
+def overlap_rule(how: str, x: str = "x", lead: str = "lead") -> Column:
+    """Aggregate that picks one of overlapping forecasts: that of the nearest (least) lead, of the longest, or the mean."""
     pick = {"nearest": F.min_by(x, lead), "longest": F.max_by(x, lead), "first": F.max_by(x, lead), "mean": F.avg(x)}
     if how not in pick:
         raise ValueError(f"unknown overlap rule {how!r}")
-    return df.groupBy(*keys).agg(pick[how].alias(x))
+    return pick[how]
+
+
+def resolve_overlap(df: DataFrame, keys: list[str], how: str, x: str = "x", lead: str = "lead") -> DataFrame:
+    """One value per valid date of overlapping forecasts."""
+    return df.groupBy(*keys).agg(overlap_rule(how, x, lead).alias(x))
 
 
 def common_support(df: DataFrame, predictors: list[str]) -> tuple[DataFrame, DataFrame]:
@@ -150,3 +186,18 @@ def fingerprint(df: DataFrame) -> DataFrame:
     numbers = [c for c, t in df.dtypes if t in ("int", "bigint", "double", "float")]
     return df.agg(F.count(F.lit(1)).alias("n_rows"), *[F.sum(F.col(c).cast("double")).alias(f"sum_{c}") for c in numbers],
                   *[F.count_if(F.col(c).isNull()).alias(f"null_{c}") for c in numbers])
+
+
+def project_family(df: DataFrame, source: str, model: str, out: str) -> DataFrame:
+    """Renames ``<source>_day_k`` to ``<model>_<out>_day_k``; other columns stay."""
+    head = f"{source}_day_"
+    return df.select(*[F.col(c).alias(f"{model}_{out}_day_{c[len(head):]}" if c.startswith(head) and c[len(head):].isdigit() else c) for c in df.columns])
+
+
+def resolve_location(df: DataFrame, centroids: DataFrame, key: str = "id") -> DataFrame:
+    """Adds lat and lon: own columns, else from a "<lat>_<lon>" id, else the unit's centroid."""
+    parsed = parse_grid_id(F.col(key))
+    own = [F.col(c) if c in df.columns else F.lit(None).cast("double") for c in ("lat", "lon")]
+    rows = df.select(*[c for c in df.columns if c not in ("lat", "lon")], own[0].alias("_lat"), own[1].alias("_lon"))
+    out = rows.join(centroids.select(key, F.col("lat").alias("_clat"), F.col("lon").alias("_clon")), key, "left")
+    return out.withColumn("lat", F.coalesce("_lat", parsed[0], "_clat")).withColumn("lon", F.coalesce("_lon", parsed[1], "_clon")).drop("_lat", "_lon", "_clat", "_clon")

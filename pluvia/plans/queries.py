@@ -107,16 +107,20 @@ def onset_three_variants(spark, sf):
 
 
 def variants(spark, sf):
-    start = lambda day: F.greatest(F.lit(1), day - F.col("issue"))
-    one = lambda s: O.onset_of_array(F.col("rain"), F.lit(40.0), FORECAST, s)
-    return T.forecasts(spark, sf).withColumns({"raw": one(None), "fixed_cutoff": one(start(F.lit(33))), "ref_onset": one(start(15 + (F.col("year") % 5) * 7))})
+    """The days that fit are found once a member; a generator keeps a filter on a variant from repeating the search."""
+    start = lambda day: day - F.col("issue")
+    one = lambda days: F.struct(O.first_from(days, F.lit(1)).alias("raw"), O.first_from(days, start(F.lit(33))).alias("fixed_cutoff"), O.first_from(days, start(15 + (F.col("year") % 5) * 7)).alias("ref_onset"))
+    rows = T.forecasts(spark, sf)
+    found = F.transform(F.array(O.onset_days(F.col("rain"), F.lit(40.0), FORECAST)), one)
+    return rows.select("*", F.explode(found).alias("_v")).select(*rows.columns, "_v.*")
 
 
 @query(f"""WITH {T.FORECASTS}, {onset_sql(FORECAST, 'forecasts', 'id, year, issue, number', '40')}, leads AS (SELECT unnest(range(1, 29)) AS lead)
 SELECT id, year, issue, CAST(lead AS INT) AS lead, sum(CASE WHEN onset_idx = lead THEN 1 ELSE 0 END) / count(*) AS p FROM found, leads GROUP BY id, year, issue, lead HAVING p > 0""")
 def onset_prob_by_lead(spark, sf):
     """A1: share of all members with onset on each lead."""
-    p = O.onset_probabilities(variants(spark, sf), ["id", "year", "issue"], ["raw"], 28)
+    members = T.forecasts(spark, sf).withColumn("raw", O.onset_of_array(F.col("rain"), F.lit(40.0), FORECAST))
+    p = O.onset_probabilities(members, ["id", "year", "issue"], ["raw"], 28)
     return p.select("id", "year", "issue", F.posexplode("p_raw").alias("lead", "p")).withColumn("lead", F.col("lead") + 1).filter("p > 0")
 
 
@@ -306,8 +310,7 @@ def overlap_resolution(spark, sf):
 
     e = T.table(spark, sf, "events").select(F.to_date("ts").alias("day"), F.col("user_id").alias("uid"), F.col("value").alias("x"), "ts")
     e = e.withColumn("lead", F.row_number().over(Window.partitionBy("day", "uid").orderBy("ts", "x")))
-    one = lambda how: R.resolve_overlap(e, ["day", "uid"], how).withColumnRenamed("x", how)
-    return one("nearest").join(one("longest"), ["day", "uid"]).join(one("mean"), ["day", "uid"])
+    return e.groupBy("day", "uid").agg(*[R.overlap_rule(how).alias(how) for how in ("nearest", "longest", "mean")])
 
 
 @query("""SELECT l_suppkey AS id, count(*) AS n_rows, count(*) FILTER (l_linenumber % 3 <> 0 AND l_quantity > 5) AS n_complete FROM lineitem GROUP BY 1""")
