@@ -383,6 +383,24 @@ def box_weights(spark, sf):
     return G.box_weights(*_boxes(spark, sf), 0.125, 0.125).withColumn("weight", F.round("weight", 9))
 
 
+@query(f"WITH {_BOX_SQL} SELECT source_id, target_id, round(weight, 9) AS weight FROM w WHERE weight > 1e-5")
+def polygon_weights(spark, sf):
+    """Share of each grid cell in each unit's polygons, here the two triangles of its box."""
+    cells, units = _boxes(spark, sf)
+    at = lambda lat, lon: F.struct(F.col(lat).alias("lat"), F.col(lon).alias("lon"))
+    halves = F.array(F.array(at("south", "west"), at("south", "east"), at("north", "east")), F.array(at("south", "west"), at("north", "east"), at("north", "west")))
+    return G.polygon_weights(cells, units.select("target_id", halves.alias("rings")), 0.125, 0.125).withColumn("weight", F.round("weight", 9))
+
+
+@query(f"WITH {_BOX_SQL} SELECT source_id, target_id, round(weight / sum(weight) OVER (PARTITION BY target_id), 9) AS weight FROM w WHERE weight > 1e-5 AND source_id % 3 <> 0")
+def restricted_weights(spark, sf):
+    """Weights of the cells that have a finite value, one in sum per unit."""
+    cells, units = _boxes(spark, sf)
+    values = cells.select("lat", "lon", F.when(F.col("source_id") % 3 != 0, F.lit(1.0)).alias("x"))
+    kept, _ = G.restrict(G.box_weights(cells, units, 0.125, 0.125), cells, G.valid_cells(values))
+    return kept.select("source_id", "target_id", F.round("weight", 9).alias("weight"))
+
+
 @query(f"""WITH {_BOX_SQL}, m AS (SELECT u.target_id, (north - south) * (east - west) AS area, coalesce(c, 0) AS c FROM units u LEFT JOIN (SELECT target_id, sum(weight) * 0.0625 AS c FROM w WHERE weight > 1e-5 GROUP BY 1) USING (target_id)),
 f AS (SELECT least(1, greatest(0, 1 - c / area)) AS v FROM m)
 SELECT count(*) AS n_units, count(*) FILTER (v > 1e-9) AS n_affected, round(min(v), 8) AS "min", round(quantile_cont(v, 0.05), 8) AS p05, round(quantile_cont(v, 0.25), 8) AS p25, round(median(v), 8) AS median, round(quantile_cont(v, 0.75), 8) AS p75, round(quantile_cont(v, 0.95), 8) AS p95, round(max(v), 8) AS "max" FROM f""")
