@@ -9,6 +9,7 @@ from .quality_divergence import op8_quality_divergence
 from .simhash_windows import op6_simhash_windows
 from .site_lines import op9_site_lines
 from .source_schedule import op3_mix_sources
+from .threshold_search import op13_threshold_search
 from .token_scan import op1_token_scan
 from .warc_revisit import op4_warc_revisit
 from .zstd_toxicity import op7_zstd_toxicity
@@ -24,10 +25,13 @@ QUERIES = {
     "op8_quality_divergence": op8_quality_divergence,
     "op9_site_lines": op9_site_lines,
     "op10_bagminhash": op10_bagminhash,
+    "op13_threshold_search": op13_threshold_search,
 }
 
 _GAP = "[\\x20\\x09-\\x0D]+"
 
+_NO_TERM = "[\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+"
+
 _TAGS = "address|article|aside|blockquote|body|br|dd|div|dl|dt|footer|form|h[1-6]|head|header|hr|html|li|main|nav|ol|option|p|pre|section|table|td|th|title|tr|ul"
 
 ORACLES = {
@@ -146,5 +150,17 @@ tk as (
 select doc_id, size, source_size, target, coalesce(taken, 0)::bigint as taken from lay left join tk using (source_no, start)
 union all
 select doc_id, size, source_size, target, 0::bigint from docs join tgt on docs.source is not distinct from tgt.source where size = 0
+""",
+    "op13_threshold_search": rf"""
+with d as (select doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{_NO_TERM}'), lambda w: w <> '') as a, row_number() over () as r from documents),
+i as (select item_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{_NO_TERM}'), lambda w: w <> '') as a, row_number() over () as q from benchmark),
+s as (select count(*)::bigint as docs, sum(len(a))::bigint as terms from d where len(a) > 0),
+tf as (select r, w, count(*)::bigint as tf from (select r, unnest(a) as w from d) group by all),
+qt as (select q, w, count(*)::bigint as times from (select q, unnest(a) as w from i) group by all),
+wt as (select w, floor(1000 * ln((2 * docs + 2) / (2 * df + 1)))::bigint as weight from (select w, count(*)::bigint as df from tf group by w), s),
+im as (select r, w, weight * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * len(a) * docs) // s.terms))) as part from tf join d using (r) join wt using (w), s),
+sc as (select q, r, sum(times * part)::bigint as score from qt join im using (w) group by q, r),
+rk as (select q, r, score, row_number() over (partition by q order by score desc, doc_id nulls last)::int as rank from sc join d using (r) where score > 0)
+select item_id, rank, doc_id, score from rk join d using (r) join i using (q) where rank <= 20
 """,
 }
