@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from .bagminhash import op10_bagminhash
+from .imatch import SUBSETS, op12_imatch
 from .lpt_shards import op5_lpt_shards
 from .maxent_lm import op2_maxent_lm
 from .quality_divergence import op8_quality_divergence
@@ -25,6 +26,7 @@ QUERIES = {
     "op8_quality_divergence": op8_quality_divergence,
     "op9_site_lines": op9_site_lines,
     "op10_bagminhash": op10_bagminhash,
+    "op12_imatch": op12_imatch,
     "op13_threshold_search": op13_threshold_search,
 }
 
@@ -32,6 +34,8 @@ _GAP = "[\\x20\\x09-\\x0D]+"
 
 _NO_TERM = "[\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+"
 
+_BELOW = ", ".join(f"'{256 >> k:02x}'" for k, n in enumerate(SUBSETS, 1) for _ in range(n))
+
 _TAGS = "address|article|aside|blockquote|body|br|dd|div|dl|dt|footer|form|h[1-6]|head|header|hr|html|li|main|nav|ol|option|p|pre|section|table|td|th|title|tr|ul"
 
 ORACLES = {
@@ -150,6 +154,24 @@ tk as (
 select doc_id, size, source_size, target, coalesce(taken, 0)::bigint as taken from lay left join tk using (source_no, start)
 union all
 select doc_id, size, source_size, target, 0::bigint from docs join tgt on docs.source is not distinct from tgt.source where size = 0
+""",
+    "op12_imatch": rf"""
+with d as (select doc_id, coalesce(text, '') as text, row_number() over (order by doc_id desc nulls last, md5(coalesce(text, ''))) as r from documents),
+n as (select *, length(text)::bigint as n_chars, coalesce(lead(text) over (order by r), first_value(text) over (order by r)) as next from d),
+e as (select *, left(text, n_chars - n_chars // 2) || left(next, n_chars // 2) as edited from n),
+x as (select r, 'a' as side, text as body from e union all select r, 'b', edited from e),
+t as (select r, side, unnest(list_distinct(list_filter(regexp_split_to_array(lower(body), '{_NO_TERM}'), lambda w: w <> ''))) as term from x),
+l as (select term, md5('0:' || term) || md5('1:' || term) || md5('2:' || term) || md5('3:' || term) as digits from t where side = 'a'
+  group by term having count(*) * 1000 >= (select count(*) from d) and count(*) * 10 <= (select count(*) from d)),
+s as (select unnest(range(0, {sum(SUBSETS)})) as s, unnest([{_BELOW}]) as below),
+h as (select r, side, s, substr(md5(string_agg(term, ' ' order by term)), 1, 8) as h from t join l using (term) join s on substr(digits, 2 * s + 1, 2) < below group by r, side, s),
+m as (select r, side, map_from_entries(list((s, h))) as m from h group by r, side),
+f as (select x.r, x.side, case when m is null then ['=' || md5(body)] else list_transform(range(0, {sum(SUBSETS)}), lambda s: coalesce(m[s], '')) end as f from x left join m on m.r = x.r and m.side = x.side),
+p as (select e.*, a.f as f, b.f as g, coalesce(lead(a.f) over (order by e.r), first_value(a.f) over (order by e.r)) as o from e join f a on a.r = e.r and a.side = 'a' join f b on b.r = e.r and b.side = 'b')
+select doc_id, n_chars, sha256(edited) as edited_sha256, array_to_string(f, '.') as fingerprint, array_to_string(g, '.') as edited_fingerprint,
+  case when len(f) <> len(g) then 0 else len(list_filter(list_zip(f, g), lambda z: z[1] = z[2] and z[1] <> '')) / len(list_filter(list_zip(f, g), lambda z: z[1] <> '' or z[2] <> '')) end as near_edited,
+  case when len(f) <> len(o) then 0 else len(list_filter(list_zip(f, o), lambda z: z[1] = z[2] and z[1] <> '')) / len(list_filter(list_zip(f, o), lambda z: z[1] <> '' or z[2] <> '')) end as near_next
+from p
 """,
     "op13_threshold_search": rf"""
 with d as (select doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{_NO_TERM}'), lambda w: w <> '') as a, row_number() over () as r from documents),
