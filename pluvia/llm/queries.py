@@ -12,6 +12,7 @@ from .site_lines import op9_site_lines
 from .source_schedule import op3_mix_sources
 from .threshold_search import op13_threshold_search
 from .token_scan import op1_token_scan
+from .turn_repair import op11_turn_repair
 from .warc_revisit import op4_warc_revisit
 from .zstd_toxicity import op7_zstd_toxicity
 
@@ -26,6 +27,7 @@ QUERIES = {
     "op8_quality_divergence": op8_quality_divergence,
     "op9_site_lines": op9_site_lines,
     "op10_bagminhash": op10_bagminhash,
+    "op11_turn_repair": op11_turn_repair,
     "op12_imatch": op12_imatch,
     "op13_threshold_search": op13_threshold_search,
 }
@@ -154,6 +156,42 @@ tk as (
 select doc_id, size, source_size, target, coalesce(taken, 0)::bigint as taken from lay left join tk using (source_no, start)
 union all
 select doc_id, size, source_size, target, 0::bigint from docs join tgt on docs.source is not distinct from tgt.source where size = 0
+""",
+    "op11_turn_repair": r"""
+with recursive
+k as (select conv_id, turn, coalesce(role, ' ') as role, coalesce(text, ' ') as text, coalesce(conv_id::varchar, ' ') || ':' || coalesce(turn::varchar, ' ') as key from conversations),
+c as (select *, xor(list_reduce(list_prepend(4294967295::bigint, list_transform(range(1, len(key) + 1), lambda i: ascii(key[i])::bigint)),
+  lambda c, b: list_reduce(list_prepend(xor(c, b), range(0, 8)), lambda x, i: xor(x >> 1, 3988292384 * (x & 1)))), 4294967295) % 20 as f from k),
+d as (select conv_id, turn, case when f = 4 then 'user' else role end as role, case when f = 1 then '' when f = 2 then regexp_replace(text, '[.!?]', '', 'g') else text end as text,
+  unnest(range(case when f = 3 then 2 else 1 end)) as copy from c where f <> 0),
+o as (select *, row_number() over (partition by conv_id order by turn nulls first, role, text) as i, rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) as bare from d),
+m as (select *, bare = '' as blank, bare <> '' and row_number() over (partition by conv_id, role, text order by i) > 1 as again,
+  lag(role) over (partition by conv_id order by i) as before from o),
+t as (select *, not blank and not again and right(bare, 1) not in ('.', '!', '?') as cut, blank or again as gone from m),
+n as (select conv_id, max(i) as n, case when count(turn) > 0 then max(turn) - min(turn) + 1 - count(distinct turn) else 0 end as gaps, count(*) filter (blank) as blank, count(*) filter (again) as duplicate,
+  count(*) filter (cut) as truncated, count(*) filter (before is not null and left(before, 1) || left(role, 1) not in ('su', 'ua', 'au')) as illegal from t group by conv_id),
+go as (
+  select conv_id, n + 1 as i, {'c': 0::bigint, 'a': '', 'r': ''} as v0, {'c': 6::bigint, 'a': 'II', 'r': chr(10) || 'user:' || chr(10) || 'assistant:'} as v1,
+    {'c': 3::bigint, 'a': 'I', 'r': chr(10) || 'assistant:'} as v2, {'c': 0::bigint, 'a': '', 'r': ''} as v3 from n
+  union all
+  select conv_id, i, list_sort([w0, {'c': w2.c + 3, 'a': 'I' || w2.a, 'r': chr(10) || 'user:' || w2.r}, {'c': w3.c + 6, 'a': 'II' || w3.a, 'r': chr(10) || 'user:' || chr(10) || 'assistant:' || w3.r}])[1],
+    list_sort([w1, {'c': w2.c + 3, 'a': 'I' || w2.a, 'r': chr(10) || 'user:' || w2.r}, {'c': w3.c + 6, 'a': 'II' || w3.a, 'r': chr(10) || 'user:' || chr(10) || 'assistant:' || w3.r}])[1],
+    list_sort([w2, {'c': w3.c + 3, 'a': 'I' || w3.a, 'r': chr(10) || 'assistant:' || w3.r}])[1],
+    list_sort([w3, {'c': w2.c + 3, 'a': 'I' || w2.a, 'r': chr(10) || 'user:' || w2.r}])[1]
+  from (select t.conv_id, t.i,
+      list_sort([{'c': v0.c + 4, 'a': 'D' || v0.a, 'r': v0.r}, {'c': v1.c + 3 * cut::int + 1000000 * (gone or left(role, 1) <> 's')::int, 'a': 'K' || v1.a, 'r': chr(10) || role || ':' || text || v1.r},
+        {'c': v2.c + 3 * cut::int + 1000000 * (gone or left(role, 1) <> 'u')::int, 'a': 'K' || v2.a, 'r': chr(10) || role || ':' || text || v2.r},
+        {'c': v2.c + 3 + 3 * cut::int + 1000000 * gone::int, 'a': 'R' || v2.a, 'r': chr(10) || 'user:' || text || v2.r}])[1] as w0,
+      list_sort([{'c': v1.c + 4, 'a': 'D' || v1.a, 'r': v1.r}, {'c': v2.c + 3 * cut::int + 1000000 * (gone or left(role, 1) <> 'u')::int, 'a': 'K' || v2.a, 'r': chr(10) || role || ':' || text || v2.r},
+        {'c': v2.c + 3 + 3 * cut::int + 1000000 * gone::int, 'a': 'R' || v2.a, 'r': chr(10) || 'user:' || text || v2.r}])[1] as w1,
+      list_sort([{'c': v2.c + 4, 'a': 'D' || v2.a, 'r': v2.r}, {'c': v3.c + 3 * cut::int + 1000000 * (gone or left(role, 1) <> 'a')::int, 'a': 'K' || v3.a, 'r': chr(10) || role || ':' || text || v3.r},
+        {'c': v3.c + 3 + 3 * cut::int + 1000000 * gone::int, 'a': 'R' || v3.a, 'r': chr(10) || 'assistant:' || text || v3.r}])[1] as w2,
+      list_sort([{'c': v3.c + 4, 'a': 'D' || v3.a, 'r': v3.r}, {'c': v2.c + 3 * cut::int + 1000000 * (gone or left(role, 1) <> 'u')::int, 'a': 'K' || v2.a, 'r': chr(10) || role || ':' || text || v2.r},
+        {'c': v2.c + 3 + 3 * cut::int + 1000000 * gone::int, 'a': 'R' || v2.a, 'r': chr(10) || 'user:' || text || v2.r}])[1] as w3
+    from go join t on t.conv_id is not distinct from go.conv_id and t.i = go.i - 1))
+select x.conv_id, coalesce(gaps, 0)::bigint as gaps, coalesce(blank, 0)::bigint as blank, coalesce(duplicate, 0)::bigint as duplicate, coalesce(truncated, 0)::bigint as truncated,
+  coalesce(illegal, 0)::bigint as illegal, coalesce(v0.c, 0) as cost, coalesce(v0.a, '') as audit, sha256(coalesce(v0.r[2:], '')) as repaired_sha256
+from (select distinct conv_id from conversations) x left join n on n.conv_id is not distinct from x.conv_id left join go on go.conv_id is not distinct from x.conv_id and go.i = 1
 """,
     "op12_imatch": rf"""
 with d as (select doc_id, coalesce(text, '') as text, row_number() over (order by doc_id desc nulls last, md5(coalesce(text, ''))) as r from documents),

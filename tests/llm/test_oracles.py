@@ -9,7 +9,7 @@ from pluvia.llm import queries as Q
 @pytest.mark.parametrize("name", sorted(Q.ORACLES))
 def test_query_equals_its_sql(spark, sf, name):
     con = duckdb.connect(config={"threads": 1})
-    for table in ("documents", "pages", "benchmark"):
+    for table in ("documents", "pages", "benchmark", "conversations"):
         con.execute(f"create view {table} as select * from '{sf}/{table}.parquet'")
     want = con.execute(Q.ORACLES[name])
     columns = [c[0] for c in want.description]
