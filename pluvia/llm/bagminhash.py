@@ -273,6 +273,7 @@ def classes(texts: DataFrame, sets: DataFrame, similarity: float, first: int = 6
         several = pin(several, "bagminhash-several")
         most = several.agg(F.max("others")).first()[0]
         if not most:
+            unpin(several)
             break
         full = members.join(several, "key").join(now, "tid")
         turn = (F.col("comp") != F.col("main")) & (F.pmod(F.xxhash64("tid"), F.ceil(F.col("others") / minors)) == 0)
@@ -321,22 +322,26 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, doc_id: str
     least = special.groupBy("comp").agg(F.min("rep").alias("class_id"))
     special = pin(special.join(least, "comp").select("tid", "rep", "class_id", "links"), "bagminhash-special")
     unpin(nodes, sets, now, *edges)
-    return signed.select("doc_id", "tid").join(special, "tid", "left").select(
+    out = signed.select("doc_id", "tid").join(special, "tid", "left").select(
         "doc_id", "tid", F.coalesce("class_id", "doc_id").alias("class_id"), F.coalesce("rep", "doc_id").alias("copy_of"),
         F.coalesce("links", F.lit(0)).cast("long").alias("links"))
+    out.pinned = signed, special  # what it reads
+    return out
 
 
 def one_of_each(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """The documents, all columns, with one of each class: that with the least doc_id.
 
     Of rows that share doc_id and text one stays; rows without a doc_id stay, one for each text, if no row of
-    their class has one.  The rows travel as one struct, so that no column of theirs can clash."""
+    their class has one.  The rows travel as one struct, so that no column of theirs can clash.  They are dealt by key
+    at every size: the rows to drop grow with the corpus and are never sent to all tasks."""
     found = near_duplicates(docs, similarity)
     named = docs.select(F.struct("*").alias("row"), F.col("doc_id").alias("id"), text_key(F.col("text")).alias("of"))
     same = lambda other: named["id"].eqNullSafe(other["doc_id"]) & (named["of"] == other["tid"])
     drops = pin(found.filter(~F.col("doc_id").eqNullSafe(F.col("class_id"))).select("doc_id", "tid").distinct(), "bagminhash-drops")
     again = pin(found.groupBy("doc_id", "tid").count().filter("count > 1").select("doc_id", "tid"), "bagminhash-repeats")
-    kept = named.join(drops, same(drops), "left_anti")
+    unpin(*found.pinned)
+    kept = named.join(drops.hint("merge"), same(drops), "left_anti")
     if not again.isEmpty():
         repeated = kept.join(again, same(again), "left_semi").dropDuplicates(["id", "of"])
         kept = kept.join(again, same(again), "left_anti").unionByName(repeated)

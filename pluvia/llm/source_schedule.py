@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ._store import pin
+from ._store import pin, unpin
 
 #: Fractional part of the golden ratio.
 PHI = 0.6180339887498949
@@ -161,17 +161,22 @@ def mix_sources(docs: DataFrame, block_tokens: int = 64, max_epochs: int = 3, ca
         "doc_id", "source", "size", "source_size", "target", "start",
         F.coalesce("taken", none).alias("taken"), F.coalesce("copies", none).alias("copies"), *carry)
     empty = numbered.filter("size = 0").select("doc_id", "source", "size", "source_size", "target", none.alias("start"), none.alias("taken"), none.alias("copies"), *carry)
-    return mixed.unionByName(empty)
+    out = mixed.unionByName(empty)
+    out.pinned = rows, targets, placed  # what it reads
+    return out
 
 
 def mixed_documents(docs: DataFrame, block_tokens: int = 64, max_epochs: int = 3) -> DataFrame:
     """The mix in whole documents, all columns: each row as often as the schedule takes the block with its first
     word.  Rows are numbered once, so that repeated rows keep copies of their own, and travel as one struct, so
-    that no column of theirs can clash."""
+    that no column of theirs can clash.  The schedule works on numbers, sources and sizes; its tables are deleted once
+    the copies are known, which are then dealt to the rows by number at every size."""
     rows = pin(docs.select(F.struct("*").alias("row"), F.monotonically_increasing_id().alias("uid")), "mix-documents")
     narrow = rows.select("uid", F.col("row.doc_id").alias("doc_id"), F.col("row.source").alias("source"), F.col("row.text").alias("text"))
-    times = mix_sources(narrow, block_tokens, max_epochs, carry=["uid"]).filter("copies > 0").select("uid", F.col("copies").cast("int").alias("copies"))
-    return rows.join(times, "uid").select("row", F.explode(F.sequence(F.lit(1), F.col("copies")))).select("row.*")
+    mixed = mix_sources(narrow, block_tokens, max_epochs, carry=["uid"])
+    times = pin(mixed.filter("copies > 0").select("uid", F.col("copies").cast("int").alias("copies")), "mix-copies")
+    unpin(*mixed.pinned)
+    return rows.join(times.hint("merge"), "uid").select("row", F.explode(F.sequence(F.lit(1), F.col("copies")))).select("row.*")
 
 
 def op3_mix_sources(spark, sf_dir: str) -> DataFrame:
