@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import arrays as A
+from .fits import fit_groups
 from .models import platt_weights
 
 
@@ -83,14 +84,9 @@ def differences(left: DataFrame, right: DataFrame, key: str, value: str) -> Data
 
 
 def cell_fits(df: DataFrame, keys: list[str], score: str = "score", label: str = "label", year: str = "year") -> DataFrame:
-    """Leave-one-year-out logistic fits on one score, for each group of ``keys``: keys, test_year, intercept, slope.
-
-    Rows are counted once per (keys, year, score, label); a fold's counts are the totals less the year's own, so no
-    row is repeated for a fold, and every step of the fits is an aggregation over the counts."""
-    own = df.groupBy(*keys, year, score, label).agg(F.count(F.lit(1)).alias("n"))
-    total = Window.partitionBy(*keys, score, label)
-    years = own.select(*keys, F.col(year).alias("test_year")).distinct()
-    levels = own.withColumn("all", F.sum("n").over(total)).select(*keys, score, label, "all").distinct()
-    folds = levels.join(years, keys).join(own.withColumnRenamed(year, "test_year"), [*keys, "test_year", score, label], "left")
-    folds = folds.withColumn("n", F.col("all") - F.coalesce("n", F.lit(0))).filter("n > 0")
-    return platt_weights(folds, [*keys, "test_year"], score, label, n="n")
+    """Leave-one-year-out logistic fits on one score, for each group of ``keys``: keys, test_year, intercept, slope; see
+    :func:`pluvia.operators.fits.fit_groups`, which holds every row once for all folds."""
+    rows = df.select(*keys, F.col(year).cast("long").alias("year"), F.array(F.lit(1.0), F.col(score).cast("double")).alias("x"), F.col(label).cast("int").alias("y"), F.lit(1).alias("n"))
+    rows = rows.filter(F.get("x", F.lit(1)).isNotNull() & F.col("y").isNotNull())
+    fits = fit_groups(rows, keys, rows.select(*keys, F.col("year").alias("fold")), 2, 2, min_rows=10)
+    return fits.select(*keys, F.col("fold").alias("test_year"), F.get("w", F.lit(2)).alias("intercept"), F.get("w", F.lit(3)).alias("slope"))

@@ -13,7 +13,8 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.arrays import clean_probs, softmax
+from ..functions.arrays import clean_probs, let, softmax, total
+from .fits import cross_validate_groups, fit_groups
 
 
 def expand_formula(formula: str, weeks: int, unavailable: set[str] = frozenset()) -> list[tuple[str, ...]]:
@@ -113,17 +114,24 @@ def fold_years(df: DataFrame, true_holdout: set[int] = frozenset(), year: str =
     return sorted(r[0] for r in df.select(year).distinct().collect() if r[0] is not None and r[0] not in {-1, *true_holdout})
 
 
-def cross_validate(df: DataFrame, names: list[str], label: str, years: list[int], true_holdout: set[int] = frozenset(), year: str = "year") -> DataFrame:
-    """Leave-one-year-out predictions: each year is predicted from all others but the true holdouts."""
-    df = df.cache()
-    classes = df.filter(F.col(label).isNotNull()).select(label).distinct().count()
-    parts = []
-    for y in years:
-        train = df.filter((F.col(year) != y) & ~F.col(year).isin([-1, *true_holdout]))
-        if train.filter(F.col(label).isNotNull()).select(label).distinct().count() < classes:
-            raise ValueError(f"year {y}: the training rows lack an outcome class")
-        parts.append(apply_multinomial(df.filter(F.col(year) == y), fit_multinomial(train, names, label)))
-    return reduce(DataFrame.unionByName, parts)
+def cross_validate(
+    df: DataFrame, names: list[str], label: str, years: list[int], true_holdout: set[int] = frozenset(), year: str = "year",
+    allowed: DataFrame | None = None, id_col: str = "id",
+) -> DataFrame:
+    """Leave-one-year-out predictions: each of ``years`` is predicted from all others but the true holdouts, all folds side by
+    side.  ``allowed`` limits training to its ids.  An outcome class that a fold's training rows lack is an error."""
+    known = df.filter(F.col(label).isNotNull())
+    train = known.filter(~F.col(year).isin([-1, *true_holdout]))
+    train = train if allowed is None else train.join(allowed.select(id_col).distinct(), id_col, "left_semi")
+    counts = train.groupBy(label, year).count()
+    totals = counts.groupBy(label).agg(F.sum("count").alias("all"), F.map_from_entries(F.collect_list(F.struct(F.col(year).cast("long"), "count"))).alias("own"))
+    every = known.select(label).distinct().join(totals, label, "left")
+    own = lambda y: F.coalesce(F.try_element_at("own", F.lit(y).cast("long")), F.lit(0))
+    lost = every.filter(F.col("all").isNull() | F.exists(F.array(*[F.lit(y) for y in years]), lambda y: F.col("all") == own(y))) if years else every.filter("all IS NULL")
+    if some := [r[0] for r in lost.select(label).limit(5).collect()]:
+        raise ValueError(f"a year's training rows lack the outcome classes {some}")
+    classes = (known.agg(F.max(label)).first()[0] or 0) + 1
+    return cross_validate_groups(df, [], names, label, classes, true_holdout, allowed, years, year, id_col)
 
 
 def newton_1d(x: np.ndarray, y: np.ndarray, min_rows: int = 10, steps: int = 100) -> tuple[float, float]:
@@ -140,49 +148,59 @@ def newton_1d(x: np.ndarray, y: np.ndarray, min_rows: int = 10, steps: int = 100
     return float(w[0]), float(w[1])
 
 
+def _line(fits: DataFrame) -> DataFrame:
+    """Intercept and slope of fits of two classes on one term."""
+    return fits.withColumns({"intercept": F.get("w", F.lit(2)), "slope": F.get("w", F.lit(3))}).drop("counts", "w")
+
+
 def platt_weights(flat: DataFrame, keys: list[str], x: str = "score", y: str = "label", n: str | None = None, min_rows: int = 10, steps: int = 100) -> DataFrame:
     """keys -> intercept, slope; NULL with too few rows or one class.  ``n`` counts equal rows, if they are grouped.
 
-    The fits of :func:`newton_1d` for all groups at once: Spark sums each group's gradient and Hessian, so that no
-    task holds a group; the driver holds five sums and two weights a group."""
-    spark, kinds = flat.sparkSession, dict(flat.dtypes)
-    weight = F.lit(1) if n is None else F.col(n)
-    rows = flat.groupBy(*keys, F.col(x).cast("double").alias("_x"), F.col(y).cast("double").alias("_y")).agg(F.sum(weight).cast("double").alias("_n")).cache()
-    groups = rows.groupBy(*keys).agg(F.sum("_n").alias("_rows"), (F.min("_y") < F.max("_y")).alias("_both")).collect()
-    fits = {tuple(g[k] for k in keys): np.zeros(2) for g in groups if g["_rows"] >= min_rows and g["_both"]}
-    schema = ", ".join(f"{k} {kinds[k]}" for k in keys)
-    open_ = set(fits)
-    for _ in range(steps):
-        if not open_:
-            break
-        now = spark.createDataFrame([(*g, *map(float, fits[g])) for g in open_], f"{schema}, _a double, _b double")
-        on = reduce(lambda p, q: p & q, [rows[k].eqNullSafe(now[k]) for k in keys])
-        z = F.greatest(F.lit(-35.0), F.least(F.lit(35.0), F.col("_a") + F.col("_b") * F.col("_x")))
-        at = rows.join(F.broadcast(now), on).select(*[now[k] for k in keys], "_x", "_y", "_n", (1 / (1 + F.exp(-z))).alias("_p"))
-        e, h = F.col("_n") * (F.col("_p") - F.col("_y")), F.col("_n") * F.col("_p") * (1 - F.col("_p"))
-        sums = {"g0": e, "g1": e * F.col("_x"), "h00": h, "h01": h * F.col("_x"), "h11": h * F.col("_x") * F.col("_x")}
-        for r in at.groupBy(*keys).agg(*[F.sum(v).alias(f"_{k}") for k, v in sums.items()]).collect():
-            g = tuple(r[k] for k in keys)
-            step = np.linalg.solve(np.array([[r["_h00"], r["_h01"]], [r["_h01"], r["_h11"]]]) + 1e-9 * np.eye(2), np.array([r["_g0"], r["_g1"]]))
-            fits[g] = fits[g] - step
-            if np.abs(step).max() < 1e-10:
-                open_.discard(g)
-    rows.unpersist()
-    every = [tuple(g[k] for k in keys) for g in groups]
-    return spark.createDataFrame([(*g, *(map(float, fits[g]) if g in fits else (None, None))) for g in every], f"{schema}, intercept double, slope double")
+    The fits of :func:`newton_1d` for all groups at once, see :mod:`.fits`; rows without a score or label are left out."""
+    rows = flat.select(*keys, F.lit(None).cast("long").alias("year"), F.array(F.lit(1.0), F.col(x).cast("double")).alias("x"), F.col(y).cast("int").alias("y"), (F.lit(1) if n is None else F.col(n)).alias("n"))
+    folds = flat.select(*keys, F.lit(None).cast("long").alias("fold"))
+    return _line(fit_groups(rows.filter(F.get("x", F.lit(1)).isNotNull() & F.col("y").isNotNull()), keys, folds, 2, 2, min_rows, steps)).drop("fold")
+
+
+def _clipped(p: Column) -> Column:
+    return F.when(p.isNotNull(), F.greatest(F.lit(1e-6), F.least(F.lit(1 - 1e-6), p)))
+
+
+def platt_folds(flat: DataFrame, years: list[int], keys: list[str], min_rows: int = 10) -> DataFrame:
+    """keys, year, intercept, slope: a fit on the clipped raw score for each of ``years``, from the rows of all others."""
+    rows = flat.select(*keys, F.col("year").cast("long").alias("year"), F.array(F.lit(1.0), _clipped(F.col("score").cast("double"))).alias("x"), F.col("label").cast("int").alias("y"), F.lit(1).alias("n"))
+    folds = flat.select(*keys).distinct().withColumn("fold", F.explode(F.array(*[F.lit(y).cast("long") for y in years])))
+    fits = fit_groups(rows.filter(F.get("x", F.lit(1)).isNotNull() & F.col("y").isNotNull()), keys, folds, 2, 2, min_rows)
+    return _line(fits).withColumnRenamed("fold", "year")
 
 
 def platt_cross_validate(flat: DataFrame, years: list[int]) -> DataFrame:
-    """bin, year, score, label -> adds ``calibrated``: each year by the fit of all others on the raw score."""
-    spark = flat.sparkSession
-    tests = spark.createDataFrame([(y,) for y in years], "test_year int")
-    counted = flat.groupBy("year", "bin", "score", "label").agg(F.count(F.lit(1)).alias("n"))
-    train = counted.join(F.broadcast(tests), F.col("year") != F.col("test_year"))
-    fits = platt_weights(train, ["test_year", "bin"], n="n").withColumnRenamed("test_year", "year")
-    z = F.col("intercept") + F.col("slope") * F.col("score")
+    """bin, year, score, label -> adds ``calibrated``: each year by the fit of all others on the raw score, not renormalised."""
+    fits = platt_folds(flat, years, ["bin"])
+    z = F.col("intercept") + F.col("slope") * _clipped(F.col("score"))
     return flat.join(F.broadcast(fits), ["year", "bin"], "left").withColumn("calibrated", F.when(F.col("slope").isNull(), F.col("score")).otherwise(1 / (1 + F.exp(-z)))).drop("intercept", "slope")
 
 
+def platt_calibrated(
+    df: DataFrame, bins: int, years: list[int], true_holdout: set[int] = frozenset(), allowed: DataFrame | None = None,
+    p: str = "p", y: str = "y", year: str = "year", id_col: str = "id",
+) -> DataFrame:
+    """The rows of ``years`` with ``calibrated``: every bin by its fit on the other years, then divided by the row's sum.
+
+    True holdouts and units outside of ``allowed`` do not train.  A bin without a fit keeps its probability; a missing bin
+    makes the row NULL; a row without mass stays zero.  ``y`` is the 1-based outcome.  The fits of a year are one row, so the
+    rows are not shuffled."""
+    train = df.filter(F.col(y).isNotNull() & F.coalesce(~F.col(year).isin([-1, *true_holdout]), F.lit(True)))
+    train = train if allowed is None else train.join(allowed.select(id_col).distinct(), id_col, "left_semi")
+    flat = train.select(F.col(year).alias("year"), F.posexplode(p).alias("bin", "score"), F.col(y).alias("_y"))
+    flat = flat.select("year", "bin", "score", (F.col("_y") == F.col("bin") + 1).cast("int").alias("label"))
+    fits = platt_folds(flat, years, ["bin"]).groupBy("year").agg(F.map_from_entries(F.collect_list(F.struct("bin", F.struct("intercept", "slope")))).alias("_fits"))
+    fits = fits.select(F.col("year").alias("_year"), F.transform(F.sequence(F.lit(0), F.lit(bins - 1)), lambda b: F.try_element_at("_fits", b)).alias("_fits"))  # a row a year
+    each = F.zip_with(p, "_fits", lambda v, f: F.when(f["slope"].isNull(), v).otherwise(1 / (1 + F.exp(-(f["intercept"] + f["slope"] * _clipped(v))))))
+    out = df.filter(F.col(year).isin(years)).join(F.broadcast(fits), F.col(year).cast("long") == F.col("_year"), "left")
+    return out.withColumn("calibrated", let(each, lambda q: let(total(q), lambda s: F.when(s.isNotNull(), F.transform(q, lambda v: v / F.when(s == 0, 1.0).otherwise(s)))))).drop("_fits", "_year")
+
+
 def mixing_weights(df: DataFrame, sources: list[str], y: str, bins: int, step: float = 0.1) -> tuple[dict[str, float], float]:
     """Simplex weights of the sources that minimise the mean ranked probability score.
 

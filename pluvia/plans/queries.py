@@ -8,6 +8,7 @@ from ..functions import arrays as A
 from ..functions import ids as I
 from ..operators import climatology as C
 from ..operators import export as X
+from ..operators import fits as N
 from ..operators import metrics as M
 from ..operators import models as L
 from ..operators import onset as O
@@ -708,9 +709,42 @@ def multinom_cv(spark, sf):
 
 @query()
 def platt_cv(spark, sf):
-    """K-14: leave-one-year-out Platt calibration per bin."""
-    flat = M.flat_scores(T.probabilities(spark, sf), ["year"])
-    return L.platt_cross_validate(flat, list(range(1992, 2002)))
+    """K-14: leave-one-year-out Platt calibration per bin, divided by the row's sum."""
+    rows = T.probabilities(spark, sf)
+    out = L.platt_calibrated(rows, T.BINS, L.fold_years(rows)).select("k", "year", "y", F.posexplode(F.arrays_zip("p", "calibrated")).alias("bin", "v"))
+    return out.select("k", "year", (F.col("bin") + 1).alias("bin"), F.col("v.p").alias("score"), (F.col("y") == F.col("bin") + 1).cast("int").alias("label"), F.col("v.calibrated").alias("calibrated"))
+
+
+@query()
+def platt_cv_allowed(spark, sf):
+    """K-11, K-14: the same, trained on allowed units and without a true holdout year."""
+    rows = T.probabilities(spark, sf)
+    allowed = rows.select("id").distinct().filter("id % 5 <> 0")
+    return L.platt_calibrated(rows, T.BINS, L.fold_years(rows, {1996}), {1996}, allowed).select("k", "year", F.posexplode("calibrated").alias("bin", "prob"))
+
+
+@query()
+def multinom_cv_allowed(spark, sf):
+    """K-11: leave-one-year-out predictions of all units, trained on allowed ones and without a true holdout year."""
+    rows, names = L.design(_blend(spark, sf), L.expand_formula("a_qx * rain", 2))
+    rows = rows.drop("p", "q")
+    allowed = rows.select("id").distinct().filter("id % 5 <> 0")
+    return L.cross_validate(rows, names, "label", L.fold_years(rows, {1996}), {1996}, allowed=allowed).select("k", "year", "label", F.posexplode("p").alias("bin", "prob"))
+
+
+@query()
+def cell_multinom_cv(spark, sf):
+    """K-12: a multinomial fit for each unit and left-out year."""
+    rows, names = L.design(_blend(spark, sf), L.expand_formula("a_week1 + rain", 2))
+    return N.cross_validate_groups(rows.drop("p", "q"), ["id"], names, "label", T.BINS).select("k", "id", "year", "label", F.posexplode("p").alias("bin", "prob"))
+
+
+@query()
+def cluster_multinom_cv(spark, sf):
+    """K-12: a multinomial fit for each cluster of units and left-out year."""
+    rows, names = L.design(_blend(spark, sf), L.expand_formula("a_qx * rain", 2))
+    rows = rows.drop("p", "q").withColumn("cluster", F.col("id") % 4)
+    return N.cross_validate_groups(rows, ["cluster"], names, "label", T.BINS).select("k", "id", "year", "label", F.posexplode("p").alias("bin", "prob"))
 
 
 @query()
