@@ -154,6 +154,26 @@ def cell_and_pooled_metrics_all(spark, sf):
     return out.select("cell", "n", *[F.round(c, 9).alias(c) for c in ("brier", "fair_brier", "rps")], F.round("auc", 7).alias("auc"), F.round("pietra", 7).alias("pietra"))
 
 
+@query(f"""WITH {T.PROBS}, flat AS (SELECT bin, round(p, 12) AS s, p, label FROM probs), a AS {Q._auc_sql('flat', 'bin')}, b AS (SELECT bin, avg(pow(s - label, 2)) AS brier FROM flat GROUP BY bin)
+SELECT 'ALL' AS cell, {', '.join(f"round(max(brier) FILTER (bin = {k}), 9) AS brier_bin{k}, round(max(auc) FILTER (bin = {k}), 7) AS auc_bin{k}" for k in range(1, T.BINS + 1))} FROM b JOIN a USING (bin)""")
+def pooled_bin_metrics(spark, sf):
+    """The pooled row's columns of single bins."""
+    rows = T.probabilities(spark, sf).withColumn("p", F.transform("p", lambda x: F.round(x, 12)))
+    out = M.cell_and_pooled(rows, T.BINS).filter("cell = 'ALL'")
+    return out.select("cell", *[F.round(f"{c}_bin{k}", n).alias(f"{c}_bin{k}") for c, n in (("brier", 9), ("auc", 7)) for k in range(1, T.BINS + 1)])
+
+
+@query(f"""WITH {T.PROBS}, l AS (SELECT k, bin, 'p' AS model, round(p, 12) AS v, label FROM probs UNION ALL SELECT k, bin, 'q', round(q, 12), label FROM probs), cum AS (SELECT *, sum(v - label) OVER (PARTITION BY model, k ORDER BY bin) AS c FROM l),
+m AS (SELECT model, sum(pow(v - label, 2)) / count(DISTINCT k) AS brier, sum(c * c) / count(DISTINCT k) AS rps FROM cum GROUP BY model), f AS (SELECT model, v AS s, label FROM l), a AS {Q._auc_sql('f', 'model')}
+SELECT model, round(1 - brier / (SELECT brier FROM m WHERE model = 'q'), 8) AS brier_skill, round(1 - rps / (SELECT rps FROM m WHERE model = 'q'), 8) AS rps_skill, round((auc - (SELECT auc FROM a WHERE model = 'q')) * 100, 5) AS auc_points FROM m JOIN a USING (model)""")
+def skill_vs_baseline_all(spark, sf):
+    """As skill_vs_baseline, with the AUC points."""
+    rounded = lambda c: F.transform(c, lambda x: F.round(x, 12))
+    rows = T.probabilities(spark, sf).select("k", "y", F.explode(F.create_map(F.lit("p"), rounded("p"), F.lit("q"), rounded("q"))).alias("model", "p"))
+    out = M.skill(M.scores(rows, ["model"], T.BINS), "q")
+    return out.select("model", *[F.round(c, n).alias(c) for c, n in (("brier_skill", 8), ("rps_skill", 8), ("auc_points", 5))])
+
+
 @query(f"WITH {Q._BOX_SQL} SELECT 2 AS digits, count(*) AS n FROM cells")
 def grid_digits(spark, sf):
     """Digits that the ids of a grid need."""
