@@ -11,6 +11,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.arrays import let
+
 
 @dataclass(frozen=True)
 class OnsetRule:
@@ -115,32 +117,45 @@ def first_from(days: Column, start: Column) -> Column:
     return F.get(F.filter(days, lambda d: d >= F.ceil(start)), 0).cast("int")
 
 
+def _marks(days: Column, holds) -> Column:
+    """A string with a 1 for each element that ``holds`` (element, position from 0) and a 0 for the others."""
+    return F.array_join(F.transform(days, lambda x, i: F.when(F.coalesce(holds(x, i), F.lit(False)), "1").otherwise("0")), "")
+
+
+def _bad_days(a: Column, rule: OnsetRule) -> Column:
+    """Marks of the days on which a dry spell begins that vetoes an onset."""
+    if rule.mode == "consecutive_dry":
+        k = rule.min_dry_days
+        run = lambda dry: F.transform(F.sequence(F.lit(1), F.size(a)), lambda i: (F.substring(dry, i, F.lit(k)) == "1" * k) & ((i == 1) | (F.substring(dry, i - 1, F.lit(1)) == "0")))
+        return let(_marks(a, lambda x, _: x < rule.dry_below), lambda dry: _marks(run(dry), lambda b, _: b))
+    k = rule.sum_window
+    low_sum = lambda part: (F.size(part) == k) & (F.aggregate(part, F.lit(0.0), lambda s, x: s + x) < rule.sum_min_mm)  # noqa: E731  NULL days make it NULL
+    return _marks(a, lambda _, i: let(F.slice(a, i + 1, k), low_sum))
+
+
 def onset_days(a: Column, threshold: Column, rule: OnsetRule, begin: Column | None = None) -> Column:
-    """All days from ``begin`` on that start the season if the search does not start later."""
+    """All days from ``begin`` on that start the season if the search does not start later.
+
+    Wet days and the days on which dry spells begin are marked in one pass over the series each; a candidate day looks its
+    trigger window and its follow-up period up in the marks, so the cost is linear in the days."""
     n, begin = F.size(a), F.lit(1) if begin is None else begin
     low, high, last = rule.reach
-    dry = lambda i: F.coalesce(F.get(a, i - 1) < rule.dry_below, F.lit(False))  # noqa: E731  1-based day
-    if rule.mode == "consecutive_dry":
-        k = rule.min_dry_days
-        bad = lambda i: (i + k - 1 <= n) & ~dry(i - 1) & F.forall(F.sequence(i, i + k - 1), dry)
-    else:
-        k = rule.sum_window
-        part = lambda i: F.slice(a, i, k)
-        bad = lambda i: (i + k - 1 <= n) & ~F.exists(part(i), lambda x: x.isNull()) & (F.aggregate(part(i), F.lit(0.0), lambda s, x: s + F.coalesce(x, F.lit(0.0))) < rule.sum_min_mm)
-
-    def fits(d: Column) -> Column:
-        span = F.slice(a, d, rule.window)
-        wet = F.forall(span, rule.wet) if rule.trigger_rule == "all_days_wet" else rule.wet(F.get(a, d - 1))
-        ok = wet & F.get(a, d - 1).isNotNull() & (F.aggregate(span, F.lit(0.0), lambda s, x: s + F.coalesce(x, F.lit(0.0))) > threshold)
-        if rule.reject_if_short_followup:
-            ok = ok & (d + high <= n)
-        if last >= low:
-            upto = F.least(d + last, n)
-            ok = ok & ~F.when(d + low <= upto, F.exists(F.sequence(d + low, upto), bad)).otherwise(False)
-        return F.coalesce(ok, F.lit(False))
-
-    days = F.sequence(begin, n - rule.window + 1)
-    return F.when((begin <= n - rule.window + 1) & threshold.isNotNull(), F.filter(days, fits))
+    span = rule.window if rule.trigger_rule == "all_days_wet" else 1
+    bad = _bad_days(a, rule) if last >= low else F.lit("")
+
+    def search(s: Column) -> Column:
+        def fits(d: Column) -> Column:
+            ok = (F.substring(s["wet"], d, F.lit(span)) == "1" * span) & F.get(a, d - 1).isNotNull()
+            if last >= low:
+                ok = ok & (F.instr(F.substring(s["bad"], d + low, F.lit(last - low + 1)), "1") == 0)
+            if rule.reject_if_short_followup:
+                ok = ok & (d + high <= n)
+            return F.coalesce(ok & (F.aggregate(F.slice(a, d, rule.window), F.lit(0.0), lambda t, x: t + F.coalesce(x, F.lit(0.0))) > threshold), F.lit(False))
+
+        return F.filter(F.sequence(begin, n - rule.window + 1), fits)
+
+    found = let(F.struct(_marks(a, lambda x, _: rule.wet(x)).alias("wet"), bad.alias("bad")), search)
+    return F.when((begin <= n - rule.window + 1) & threshold.isNotNull(), found)
 
 
 def threshold_quantile(days: DataFrame, k: int, q: float, id_col: str = "id", keys: list[str] | None = None, rain: str = "x") -> DataFrame:

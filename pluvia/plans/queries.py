@@ -85,8 +85,8 @@ def onset_consecutive_dry(spark, sf):
 
 @query(f"WITH {T.SEASON}, {onset_sql(SUMS, 'holed', 'id, year', '40')} SELECT * FROM found")
 def onset_window_sum(spark, sf):
-    """O1 with window-sum veto, as windows over rows."""
-    return O.first_onset(T.season(spark, sf, holes=True).withColumn("threshold", F.lit(40.0)), SUMS, ["id", "year"])
+    """O1 with window-sum veto, within one row."""
+    return T.holed_arrays(spark, sf).select("id", "year", O.onset_of_array(F.col("rain"), F.lit(40.0), SUMS).alias("onset_idx"))
 
 
 @query(f"WITH {T.SEASON}, {onset_sql(FIRST, 'holed', 'id, year', '30', '20')} SELECT * FROM found")

@@ -32,6 +32,11 @@ def season_arrays(spark: SparkSession, sf: str) -> DataFrame:
     return units.join(rain, ["id", "year"], "left").select("id", "year", at.alias("rain"))
 
 
+def holed_arrays(spark: SparkSession, sf: str) -> DataFrame:
+    """id, year, rain: as season_arrays, NULL on days d where (7 d + id) mod 31 is 0."""
+    return season_arrays(spark, sf).withColumn("rain", F.transform("rain", lambda x, i: F.when(((i + 1) * 7 + F.col("id")) % 31 != 0, x)))
+
+
 def season(spark: SparkSession, sf: str, holes: bool = False) -> DataFrame:
     """id, year, d, x; with holes: NULL where (7 d + id) mod 31 is 0."""
     rows = season_arrays(spark, sf).select("id", "year", F.posexplode("rain").alias("d", "x")).withColumn("d", F.col("d") + 1)
