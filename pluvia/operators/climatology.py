@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.arrays import floor_probs, let, total
@@ -18,38 +18,58 @@ def leave_one_out(samples: DataFrame, test_years: DataFrame | None = None) -> Da
     return samples.join(F.broadcast(listed)).select("id", "year", "onset_day", F.explode("_years").alias("test_year")).filter("year <> test_year").drop("year")
 
 
-def equal_samples(samples: DataFrame, keys: list[str], x: str = "onset_day") -> DataFrame:
-    """keys -> n, least and largest value, and the distinct values with their numbers of samples."""
-    counted = samples.filter(F.col(x).isNotNull()).groupBy(*keys, F.col(x).cast("double").alias("_v")).agg(F.count(F.lit(1)).alias("_c"))
+def _gathered(counted: DataFrame, keys: list[str]) -> DataFrame:
+    """keys, _v, _c -> keys, n, least and largest value, and the distinct values with their numbers of samples."""
     return counted.groupBy(*keys).agg(
         F.sum("_c").alias("n"), F.min("_v").alias("_min"), F.max("_v").alias("_max"), F.collect_list(F.struct(F.col("_v").alias("x"), F.col("_c").alias("n"))).alias("_x"))
 
 
+def equal_samples(samples: DataFrame, keys: list[str], x: str = "onset_day") -> DataFrame:
+    """keys -> n, least and largest value, and the distinct values with their numbers of samples."""
+    return _gathered(samples.filter(F.col(x).isNotNull()).groupBy(*keys, F.col(x).cast("double").alias("_v")).agg(F.count(F.lit(1)).alias("_c")), keys)
+
+
+def left_out_samples(samples: DataFrame, test_years: DataFrame | None = None, x: str = "onset_day", id_col: str = "id") -> DataFrame:
+    """id, test_year -> as :func:`equal_samples`, without the test year's samples.
+
+    Samples are counted once by (id, value, year); a fold's number is the value's total less the year's own, so that no
+    sample is repeated for a fold.  The record's years are one row."""
+    own = samples.filter(F.col(x).isNotNull()).groupBy(id_col, F.col(x).cast("double").alias("_v"), F.col("year").cast("int").alias("year")).agg(F.count(F.lit(1)).alias("_c"))
+    totals = own.groupBy(id_col, "_v").agg(F.sum("_c").alias("_all"), F.map_from_entries(F.collect_list(F.struct("year", "_c"))).alias("_own"))
+    years = samples.select(F.col("year").cast("int").alias("y")) if test_years is None else test_years.select(F.col("test_year").cast("int").alias("y"))
+    listed = years.agg(F.collect_set("y").alias("_years"))
+    folds = totals.join(F.broadcast(listed)).select(id_col, "_v", "_all", "_own", F.explode("_years").alias("test_year"))
+    left = F.col("_all") - F.coalesce(F.try_element_at("_own", F.col("test_year")), F.lit(0))
+    return _gathered(folds.select(id_col, "test_year", "_v", left.alias("_c")).filter("_c > 0"), [id_col, "test_year"])
+
+
 def fit_kde(samples: DataFrame, keys: list[str], x: str = "onset_day", grid: int = GRID, min_samples: int = MIN_SAMPLES) -> DataFrame:
     """keys -> n, lo, step, cdf: Gaussian kernels of Scott's width on ``grid`` points from three widths below the
     least to three above the largest sample.  Equal samples are one kernel with their number as weight, so a group
     holds distinct values.  Groups that are too small or constant are left out."""
+    return fit_counted(equal_samples(samples, keys, x), keys, grid, min_samples)
+
+
+def fit_counted(counted: DataFrame, keys: list[str], grid: int = GRID, min_samples: int = MIN_SAMPLES) -> DataFrame:
+    """:func:`fit_kde` of counted samples.  Kernel sums are a relation of grid points and values, so that a group's points are
+    summed by many tasks and in generated code; the distribution function is a running sum over its ``grid`` points."""
     weighted = lambda f: F.aggregate("_x", F.lit(0.0), lambda s, v: s + v["n"] * f(v["x"]))
     stats = (
-        equal_samples(samples, keys, x)
+        counted
         .withColumn("_mean", weighted(lambda v: v) / F.col("n"))
         .withColumn("_sd", F.when(F.col("n") > 1, F.sqrt(weighted(lambda v: (v - F.col("_mean")) * (v - F.col("_mean"))) / (F.col("n") - 1))))
     )
     bw = F.col("_sd") * F.pow(F.col("n"), F.lit(-0.2))
     low = F.col("_min") - 3 * bw
     step = (F.col("_max") + 3 * bw - low) / (grid - 1)
-
-    def table(f: Column) -> Column:
-        at = F.transform(F.sequence(F.lit(0), F.lit(grid - 1)), lambda i: f["lo"] + i * f["step"])
-        pdf = F.transform(at, lambda g: F.aggregate(f["x"], F.lit(0.0), lambda s, v: s + v["n"] * F.exp(-0.5 * (g - v["x"]) * (g - v["x"]) / (f["bw"] * f["bw"]))))
-        start = F.struct(F.array().cast("array<double>").alias("a"), F.lit(0.0).alias("t"))
-        return F.aggregate(pdf, start, lambda s, v: F.struct(F.array_append(s["a"], s["t"] + v).alias("a"), (s["t"] + v).alias("t")),
-                           lambda s: F.transform(s["a"], lambda c: c / s["t"]))
-
-    frame = F.struct(low.alias("lo"), step.alias("step"), bw.alias("bw"), F.col("_x").alias("x"))
-    fitted = stats.filter((F.col("n") >= min_samples) & (F.col("_sd") > 0))
-    return fitted.select(*keys, "n", let(frame, lambda f: F.struct(f["lo"].alias("lo"), f["step"].alias("step"), table(f).alias("cdf"))).alias("_k")).select(
-        *keys, "n", "_k.lo", "_k.step", "_k.cdf")
+    fitted = stats.filter((F.col("n") >= min_samples) & (F.col("_sd") > 0)).select(*keys, "n", low.alias("lo"), step.alias("step"), bw.alias("_bw"), F.explode("_x").alias("_s"))
+    points = fitted.select(*keys, "n", "lo", "step", "_bw", "_s.x", F.col("_s.n").alias("_c"), F.explode(F.sequence(F.lit(0), F.lit(grid - 1))).alias("_i"))
+    away = (F.col("lo") + F.col("_i") * F.col("step") - F.col("x")) / F.col("_bw")
+    pdf = points.groupBy(*keys, "_i").agg(F.sum(F.col("_c") * F.exp(-0.5 * away * away)).alias("_f"), *[F.first(c).alias(c) for c in ("n", "lo", "step")])
+    own = Window.partitionBy(*keys)
+    cdf = pdf.withColumn("_f", F.sum("_f").over(own.orderBy("_i").rowsBetween(Window.unboundedPreceding, 0)) / F.sum("_f").over(own))
+    arrays = cdf.groupBy(*keys).agg(*[F.first(c).alias(c) for c in ("n", "lo", "step")], F.sort_array(F.collect_list(F.struct("_i", "_f"))).alias("_a"))
+    return arrays.select(*keys, "n", "lo", "step", F.col("_a._f").alias("cdf"))
 
 
 def cdf_at(t: Column, lo: Column, step: Column, cdf: Column) -> Column:

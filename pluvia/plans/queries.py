@@ -487,21 +487,24 @@ def kde_uncond_day0(spark, sf):
     return _predicted(spark, sf).select("id", F.round("p_day0", 8).alias("p_day0"), F.round(A.total(F.col("p_uncond")), 8).alias("p_season"), F.round(A.plus_bin(full), 8).alias("p_plus"))
 
 
-@query(f"""WITH {T.SAMPLES}, yrs AS (SELECT DISTINCT year AS test_year FROM samples), loo AS (SELECT id, test_year, onset_day FROM samples, yrs WHERE year <> test_year),
+_LOYO = f"""WITH {T.SAMPLES}, yrs AS (SELECT DISTINCT year AS test_year FROM samples), loo AS (SELECT id, test_year, onset_day FROM samples, yrs WHERE year <> test_year),
 st AS (SELECT id, test_year, count(*) AS n, min(onset_day)::DOUBLE AS mn, max(onset_day)::DOUBLE AS mx, stddev_samp(onset_day) * pow(count(*), -0.2) AS bw FROM loo GROUP BY ALL HAVING n >= 10 AND stddev_samp(onset_day) > 0),
 gr AS (SELECT *, mn - 3 * bw + i * ((mx - mn + 6 * bw) / 511) AS g FROM st, (SELECT CAST(unnest(range(0, 512)) AS INT) AS i)),
-pdf AS (SELECT gr.id, gr.test_year, n, i, sum(exp(-0.5 * pow((g - onset_day) / bw, 2))) AS f FROM gr JOIN loo s ON s.id = gr.id AND s.test_year = gr.test_year GROUP BY ALL)
+pdf AS (SELECT gr.id, gr.test_year, n, i, sum(exp(-0.5 * pow((g - onset_day) / bw, 2))) AS f FROM gr JOIN loo s ON s.id = gr.id AND s.test_year = gr.test_year GROUP BY ALL)"""
+
+
+@query(f"""{_LOYO}
 SELECT id, test_year, n, round(sum(CASE WHEN i <= 128 THEN f END) / sum(f), 8) AS q FROM pdf GROUP BY id, test_year, n""")
 def kde_loyo(spark, sf):
     """K-5: climatology of each unit and test year without that year."""
-    fits = C.fit_kde(C.leave_one_out(T.onset_samples(spark, sf)), ["id", "test_year"])
+    fits = C.fit_counted(C.left_out_samples(T.onset_samples(spark, sf)), ["id", "test_year"])
     return fits.select("id", "test_year", "n", F.round(F.get("cdf", F.lit(128)), 8).alias("q"))
 
 
-@query()
+@query(f"{_LOYO} SELECT id, test_year, n, i, round(sum(f) OVER (PARTITION BY id, test_year ORDER BY i) / sum(f) OVER (PARTITION BY id, test_year), 8) AS q FROM pdf")
 def kde_loyo_all(spark, sf):
     """K-5: as kde_loyo, on the whole grid."""
-    fits = C.fit_kde(C.leave_one_out(T.onset_samples(spark, sf)), ["id", "test_year"])
+    fits = C.fit_counted(C.left_out_samples(T.onset_samples(spark, sf)), ["id", "test_year"])
     return fits.select("id", "test_year", "n", F.posexplode("cdf").alias("i", "q")).withColumn("q", F.round("q", 8))
 
 

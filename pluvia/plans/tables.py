@@ -7,7 +7,7 @@ orders with five bins from their key, the order priority being the outcome.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 YEARS, DAYS, LEADS, ISSUES, MEMBERS, BINS = range(1995, 2002), 184, 45, (1, 31, 61), 3, 5
@@ -17,6 +17,14 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def dense(days: Column, n: int) -> Column:
+    """An array of n values from sorted (d, x): the gaps before each day are filled with 0 in one pass."""
+    def part(s: Column, i: Column) -> Column:
+        return F.concat(F.array_repeat(F.lit(0.0), s["d"] - 1 - F.when(i > 0, F.get(days, i - 1)["d"]).otherwise(0)), F.array(s["x"]))
+
+    return F.concat(F.flatten(F.transform(days, part)), F.array_repeat(F.lit(0.0), n - F.coalesce(F.get(days, F.size(days) - 1)["d"], F.lit(0))))
+
+
 def season_arrays(spark: SparkSession, sf: str) -> DataFrame:
     """id, year, rain: one row per unit and year, dense, days without rain 0."""
     day = F.to_date("l_shipdate")
@@ -25,11 +33,10 @@ def season_arrays(spark: SparkSession, sf: str) -> DataFrame:
         table(spark, sf, "lineitem").filter(F.col("l_shipdate").between(F.lit(f"{YEARS[0]}-05-01").cast("timestamp"), F.lit(f"{YEARS[-1]}-12-31").cast("timestamp"))).select(F.col("l_suppkey").alias("id"), F.year("l_shipdate").alias("year"), (F.datediff(day, start) + 1).alias("d"), "l_quantity")
         .filter(F.col("d").between(1, DAYS) & F.col("year").between(YEARS[0], YEARS[-1]))
         .groupBy("id", "year", "d").agg(F.sum("l_quantity").alias("x"))
-        .groupBy("id", "year").agg(F.map_from_entries(F.collect_list(F.struct("d", "x"))).alias("m"))
+        .groupBy("id", "year").agg(F.sort_array(F.collect_list(F.struct("d", "x"))).alias("m"))
     )
     units = table(spark, sf, "supplier").select(F.col("s_suppkey").alias("id"), F.explode(F.array(*[F.lit(y) for y in YEARS])).alias("year"))
-    at = F.transform(F.sequence(F.lit(1), F.lit(DAYS)), lambda d: F.coalesce(F.try_element_at("m", d), F.lit(0.0)))
-    return units.join(rain, ["id", "year"], "left").select("id", "year", at.alias("rain"))
+    return units.join(rain, ["id", "year"], "left").select("id", "year", F.coalesce(dense(F.col("m"), DAYS), F.array_repeat(F.lit(0.0), DAYS)).alias("rain"))
 
 
 def holed_arrays(spark: SparkSession, sf: str) -> DataFrame:
