@@ -175,6 +175,29 @@ def lead_start(issue: Column, reference: Column, default: int | None = 1) -> Col
     return F.coalesce(F.greatest(F.lit(1), F.datediff(reference, issue)), F.lit(default))
 
 
+def lead_position(leads: Column, offset: Column, default: Column | int = 1, none: int = 9999) -> Column:
+    """1-based position of the first of the sorted ``leads`` that is at least ``offset``, ``none`` if all are smaller;
+    ``default`` where the offset is missing.  The leads may have gaps."""
+    position = F.size(F.filter(leads, lambda x: x < offset)) + 1
+    known = F.when(position > F.size(leads), F.lit(none)).otherwise(position)
+    return F.when(offset.isNull(), F.lit(default) if isinstance(default, int) else default).otherwise(known)
+
+
+def start_positions(rows: DataFrame, leads: DataFrame, keys: list[str], offset: str = "offset", lead: str = "lead", none: int = 9999) -> DataFrame:
+    """:func:`lead_position` where the leads are a table (keys, lead): rows -> adds ``position``, 1 without an offset.
+
+    Offsets and leads meet in one ordered window of their union, each offset taking the number of leads before it: an
+    as-of join without a comparison of every offset with every lead."""
+    known = leads.select(*keys, lead).distinct()
+    sides = rows.select(*keys, F.col(offset).alias("_at")).filter("_at IS NOT NULL").distinct().withColumn("_lead", F.lit(0)).unionByName(
+        known.select(*keys, F.col(lead).alias("_at"), F.lit(1).alias("_lead")))
+    before = Window.partitionBy(*keys).orderBy("_at").rangeBetween(Window.unboundedPreceding, -1)
+    counted = sides.withColumn("_n", F.coalesce(F.sum("_lead").over(before), F.lit(0))).withColumn("_all", F.sum("_lead").over(Window.partitionBy(*keys))).filter("_lead = 0")
+    place = F.when(F.col("_n") < F.col("_all"), F.col("_n") + 1).otherwise(none)
+    found = counted.select(*keys, F.col("_at").alias(offset), place.cast("int").alias("position"))
+    return rows.join(found, [*keys, offset], "left").withColumn("position", F.when(F.col(offset).isNull(), 1).otherwise(F.col("position")))
+
+
 def onset_probabilities(members: DataFrame, keys: list[str], onsets: list[str], horizon: int, rain: str | None = None) -> DataFrame:
     """Members' onset leads -> per key and variant the share of all members with onset on lead 1..horizon.
 

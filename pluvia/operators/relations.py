@@ -188,6 +188,53 @@ def fingerprint(df: DataFrame) -> DataFrame:
                   *[F.count_if(F.col(c).isNull()).alias(f"null_{c}") for c in numbers])
 
 
+def row_hash(df: DataFrame) -> Column:
+    """SHA-256 of a row's values by column name; NULL, empty and neighbouring values never look alike."""
+    value = lambda c: F.coalesce(F.concat(F.length(F.col(f"`{c}`").cast("string")).cast("string"), F.lit(":"), F.col(f"`{c}`").cast("string")), F.lit("-"))
+    return F.sha2(F.concat_ws(",", *[value(c) for c in sorted(df.columns)]), 256)
+
+
+def multiset_fingerprint(df: DataFrame) -> DataFrame:
+    """n_rows and a hash of the table as a multiset of whole rows, whatever their order and that of the columns.
+
+    A row's SHA-256 is cut into eight limbs of 32 bits; the limbs are summed over all rows, in decimals that cannot
+    overflow, and the sums and column names are hashed.  So swapped values and repeated rows show; one pass, no sort."""
+    limbs = df.select(row_hash(df).alias("_h")).select(*[F.conv(F.substring("_h", 8 * k + 1, 8), 16, 10).cast("decimal(20,0)").alias(f"_{k}") for k in range(8)])
+    sums = limbs.agg(F.count(F.lit(1)).alias("n_rows"), *[F.coalesce(F.sum(f"_{k}"), F.lit(0)).cast("decimal(38,0)").cast("string").alias(f"_{k}") for k in range(8)])
+    return sums.select("n_rows", F.sha2(F.concat_ws("|", F.lit(",".join(sorted(df.columns))), *[F.col(f"_{k}") for k in range(8)]), 256).alias("hash"))
+
+
+def shared_ids(left: DataFrame, right: DataFrame, key: str = "id") -> DataFrame:
+    """Distinct keys that both tables have; NULL is a key."""
+    return left.select(key).intersect(right.select(key))
+
+
+def require_rows(df: DataFrame, what: str) -> DataFrame:
+    """``df``; raises if nothing is left of it."""
+    if df.isEmpty():
+        raise ValueError(f"nothing is left after {what}")
+    return df
+
+
+def before_onset(days: DataFrame, onsets: DataFrame, keys: list[str], day: str = "d", onset: str = "onset_idx") -> DataFrame:
+    """Days strictly before their key's onset; keys without a row or date of onset leave."""
+    return days.join(onsets.select(*keys, F.col(onset).alias("_onset")), keys).filter(F.col(day) < F.col("_onset")).drop("_onset")
+
+
+def join_constants(main: DataFrame, constants: list[DataFrame], key: str = "id") -> DataFrame:
+    """Adds the columns of the constant tables: these meet in full outer joins, then join the main rows."""
+    if not constants:
+        return main
+    return main.join(reduce(lambda a, b: a.join(b, key, "full"), constants), key, "left")
+
+
+def compare_models(table: DataFrame, value: str, left: str, right: str, key: str = "id", model: str = "model") -> DataFrame:
+    """key, value_x, value_y, difference of two models' rows, for every key of either: one pass in place of a self-join."""
+    pick = lambda m: F.max(F.when(F.col(model) == m, F.col(value)))
+    both = table.filter(F.col(model).isin(left, right)).groupBy(key).agg(pick(left).alias(f"{value}_x"), pick(right).alias(f"{value}_y"))
+    return both.withColumn("difference", F.col(f"{value}_x") - F.col(f"{value}_y"))
+
+
 def project_family(df: DataFrame, source: str, model: str, out: str) -> DataFrame:
     """Renames ``<source>_day_k`` to ``<model>_<out>_day_k``; other columns stay."""
     head = f"{source}_day_"

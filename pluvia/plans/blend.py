@@ -174,6 +174,78 @@ def skill_vs_baseline_all(spark, sf):
     return out.select("model", *[F.round(c, n).alias(c) for c, n in (("brier_skill", 8), ("rps_skill", 8), ("auc_points", 5))])
 
 
+_SPARSE = """u AS (SELECT s_suppkey AS id, issue, 33 - issue AS cutoff, CASE WHEN s_suppkey % 6 <> 0 THEN 15 + s_suppkey % 5 * 7 - issue END AS ref FROM supplier, (SELECT unnest([1, 31, 61]) AS issue)),
+l AS (SELECT s_suppkey AS id, lead FROM supplier, (SELECT unnest(range(1, 46)) AS lead) WHERE (lead * 5 + s_suppkey) % 4 <> 0 AND lead <= 20 + s_suppkey % 26)"""
+
+
+@query(f"""WITH {_SPARSE}, c AS (SELECT u.id, u.issue, ref, count(*) AS n, count(*) FILTER (lead < cutoff) AS a, count(*) FILTER (lead < ref) AS b FROM u JOIN l USING (id) GROUP BY u.id, u.issue, ref)
+SELECT id, issue, CASE WHEN a < n THEN a + 1 ELSE 9999 END AS fixed_start, CASE WHEN ref IS NULL THEN 1 WHEN b < n THEN b + 1 ELSE 9999 END AS ref_start FROM c""")
+def sparse_lead_starts(spark, sf):
+    """Start positions among leads with gaps, for a fixed cutoff (in the row) and a reference date (a table of leads)."""
+    unit, lead = F.col("s_suppkey").alias("id"), F.col("lead")
+    rows = T.table(spark, sf, "supplier").select(unit, F.explode(F.array(*[F.lit(i) for i in T.ISSUES])).alias("issue"))
+    leads = T.table(spark, sf, "supplier").select(unit, F.explode(F.sequence(F.lit(1), F.lit(45))).alias("lead")).filter(((lead * 5 + F.col("id")) % 4 != 0) & (lead <= 20 + F.col("id") % 26))
+    rows = rows.withColumn("offset", F.when(F.col("id") % 6 != 0, 15 + F.col("id") % 5 * 7 - F.col("issue")).cast("int"))
+    listed = leads.groupBy("id").agg(F.sort_array(F.collect_list("lead")).alias("leads"))
+    out = O.start_positions(rows, leads, ["id"]).join(listed, "id")
+    return out.select("id", "issue", O.lead_position(F.col("leads"), F.lit(33) - F.col("issue")).alias("fixed_start"), F.col("position").alias("ref_start"))
+
+
+_LIMB = " || '|' || ".join(f"sum(('0x' || substr(h, {8 * k + 1}, 8))::UBIGINT)::HUGEINT::VARCHAR" for k in range(8))
+_VALUE = lambda c: f"coalesce(length({c}::VARCHAR)::VARCHAR || ':' || {c}::VARCHAR, '-')"
+
+
+@query(f"""WITH h AS (SELECT sha256({" || ',' || ".join(_VALUE(c) for c in ('o_clerk_no', 'o_custkey', 'o_day', 'o_orderkey', 'o_orderpriority'))}) AS h FROM (
+SELECT o_orderkey, o_custkey, o_orderpriority, CAST(o_orderdate AS DATE) AS o_day, CASE WHEN o_orderkey % 3 <> 0 THEN o_custkey % 7 END AS o_clerk_no FROM orders))
+SELECT count(*) AS n_rows, sha256('o_clerk_no,o_custkey,o_day,o_orderkey,o_orderpriority|' || {_LIMB}) AS hash FROM h""")
+def table_multiset_hash(spark, sf):
+    """Order-free hash of all rows of a table."""
+    o = T.table(spark, sf, "orders")
+    return R.multiset_fingerprint(o.select("o_orderkey", "o_custkey", "o_orderpriority", F.to_date("o_orderdate").alias("o_day"), F.when(F.col("o_orderkey") % 3 != 0, F.col("o_custkey") % 7).alias("o_clerk_no")))
+
+
+@query("SELECT DISTINCT c_nationkey AS id FROM customer INTERSECT SELECT DISTINCT s_nationkey FROM supplier WHERE s_suppkey % 3 = 0")
+def shared_ids(spark, sf):
+    """Ids of both tables."""
+    return R.shared_ids(T.table(spark, sf, "customer").select(F.col("c_nationkey").alias("id")), T.table(spark, sf, "supplier").filter("s_suppkey % 3 = 0").select(F.col("s_nationkey").alias("id")))
+
+
+@query(f"WITH {T.SEASON}, {Q.onset_sql(Q.MAIN, 'season', 'id, year', '50')} SELECT id, year, count(*) AS n, sum(x) AS total FROM season JOIN found USING (id, year) WHERE d < onset_idx GROUP BY id, year")
+def before_onset(spark, sf):
+    """days strictly before the onset; seasons without one leave."""
+    return R.before_onset(T.season(spark, sf), Q.onset_consecutive_dry(spark, sf), ["id", "year"]).groupBy("id", "year").agg(F.count(F.lit(1)).alias("n"), F.sum("x").alias("total"))
+
+
+@query("""SELECT o_orderkey AS k, o_custkey AS id, a.balance, b.parts FROM orders LEFT JOIN (SELECT * FROM (SELECT c_custkey AS id, c_acctbal AS balance FROM customer WHERE c_custkey % 3 <> 0) FULL JOIN (SELECT s_suppkey AS id, s_nationkey AS parts FROM supplier) USING (id)) b ON b.id = o_custkey LEFT JOIN (SELECT c_custkey AS id, c_acctbal AS balance FROM customer WHERE c_custkey % 3 <> 0) a ON a.id = o_custkey""")
+def constants_join(spark, sf):
+    """Constant tables meet in full, then join the rows."""
+    c = T.table(spark, sf, "customer").filter("c_custkey % 3 <> 0").select(F.col("c_custkey").alias("id"), F.col("c_acctbal").alias("balance"))
+    s = T.table(spark, sf, "supplier").select(F.col("s_suppkey").alias("id"), F.col("s_nationkey").alias("parts"))
+    return R.join_constants(T.table(spark, sf, "orders").select(F.col("o_orderkey").alias("k"), F.col("o_custkey").alias("id")), [c, s]).select("k", "id", "balance", "parts")
+
+
+@query("""WITH m AS (SELECT o_custkey AS id, substr(o_orderpriority, 1, 1) AS model, max(o_totalprice) AS score FROM orders GROUP BY ALL)
+SELECT id, a.score AS score_x, b.score AS score_y, a.score - b.score AS difference FROM (SELECT * FROM m WHERE model = '1') a FULL JOIN (SELECT * FROM m WHERE model = '2') b USING (id)""")
+def map_comparison(spark, sf):
+    """Two models side by side for every unit of either."""
+    m = T.table(spark, sf, "orders").groupBy(F.col("o_custkey").alias("id"), F.substring("o_orderpriority", 1, 1).alias("model")).agg(F.max("o_totalprice").alias("score"))
+    return R.compare_models(m, "score", "1", "2")
+
+
+@query("""SELECT 'u' AS predictor, count(*) AS n_rows, count(*) FILTER (l_linenumber % 3 = 0) AS n_missing FROM lineitem UNION ALL SELECT 'v', count(*), count(*) FILTER (l_quantity <= 5) FROM lineitem""")
+def support_diagnostics(spark, sf):
+    """missing values of each predictor."""
+    rows = T.table(spark, sf, "lineitem").select(F.when(F.col("l_linenumber") % 3 != 0, 1).alias("u"), F.when(F.col("l_quantity") > 5, 1).alias("v"))
+    return R.common_support(rows, ["u", "v"])[1]
+
+
+@query(f"WITH {T.SEASON}, h AS (SELECT id, year, d, CASE WHEN id % 3 <> 0 THEN x WHEN (7 * d + id) % 31 <> 0 THEN x END AS x FROM season) SELECT year, count(*) AS n, sum(x) AS total FROM h WHERE (id, year) NOT IN (SELECT (id, year) FROM h WHERE x IS NULL) GROUP BY year")
+def missing_policy_some(spark, sf):
+    """Whole seasons, of which one unit in three has gaps."""
+    rows = T.season(spark, sf).withColumn("x", F.when((F.col("id") % 3 != 0) | ((F.col("d") * 7 + F.col("id")) % 31 != 0), F.col("x")))
+    return R.missing_policy(rows, "drop", ["id", "year"]).groupBy("year").agg(F.count(F.lit(1)).alias("n"), F.sum("x").alias("total"))
+
+
 @query(f"WITH {Q._BOX_SQL} SELECT 2 AS digits, count(*) AS n FROM cells")
 def grid_digits(spark, sf):
     """Digits that the ids of a grid need."""
