@@ -71,7 +71,7 @@ def advance(fit: dict, g: np.ndarray, h: np.ndarray, loss: float) -> dict:
     return fit | {"prev": fit["w"], "w": (w - step).tolist(), "last": loss, "open": bool(np.abs(step).max() > 1e-10)}
 
 
-def _in_tasks(rows: DataFrame, schema: str, work) -> DataFrame:
+def in_tasks(rows: DataFrame, schema: str, work) -> DataFrame:
     """``work(row)``, a list of rows as dictionaries, for each row."""
     arrow = to_arrow_schema(StructType.fromDDL(schema))
 
@@ -142,15 +142,15 @@ def fit_groups(rows: DataFrame, keys: list[str], folds: DataFrame, classes: int,
         return [advance(row, v[:size], v[size:-1].reshape(size, size), float(v[-1]))]
 
     parts = [state.filter("NOT open").select(*by, "counts", F.lit(None).cast("array<double>").alias("w"))]
-    parts.append(_in_tasks(met(slices.filter("slices = 1"), state.filter("open AND slices = 1")), of([*by, "counts", "w"]), solve))
+    parts.append(in_tasks(met(slices.filter("slices = 1"), state.filter("open AND slices = 1")), of([*by, "counts", "w"]), solve))
     large, now = slices.filter("slices > 1"), state.filter("open AND slices > 1").drop("slices")
     for _ in range(steps):
         if now.isEmpty():
             break
-        each = _in_tasks(met(large, now), f"{of(by)}, v array<double>", sums).select(*by, F.posexplode("v").alias("i", "v"))
+        each = in_tasks(met(large, now), f"{of(by)}, v array<double>", sums).select(*by, F.posexplode("v").alias("i", "v"))
         summed = each.groupBy(*by, "i").agg(F.sum("v").alias("v")).groupBy(*by).agg(F.transform(F.sort_array(F.collect_list(F.struct("i", "v"))), lambda s: s["v"]).alias("v"))
         after = beside(now, summed, by).select(*by, *_FIT, "v")
-        after = cut(_in_tasks(after, of([*by, *_FIT]), step))
+        after = cut(in_tasks(after, of([*by, *_FIT]), step))
         parts.append(after.filter("NOT open").select(*by, "counts", "w"))
         now = after.filter("open")
     parts.append(now.select(*by, "counts", "w"))

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .coverage import cell_boxes, overlap_areas
+
 
 def weighted_mean(cells: DataFrame, weights: DataFrame, meta: list[str], x: str = "x") -> DataFrame:
     """source_id, meta…, x and (source_id, target_id, weight) -> target_id, meta…, x: the mean of the observed
@@ -73,47 +73,14 @@ def polygon_centroid(vertices):
     return y, x
 
 
-def _inside_box(ring: np.ndarray, box: tuple[float, float, float, float]) -> float:
-    """Area of a simple ring (rows lat, lon) within south, north, west, east: cut by one side after the other."""
-    for axis, sign, bound in ((0, 1, box[0]), (0, -1, box[1]), (1, 1, box[2]), (1, -1, box[3])):
-        if len(ring) < 3:
-            return 0.0
-        after = np.roll(ring, -1, axis=0)
-        here, there = sign * (ring[:, axis] - bound), sign * (after[:, axis] - bound)
-        crosses = here * there < 0
-        share = np.where(crosses, here / np.where(crosses, here - there, 1.0), 0.0)
-        cut = ring + share[:, None] * (after - ring)
-        # Each side gives its first end, if that stays, and then the point at which it crosses the bound.
-        ring = np.stack([ring, cut], axis=1).reshape(-1, 2)[np.stack([here >= 0, crosses], axis=1).ravel()]
-    after = np.roll(ring, -1, axis=0)
-    return abs(float((ring[:, 1] * after[:, 0] - after[:, 1] * ring[:, 0]).sum())) / 2
-
-
 def polygon_weights(cells: DataFrame, units: DataFrame, half_lat: float, half_lon: float, least: float = 1e-5) -> DataFrame:
     """source_id, target_id, weight: share of each cell box (source_id, lat, lon as centre) within each unit.
 
     ``units`` has target_id and ``rings``, an array of simple rings (arrays of structs lat, lon) that do not overlap,
-    as the parts of a unit.  Cells and rings meet in the grid's rows and columns that the ring's bounds cover, an
-    equi-join; areas are cut in Arrow batches.  A ring of under three points, or NULL, has no area.  Repeated cells
+    as the parts of a unit; see :mod:`.coverage`.  A ring of under three points, or NULL, has no area.  Repeated cells
     are one cell."""
-    span = lambda low, high, step: F.explode(F.sequence(F.floor(low / step), F.floor(high / step)))
-    y, x = 2 * half_lat, 2 * half_lon
-    a = cells.select("source_id", "lat", "lon").distinct().withColumn("_i", F.floor(F.col("lat") / y)).withColumn("_j", F.floor(F.col("lon") / x))
-    parts = units.select("target_id", F.explode("rings").alias("ring")).filter(F.size("ring") > 2)
-    edge = lambda f, of: f(F.transform("ring", lambda v: v[of]))
-    b = (
-        parts.withColumn("_i", span(edge(F.array_min, "lat") - half_lat, edge(F.array_max, "lat") + half_lat, y))
-        .withColumn("_j", span(edge(F.array_min, "lon") - half_lon, edge(F.array_max, "lon") + half_lon, x))
-    )
-
-    @F.pandas_udf("double")
-    def area(lat: pd.Series, lon: pd.Series, lats: pd.Series, lons: pd.Series) -> pd.Series:
-        each = zip(lat, lon, lats, lons, strict=True)
-        return pd.Series([_inside_box(np.column_stack([p, q]), (c - half_lat, c + half_lat, d - half_lon, d + half_lon)) for c, d, p, q in each], dtype=float)
-
-    points = lambda of: F.transform("ring", lambda v: v[of])
-    within = a.join(b, ["_i", "_j"]).select("source_id", "target_id", (area("lat", "lon", points("lat"), points("lon")) / (y * x)).alias("weight"))
-    return within.groupBy("source_id", "target_id").agg(F.sum("weight").alias("weight")).filter(F.col("weight") > least)
+    areas = overlap_areas(cell_boxes(cells, half_lat, half_lon, ["source_id"]), ["source_id"], units, (4 * half_lat, 4 * half_lon))
+    return areas.select("source_id", "target_id", (F.col("area") / (4 * half_lat * half_lon)).alias("weight")).filter(F.col("weight") > least)
 
 
 def valid_cells(values: DataFrame, x: str = "x") -> DataFrame:

@@ -8,6 +8,7 @@ from ..functions import arrays as A
 from ..functions import ids as I
 from ..operators import checks as K
 from ..operators import climatology as C
+from ..operators import coverage as V
 from ..operators import evaluation as E
 from ..operators import export as X
 from ..operators import metrics as M
@@ -246,6 +247,36 @@ def missing_policy_some(spark, sf):
     return R.missing_policy(rows, "drop", ["id", "year"]).groupBy("year").agg(F.count(F.lit(1)).alias("n"), F.sum("x").alias("total"))
 
 
+_SQUARES = f"""WITH {Q._BOX_SQL}, covered AS (SELECT DISTINCT s_suppkey % 14 AS a, s_suppkey * 5 % 17 AS b FROM supplier),
+sq AS (SELECT target_id, south + (i + 0.5) * 0.025 AS y, west + (j + 0.5) * 0.025 AS x FROM (SELECT n_nationkey AS target_id, 5.0 + n_nationkey * 0.3 AS south, 65.0 + (n_nationkey % 5) * 1.4 AS west FROM nation), (SELECT unnest(range(0, 44)) AS i), (SELECT unnest(range(0, 92)) AS j)),
+seen AS (SELECT target_id, y, x FROM sq WHERE EXISTS (SELECT 1 FROM covered WHERE a IN (floor((y - 5.0) / 0.5), ceil((y - 5.0) / 0.5)) AND b IN (floor((x - 65.0) / 0.5), ceil((x - 65.0) / 0.5)) AND abs(y - 5.0 - 0.5 * a) < 0.375 AND abs(x - 65.0 - 0.5 * b) < 0.375))"""
+
+
+def _footprint(spark, sf):
+    """Cells, units as rings, and boxes of another grid's valid cells, which overlap."""
+    cells, units = Q._boxes(spark, sf)
+    corner = lambda y, x: F.struct(F.col(y).alias("lat"), F.col(x).alias("lon"))
+    rings = units.select("target_id", F.array(F.array(corner("south", "west"), corner("south", "east"), corner("north", "east"), corner("north", "west"))).alias("rings"))
+    k = F.col("s_suppkey")
+    valid = T.table(spark, sf, "supplier").select((5.0 + 0.5 * (k % 14)).alias("lat"), (65.0 + 0.5 * (k * 5 % 17)).alias("lon"))
+    return cells, rings, V.cell_boxes(valid, 0.375, 0.375)
+
+
+@query(f"""{_SQUARES}, c AS (SELECT target_id, source_id, count(*) AS n FROM seen JOIN cells ON cells.lat = 5.0 + 0.25 * round((y - 5.0) / 0.25) AND cells.lon = 65.0 + 0.25 * round((x - 65.0) / 0.25) GROUP BY ALL)
+SELECT source_id, target_id, round(n / sum(n) OVER (PARTITION BY target_id), 8) AS weight FROM c""")
+def coverage_weights(spark, sf):
+    """Weights of a second grid within the first grid's valid cells."""
+    cells, units, covered = _footprint(spark, sf)
+    return V.weights_to_coverage(cells, 0.125, 0.125, units, covered)[0].withColumn("weight", F.round("weight", 8))
+
+
+@query(f"{_SQUARES} SELECT n_nationkey AS target_id, round(1 - coalesce(c, 0) / 4048, 8) AS missing_frac FROM nation LEFT JOIN (SELECT target_id, count(*) AS c FROM seen GROUP BY 1) ON target_id = n_nationkey")
+def coverage_missing(spark, sf):
+    """Share of each unit outside of boxes that overlap."""
+    _, units, covered = _footprint(spark, sf)
+    return V.uncovered(units, covered, (1.0, 1.0)).select("target_id", F.round("missing_frac", 8).alias("missing_frac"))
+
+
 @query(f"WITH {Q._BOX_SQL} SELECT 2 AS digits, count(*) AS n FROM cells")
 def grid_digits(spark, sf):
     """Digits that the ids of a grid need."""
