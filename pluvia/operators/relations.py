@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.ids import parse_grid_id
@@ -123,15 +123,20 @@ def forecast_window(date: Column, horizons: list[tuple[str, str, int]]) -> Colum
     return out
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Checkpoint in the cluster's shared folder (``spark.checkpoint.dir``); local sessions without one take a temporary
-    folder."""
-    context = df.sparkSession.sparkContext
+def scratch(spark: SparkSession) -> str:
+    """The cluster's shared folder (``spark.checkpoint.dir``); local sessions without one take a temporary folder."""
+    context = spark.sparkContext
     if context.getCheckpointDir() is None:
-        base = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        base = spark.conf.get("spark.checkpoint.dir", None)
         if not base and not context.master.startswith("local"):
             raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         context.setCheckpointDir(base or tempfile.mkdtemp(prefix="spark-checkpoint-"))
+    return context.getCheckpointDir()
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """Checkpoint in the shared folder, see :func:`scratch`."""
+    scratch(df.sparkSession)
     return df.checkpoint()
 
 

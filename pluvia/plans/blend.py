@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from ..functions import arrays as A
@@ -14,6 +16,7 @@ from ..operators import export as X
 from ..operators import metrics as M
 from ..operators import onset as O
 from ..operators import relations as R
+from ..sources import grids as S
 from . import queries as Q
 from . import tables as T
 from .queries import query
@@ -277,6 +280,34 @@ def coverage_missing(spark, sf):
     return V.uncovered(units, covered, (1.0, 1.0)).select("target_id", F.round("missing_frac", 8).alias("missing_frac"))
 
 
+def _grid_files(spark, sf):
+    """Three seasons of the units' rain on a grid of one degree, a file a year in the shared folder."""
+    days = T.season(spark, sf).filter("year BETWEEN 1995 AND 1997")
+    time = F.date_add(F.make_date("year", F.lit(5), F.lit(1)), F.col("d") - 1)
+    cells = days.select("year", time.alias("time"), (5.0 + F.col("id") % 30).alias("lat"), (65.0 + F.col("id") * 7 % 30).alias("lon"), "x")
+    folder = f"{R.scratch(spark)}/grids-{uuid.uuid4().hex}"
+    return S.scan(spark, [r["path"] for r in S.write_grids(cells.groupBy("year", "time", "lat", "lon").agg(F.sum("x").alias("rain")), folder, "rain").collect()])
+
+
+_GRIDDED = f"WITH {T.SEASON}, g AS (SELECT make_date(year, 5, 1) + CAST(d - 1 AS INT) AS time, (5.0 + id % 30)::DOUBLE AS lat, (65.0 + id * 7 % 30)::DOUBLE AS lon, sum(x) AS rain FROM season WHERE year BETWEEN 1995 AND 1997 GROUP BY ALL)"
+
+
+@query(f"{_GRIDDED} SELECT time, lat, lon, rain FROM g WHERE time BETWEEN '1995-07-10' AND '1996-06-20' AND lat >= 12")
+def gridded_scan(spark, sf):
+    """Gridded files written and scanned by slabs, with bounds on time and latitude pushed into the scan."""
+    rows = _grid_files(spark, sf).filter((F.col("time") >= F.lit("1995-07-10").cast("date")) & (F.col("time") <= F.lit("1996-06-20").cast("date")) & (F.col("lat") >= 12.0))
+    return rows.filter("rain IS NOT NULL").select("time", "lat", "lon", "rain")
+
+
+@query(f"{_GRIDDED} SELECT lat, lon, min(time) AS start, count(*) AS n, sum(rain) AS total, max(rain) AS top FROM g WHERE time >= '1997-08-05' GROUP BY lat, lon")
+def gridded_matrix(spark, sf):
+    """Each cell's days from a cutoff on as an array."""
+    m = S.matrix(_grid_files(spark, sf).filter(F.col("time") >= F.lit("1997-08-05").cast("date")), F.lit("1997-08-05").cast("date"))
+    known = F.col("values")
+    out = m.select("lat", "lon", "start", F.size(known).cast("long").alias("n"), A.total(known).alias("total"), F.array_max(known).alias("top"))
+    return out.join(T.table(spark, sf, "supplier").select((5.0 + F.col("s_suppkey") % 30).alias("lat"), (65.0 + F.col("s_suppkey") * 7 % 30).alias("lon")).distinct(), ["lat", "lon"])
+
+
 @query(f"WITH {Q._BOX_SQL} SELECT 2 AS digits, count(*) AS n FROM cells")
 def grid_digits(spark, sf):
     """Digits that the ids of a grid need."""
