@@ -117,7 +117,7 @@ from t left join s on s.host = t.host left join k on k.page_id = t.page_id
 """,
     "op3_mix_sources": rf"""
 with docs as (
-  select doc_id, source, coalesce(len(list_filter(regexp_split_to_array(text, '{_GAP}'), lambda x: x <> '')), 0)::bigint as size
+  select doc_id, source, md5(text) as seed, coalesce(len(list_filter(regexp_split_to_array(text, '{_GAP}'), lambda x: x <> '')), 0)::bigint as size
   from documents),
 src as (select source, sum(size)::bigint as source_size from docs group by source),
 num as (select *, row_number() over (order by source nulls last) as source_no from src),
@@ -144,7 +144,7 @@ lay as (
   select d.doc_id, d.source, d.size, t.source_no, t.source_size, t.target,
     coalesce(sum(d.size) over (partition by t.source_no
       order by ('0x' || substr(h, 1, 4))::int % 256, h, doc_id, size rows between unbounded preceding and 1 preceding), 0)::bigint as start
-  from (select *, md5('mix:' || coalesce(doc_id::varchar, 'null')) as h from docs where size > 0) d
+  from (select *, md5('mix:' || coalesce(doc_id::varchar, seed, 'null')) as h from docs where size > 0) d
   join tgt t on d.source is not distinct from t.source),
 pc as (
   select *, unnest(range(((start + 1) * n - 1) // source_size, ((start + size) * n - 1) // source_size + 1)) as block

@@ -3,12 +3,13 @@
 Every benchmark item has a 128-bit SimHash of its weighted (counted) five-word shingles.  In the documents,
 windows as long as an item are fingerprinted at every position within reach of a shingle that an item of that
 length has; windows elsewhere share nothing with any item, so their similarity is 0.  The fingerprints are looked
-up in a multi-index: 128 bits are 32 blocks of 4 bits, so a fingerprint within 31 bits of an item's agrees with
-it in a whole block at least.  Candidates within the radius are verified by the exact weighted Jaccard
-similarity of the shingles; pairs from ``similarity`` on are returned, with the best window.
+up in a multi-index: 128 bits are 8 blocks of 16 bits, so a fingerprint within 31 bits of an item's differs from it in
+at most 3 bits of some block.  Each item is listed under the 697 values within 3 bits of each of its blocks, and a window
+looks its 8 blocks up; about 8 % of random pairs are candidates.  Candidates within the radius are verified by the exact
+weighted Jaccard similarity of the shingles; pairs from ``similarity`` on are returned, with the best window.
 
 Words are runs without white space and ASCII punctuation, A-Z in lower case.  The items are a stated query
-set: they are scanned in blocks of about ``block_items``, dealt by hash, each of which is sent to all tasks when
+set: they are scanned in blocks of about ``block_items`` (their lists take 35 KB an item), dealt by hash, each of which is sent to all tasks when
 its turn comes; documents are neither shuffled nor collected.
 
 Defined cases: null texts and texts without words contain nothing, and so do such items; an item of fewer than
@@ -33,7 +34,7 @@ from pyspark.sql.pandas.types import to_arrow_type
 from ._store import pin
 from ._words import PUNCTUATION, SPACE, mix, shingles, slices, word_hashes
 
-WIDTH, BLOCKS, RADIUS, SIMILARITY = 5, 32, 31, 0.8
+WIDTH, BLOCKS, FLIPS, RADIUS, SIMILARITY = 5, 8, 3, 31, 0.8
 APART = SPACE + PUNCTUATION
 
 
@@ -45,31 +46,33 @@ def fingerprints(items: np.ndarray, starts: np.ndarray, size: int) -> np.ndarray
     return np.packbits(upto[starts + size] - upto[starts] > 0, axis=1)
 
 
-def nibbles(prints: np.ndarray) -> np.ndarray:
-    """The 32 four-bit blocks of each fingerprint."""
-    return np.stack([prints >> 4, prints & 15], axis=2).reshape(len(prints), BLOCKS)
+#: The differences of 16-bit blocks that agree but for at most FLIPS bits.
+_NEAR = np.flatnonzero(np.bitwise_count(np.arange(1 << 16, dtype=np.uint16)) <= FLIPS).astype(np.uint16)
 
 
 class MultiIndex:
     """Items of one size; finds all (window, item) within the radius."""
 
     def __init__(self, numbers: list[int], prints: np.ndarray):
-        self.numbers, self.prints = np.array(numbers), prints
-        block = nibbles(prints)
-        self.order = np.argsort(block, axis=0, kind="stable")
-        self.first = np.stack([np.searchsorted(block[self.order[:, b], b], np.arange(17)) for b in range(BLOCKS)])
-
-    def near(self, prints: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        block, pairs = nibbles(prints), []
-        for b in range(BLOCKS):
-            lo, hi = self.first[b][block[:, b]], self.first[b][block[:, b] + 1]
+        self.numbers, self.prints, self.blocks = np.array(numbers), prints, []
+        for block in prints.view(np.uint16).T:
+            value = (block[:, None] ^ _NEAR).ravel()
+            order = np.argsort(value, kind="stable")
+            self.blocks.append((value[order], (order // len(_NEAR)).astype(np.int32)))
+
+    def candidates(self, prints: np.ndarray) -> np.ndarray:
+        """window x items + item of the pairs that agree in a block but for a few bits."""
+        pairs = []
+        for block, (value, item) in zip(prints.view(np.uint16).T, self.blocks, strict=True):
+            lo, hi = np.searchsorted(value, block, "left"), np.searchsorted(value, block, "right")
             n = hi - lo
-            window = np.repeat(np.arange(len(prints)), n)
             at = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(lo, n)
-            pairs.append(window * len(self.numbers) + self.order[at, b])
-        window, item = np.divmod(np.unique(np.concatenate(pairs)), len(self.numbers))
-        apart = np.bitwise_count(prints[window] ^ self.prints[item]).sum(axis=1)
-        keep = apart <= RADIUS
+            pairs.append(np.repeat(np.arange(len(prints)), n) * len(self.numbers) + item[at])
+        return np.unique(np.concatenate(pairs))
+
+    def near(self, prints: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        window, item = np.divmod(self.candidates(prints), len(self.numbers))
+        keep = np.bitwise_count(prints[window] ^ self.prints[item]).sum(axis=1) <= RADIUS
         return window[keep], self.numbers[item[keep]]
 
 
@@ -174,7 +177,7 @@ def _each_block(rows: DataFrame, benchmark: DataFrame, block_items: int, of_bloc
     return out
 
 
-def find_leaks(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY, block_items: int = 50_000, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def find_leaks(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY, block_items: int = 4_000, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per document and item found in it: doc_id, item_id, similarity, first_word, words."""
     narrow = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     kind, item = docs.schema[doc_id].dataType.simpleString(), benchmark.schema["item_id"].dataType
@@ -197,7 +200,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILA
     return reduce(DataFrame.unionByName, parts)
 
 
-def drop_leaks(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY, block_items: int = 50_000, text: str = "text") -> DataFrame:
+def drop_leaks(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY, block_items: int = 4_000, text: str = "text") -> DataFrame:
     """The documents, all columns, in which no item is found."""
 
     def of_block(rows: DataFrame, name: str, shared: Broadcast) -> DataFrame:

@@ -9,7 +9,7 @@ A source's offsets and slot ranks are computed in many small windows plus prefix
 so a source with a third of all rows is spread over all tasks.
 
 Defined cases: a null text has no words; null sources are one source, sorted last; documents without
-words are returned with ``taken`` 0; repeated rows are separate documents; an empty table gives an empty
+words are returned with ``taken`` 0; rows without a doc_id are shuffled by their text; repeated rows are separate documents; an empty table gives an empty
 result; other columns are ignored, whatever their names.
 """
 
@@ -114,9 +114,8 @@ def schedule(
 
 
 def lay_out(rows: DataFrame, buckets: int = 256) -> DataFrame:
-    """rows with doc_id, source_no, size -> adds ``start``: the offset of the document in its shuffled source."""
-    seed = F.md5(F.concat(F.lit("mix:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))))
-    rows = rows.withColumn("_h", seed).withColumn("_bucket", F.expr(f"cast(conv(substr(_h, 1, 4), 16, 10) as int) % {buckets}"))
+    """rows with doc_id, source_no, size and seed -> adds ``start``: the offset of the document in its shuffled source."""
+    rows = rows.withColumn("_h", F.md5(F.concat(F.lit("mix:"), "seed"))).drop("seed").withColumn("_bucket", F.expr(f"cast(conv(substr(_h, 1, 4), 16, 10) as int) % {buckets}"))
     before = Window.partitionBy("source_no").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     totals = rows.groupBy("source_no", "_bucket").agg(F.sum("size").alias("_sum")).select(
         "source_no", "_bucket", F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_base"))
@@ -134,7 +133,8 @@ def mix_sources(docs: DataFrame, block_tokens: int = 64, max_epochs: int = 3, ca
 
     ``taken`` counts the words the schedule takes of the document over all passes; ``copies`` says how often
     the block with its first word is taken, for mixes of whole documents."""
-    rows = pin(docs.select("doc_id", "source", n_words(F.col("text")).alias("size"), *carry), "mix-rows")
+    seed = F.coalesce(F.col("doc_id").cast("string"), F.md5("text"), F.lit("null"))  # rows without doc_id are dealt by their text
+    rows = pin(docs.select("doc_id", "source", n_words(F.col("text")).alias("size"), seed.alias("seed"), *carry), "mix-rows")
     targets = source_targets(rows.groupBy("source").agg(F.sum("size").alias("source_size")), max_epochs)
     targets = pin(targets.withColumn("source_no", F.row_number().over(Window.partitionBy().orderBy(F.col("source").asc_nulls_last())).cast("long")), "mix-targets")
     numbered = rows.join(targets, rows["source"].eqNullSafe(targets["source"])).drop(targets["source"])

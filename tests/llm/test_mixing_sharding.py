@@ -157,3 +157,11 @@ def test_without_bundles_it_is_plain_lpt(spark):
         groups[hashlib.md5(t.encode()).hexdigest()] += len(t) + 16
     where = slow_lpt([(size, key) for key, size in groups.items()], 5)
     assert all(r["shard"] == where[r["group_key"]] for r in got)
+
+
+def test_rows_without_doc_id_are_shuffled(spark):
+    from pluvia.llm import source_schedule
+
+    rows = spark.createDataFrame([(None, f"word{k} " * (1 + k % 5), "s") for k in range(300)] + [(None, None, "s")], "doc_id long, text string, source string")
+    out = source_schedule.mix_sources(rows).collect()
+    assert len(out) == 301 and len({r["start"] for r in out if r["size"]}) == 300

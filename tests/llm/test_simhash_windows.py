@@ -92,3 +92,18 @@ def test_short_items_are_found_whole(spark):
     got = S.find_leaks(docs, bench, block_items=2)
     assert {(r["doc_id"], r["item_id"], r["first_word"], r["words"]) for r in got.collect()} == {(1, 1, 1, 2), (4, 3, 1, 4), (5, 2, 0, 1), (7, 2, 7, 1), (7, 4, 0, 6)}
     assert {r["doc_id"] for r in S.drop_leaks(docs, bench, block_items=2).collect()} == {2, 3, 6}
+
+
+def test_index_is_selective():
+    """Under a tenth of random pairs are candidates, and none within the radius is lost."""
+    rnd = np.random.default_rng(9)
+    items, prints = (rnd.integers(0, 256, (n, 16), np.uint8) for n in (300, 400))
+    index = S.MultiIndex(list(range(300)), items)
+    assert len(index.candidates(prints)) < 0.1 * 300 * 400
+    for bits in range(S.RADIUS + 1):
+        near = items.copy()
+        for row in near:
+            for bit in rnd.choice(128, bits, replace=False):
+                row[bit // 8] ^= 1 << (bit % 8)
+        found = set(zip(*(x.tolist() for x in index.near(near)), strict=True))
+        assert {(k, k) for k in range(300)} <= found
