@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -58,25 +60,61 @@ def collisions(df: DataFrame, id_col: str, keys: list[str]) -> DataFrame:
     return df.select(id_col, *keys).distinct().groupBy(id_col).count().filter("count > 1")
 
 
-def infer_digits(cells: DataFrame, lat: str = "lat", lon: str = "lon", most: int = 6, error: float = 1e-4) -> int:
-    """Least number of digits whose ids are free of collisions and off by at most ``error`` of the grid's spacing.
+def least_gap(df: DataFrame, c: str) -> float | None:
+    """Least distance of neighbouring distinct values of a column; None for fewer than two.
+
+    Values are cut by range: each part has its own least gap, its first and its last value."""
+    from ..operators.relations import cut
+
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    placed = cut(df.select(F.col(c).alias("v")).filter("v IS NOT NULL").distinct().repartitionByRange(parts, "v").withColumn("part", F.spark_partition_id()))
+    step = F.lead("v").over(Window.partitionBy("part").orderBy("v")) - F.col("v")
+    ends = placed.withColumn("d", step).groupBy("part").agg(F.min("d").alias("d"), F.min("v").alias("lo"), F.max("v").alias("hi"))
+    between = F.lead("lo").over(Window.partitionBy().orderBy("part")) - F.col("hi")  # a row a part
+    return ends.select(F.least("d", between).alias("d")).agg(F.min("d")).first()[0]
+
 
-    Spark gives one row: the spacing, and for each number of digits its distinct ids and largest error."""
+def infer_digits(cells: DataFrame, lat: str = "lat", lon: str = "lon", most: int = 12, error: float = 1e-4) -> int:
+    """Least number of digits that is off by at most ``error`` of the grid's spacing, so that no two cells share an id.
+
+    Spark gives one row: the largest rounding error for each number of digits."""
     pairs = cells.select(F.col(lat).cast("double").alias("lat"), F.col(lon).cast("double").alias("lon")).distinct()
-    if pairs.filter(F.col("lat").isNull() | F.col("lon").isNull() | F.isnan("lat") | F.isnan("lon")).limit(1).count() or pairs.isEmpty():
-        raise ValueError("grid ids need coordinates that are all finite")
-    steps = []
-    for c in ("lat", "lon"):  # distinct values of one coordinate: thousands at most
-        values = pairs.select(c).distinct()
-        gap = values.select((F.lead(c).over(Window.partitionBy().orderBy(c)) - F.col(c)).alias("d")).filter("d > 0").agg(F.min("d")).first()[0]
-        steps += [] if gap is None else [gap]
+    finite = lambda c: F.col(c).isNotNull() & ~F.isnan(c) & (F.abs(c) < float("inf"))
     off = lambda c, k: F.max(F.abs(F.round(c, k) - F.col(c)))
-    got = pairs.agg(
-        F.count(F.lit(1)).alias("n"), F.max(F.greatest(F.abs("lat"), F.abs("lon"))).alias("size"),
-        *[F.count_distinct(grid_id(F.col("lat"), F.col("lon"), k, half_even=True)).alias(f"ids{k}") for k in range(most + 1)],
-        *[F.greatest(off("lat", k), off("lon", k)).alias(f"off{k}") for k in range(most + 1)]).first()
+    got = pairs.agg(F.count(F.lit(1)).alias("n"), F.count_if(~(finite("lat") & finite("lon"))).alias("bad"), F.max(F.greatest(F.abs("lat"), F.abs("lon"))).alias("size"),
+                    *[F.greatest(off("lat", k), off("lon", k)).alias(f"off{k}") for k in range(most + 1)]).first()
+    if not got["n"] or got["bad"]:
+        raise ValueError("grid ids need coordinates that are all finite")
+    steps = [gap for c in ("lat", "lon") if (gap := least_gap(pairs, c)) is not None]
     allowed = min(steps) * error if steps else max(1.0, got["size"]) * 1e-6
     for k in range(most + 1):
-        if got[f"ids{k}"] == got["n"] and got[f"off{k}"] <= allowed:
+        if got[f"off{k}"] <= allowed:
             return k
     raise ValueError(f"no number of digits up to {most} gives ids without collisions")
+
+
+@dataclass(frozen=True)
+class GridIds:
+    """How the ids of a grid are written: number of digits, with trailing zeros or trimmed, and where that comes from."""
+
+    digits: int
+    fixed: bool = False
+    source: str = "inferred"
+
+    def __post_init__(self):
+        if not 0 <= self.digits <= 15:
+            raise ValueError("the number of digits must be from 0 to 15")
+
+
+def grid_ids(cells: DataFrame, established: GridIds | None = None, digits: int | None = None, fixed: bool | None = None) -> GridIds:
+    """What earlier stages established goes before what is set explicitly, and that before what the cells need.
+
+    An explicit form without a number of digits is an error, and so is one that contradicts what is established."""
+    if digits is None and fixed is not None:
+        raise ValueError("a form of ids needs a number of digits")
+    explicit = None if digits is None else GridIds(digits, bool(fixed), "explicit")
+    if established is not None:
+        if explicit is not None and (explicit.digits, explicit.fixed) != (established.digits, established.fixed):
+            raise ValueError(f"ids have {established.digits} digits, not {explicit.digits}, or another form")
+        return established
+    return explicit or GridIds(infer_digits(cells))

@@ -140,11 +140,19 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
-def nearest(points: DataFrame, targets: DataFrame, key: str, target_key: str, cell: float = 1.0) -> DataFrame:
-    """key, nearest target (the least key of ties) and ``gap``, the squared degrees to it; NULL without any target.
+def nearest(points: DataFrame, targets: DataFrame, key: str, target_key: str, cell: float | None = None) -> DataFrame:
+    """key, nearest target (the least key of ties) and ``gap``, the squared degrees to it; NULL without any target and for
+    points without both coordinates (NULL or NaN); such targets are ignored.
 
     Points meet the targets of their coarse cell and its neighbours.  What lies outside of those is more than a cell
-    away, so a target within a cell is the nearest of all; the other points go on with cells of twice the size."""
+    away, so a target within a cell is the nearest of all; the other points go on with cells of four times the size.  The
+    first size is such that a cell has about one target."""
+    placed = lambda df: df.filter(F.col("lat").isNotNull() & F.col("lon").isNotNull() & ~F.isnan("lat") & ~F.isnan("lon"))
+    targets = placed(targets)
+    size = cell
+    if size is None:
+        t = targets.agg(F.count(F.lit(1)), F.max("lat") - F.min("lat"), F.max("lon") - F.min("lon")).first()
+        size = max(1e-3, (max(t[1], 1e-3) * max(t[2], 1e-3) / t[0]) ** 0.5) if t[0] else 1000.0
     step = F.explode(F.expr("sequence(-1, 1)"))
     near = lambda p, t, size: (
         p.withColumn("_i", F.floor(F.col("lat") / size)).withColumn("_j", F.floor(F.col("lon") / size)).join(
@@ -152,19 +160,18 @@ def nearest(points: DataFrame, targets: DataFrame, key: str, target_key: str, ce
                 target_key, F.col("lat").alias("_lat"), F.col("lon").alias("_lon"),
                 (F.floor(F.col("lat") / size) + F.col("_di")).alias("_i"), (F.floor(F.col("lon") / size) + F.col("_dj")).alias("_j")), ["_i", "_j"]))
     gap = F.pow(F.col("lat") - F.col("_lat"), 2) + F.pow(F.col("lon") - F.col("_lon"), 2)
-    out, rest, size = [], points.select(key, "lat", "lon"), cell
-    while True:
+    every, rest, out = points.select(key), placed(points.select(key, "lat", "lon")), []
+    while not rest.isEmpty():
         found = cut(near(rest, targets, size).groupBy(key).agg(F.min_by(target_key, F.struct(gap, target_key)).alias(target_key), F.min(gap).alias("gap")))
         if size > 720:  # the whole globe is within three cells
-            out.append(rest.select(key).join(found, key, "left"))
+            out.append(found)
             break
         sure = found.filter(F.col("gap") <= size * size)
         out.append(sure)
         rest = cut(rest.join(sure.select(key), key, "left_anti"))
-        if rest.isEmpty():
-            break
-        size *= 2
-    return reduce(DataFrame.unionByName, out)
+        size *= 4
+    none = every.limit(0).select(key, F.lit(None).cast(dict(targets.dtypes)[target_key]).alias(target_key), F.lit(None).cast("double").alias("gap"))
+    return every.join(reduce(DataFrame.unionByName, out, none), key, "left")
 
 
 def overlap_rule(how: str, x: str = "x", lead: str = "lead") -> Column:

@@ -308,11 +308,13 @@ def gridded_matrix(spark, sf):
     return out.join(T.table(spark, sf, "supplier").select((5.0 + F.col("s_suppkey") % 30).alias("lat"), (65.0 + F.col("s_suppkey") * 7 % 30).alias("lon")).distinct(), ["lat", "lon"])
 
 
-@query(f"WITH {Q._BOX_SQL} SELECT 2 AS digits, count(*) AS n FROM cells")
+@query(f"""WITH {Q._BOX_SQL}, d AS (SELECT least((SELECT min(g) FROM (SELECT lat - lag(lat) OVER (ORDER BY lat) AS g FROM (SELECT DISTINCT lat FROM cells))), (SELECT min(g) FROM (SELECT lon - lag(lon) OVER (ORDER BY lon) AS g FROM (SELECT DISTINCT lon FROM cells))))::DOUBLE AS gap),
+k AS (SELECT k, max(greatest(abs(round(lat::DOUBLE, k) - lat), abs(round(lon::DOUBLE, k) - lon))) AS off FROM cells, (SELECT CAST(unnest(range(0, 13)) AS INT) AS k) GROUP BY k)
+SELECT min(k) AS digits, (SELECT count(*) FROM cells) AS n FROM k, d WHERE off <= gap * 1e-4""")
 def grid_digits(spark, sf):
     """Digits that the ids of a grid need."""
     cells, _ = Q._boxes(spark, sf)
-    return cells.agg(F.count(F.lit(1)).alias("n")).select(F.lit(I.infer_digits(cells)).alias("digits"), "n")
+    return cells.agg(F.count(F.lit(1)).alias("n")).select(F.lit(I.grid_ids(cells).digits).alias("digits"), "n")
 
 
 @query()

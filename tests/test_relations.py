@@ -40,3 +40,24 @@ def test_nothing_left_is_an_error(spark):
     assert R.require_rows(df.filter("id > 1"), "the member cap").count() == 1
     with pytest.raises(ValueError, match="member cap"):
         R.require_rows(df.filter("id > 5"), "the member cap")
+
+
+def test_nearest_of_points_without_coordinates_and_far_ones(spark):
+    nan = float("nan")
+    points = spark.createDataFrame([(1, nan, 1.0), (2, None, 1.0), (3, 80.0, -170.0), (4, 0.2, 0.1), (5, 0.0, 0.5)], "k int, lat double, lon double")
+    targets = spark.createDataFrame([(7, 0.0, 0.0), (8, 0.0, 1.0), (9, nan, 0.0), (10, None, None)], "t int, lat double, lon double")
+    got = {r["k"]: (r["t"], r["gap"]) for r in R.nearest(points, targets, "k", "t").collect()}
+    assert got == {1: (None, None), 2: (None, None), 3: (7, pytest.approx(80**2 + 170**2)), 4: (7, pytest.approx(0.05)), 5: (7, pytest.approx(0.25))}
+
+
+def test_digits_of_a_fine_grid_and_their_precedence(spark):
+    from pluvia.functions import ids as I
+
+    grid = spark.createDataFrame([(10.0, 70.0), (10.0000002, 70.0), (10.5, 71.0)], "lat double, lon double")
+    assert I.infer_digits(grid) == 7
+    assert I.grid_ids(grid) == I.GridIds(7) and I.grid_ids(grid, digits=3, fixed=True) == I.GridIds(3, True, "explicit")
+    assert I.grid_ids(grid, I.GridIds(2), 2) == I.GridIds(2)
+    for wrong in ({"established": I.GridIds(2), "digits": 3}, {"fixed": True}, {"digits": 16}):
+        with pytest.raises(ValueError):
+            I.grid_ids(grid, **wrong)
+    assert I.least_gap(spark.createDataFrame([(float(k * k),) for k in range(3, 200)] + [(None,)], "v double"), "v") == 7.0
