@@ -124,7 +124,8 @@ def issue_grid(spark: SparkSession, first: int, last: int, start: str, end: str,
 def issue_probabilities(fits: DataFrame, grid: DataFrame, horizon: int, low: float = 5e-7) -> DataFrame:
     """Each unit's fit at each issue date: id, year, time, d0, horizon, p_day0, p_uncond, p_cond.
 
-    The grid (a few hundred dates a year) is one array that every fit's row unfolds."""
-    dates = grid.agg(F.collect_list(F.struct("year", "time", "d0", "horizon")).alias("_dates"))
-    rows = fits.join(F.broadcast(dates)).withColumn("_d", F.explode("_dates")).select(*fits.columns, "_d.*")
-    return predict(rows, horizon, "d0", low).drop("lo", "step", "cdf", "n")
+    A fit is predicted once for each distinct d0 (a few hundred days, one row), and the dates of all years with that d0 are
+    joined afterwards, so that no distribution function is repeated for a year."""
+    days = grid.agg(F.array_sort(F.collect_set("d0")).alias("_days"))
+    rows = fits.join(F.broadcast(days)).withColumn("d0", F.explode("_days")).drop("_days")
+    return predict(rows, horizon, "d0", low).drop("lo", "step", "cdf", "n").join(grid, "d0")

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .coverage import cell_boxes, overlap_areas
+from .relations import missing_ids
 
 
 def weighted_mean(cells: DataFrame, weights: DataFrame, meta: list[str], x: str = "x") -> DataFrame:
@@ -17,6 +18,13 @@ def weighted_mean(cells: DataFrame, weights: DataFrame, meta: list[str], x: str
     return cells.join(weights, "source_id").groupBy("target_id", *meta).agg((num / F.nullif(den, F.lit(0.0))).alias(x))
 
 
+def require_sources(cells: DataFrame, weights: DataFrame) -> DataFrame:
+    """``cells``; raises if a source with a weight is not among them."""
+    if lost := [r[0] for r in missing_ids(weights.filter("weight > 0"), cells, "source_id").limit(5).collect()]:
+        raise ValueError(f"the cells lack sources such as {lost}")
+    return cells
+
+
 def renormalise(weights: DataFrame, target: str = "target_id") -> DataFrame:
     return weights.withColumn("weight", F.col("weight") / F.nullif(F.sum("weight").over(Window.partitionBy(target)), F.lit(0.0)))
 

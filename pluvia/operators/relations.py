@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..functions.ids import parse_grid_id
+from ..functions.ids import normal_id, parse_grid_id
 
 
 def parse_years(text: str | None) -> list[int]:
@@ -240,6 +240,35 @@ def join_constants(main: DataFrame, constants: list[DataFrame], key: str = "id")
     return main.join(reduce(lambda a, b: a.join(b, key, "full"), constants), key, "left")
 
 
+def attach_messages(units: DataFrame, messages: DataFrame, key: str = "id") -> DataFrame:
+    """Every unit with its message, if it has one; ids are compared trimmed, empty ids match nothing."""
+    own = messages.withColumn("_id", normal_id(F.col(key))).drop(key)
+    return units.join(own, normal_id(units[key]) == F.col("_id"), "left").drop("_id")
+
+
+def extract_series(
+    rows: DataFrame, lat: float, lon: float, year: int, cutoff: str = "01-01", max_days: int | None = None,
+    member: int | None = None, overlap: str = "nearest", x: str = "x",
+) -> DataFrame:
+    """time, day, x of the cell nearest to a place (ties: least lat, lon): the days of ``year`` from ``cutoff`` (month-day) on.
+
+    Rows have time, lat, lon and x; forecasts have lead as well, whose overlaps are resolved by :func:`overlap_rule`, and
+    perhaps number, of which ``member`` is taken or, without one, the mean.  day counts from the cutoff, from 1."""
+    away = F.pow(F.col("lat") - lat, F.lit(2.0)) + F.pow(F.col("lon") - lon, F.lit(2.0))
+    spot = rows.select("lat", "lon").distinct().orderBy(away, "lat", "lon").limit(1)
+    first = F.to_date(F.lit(f"{year}-{cutoff}"))
+    day = F.datediff("time", first) + 1
+    own = rows.join(F.broadcast(spot), ["lat", "lon"]).withColumn("day", day).filter((F.year("time") == year) & (F.col("day") >= 1))
+    own = own if max_days is None else own.filter(F.col("day") <= max_days)
+    if "number" in rows.columns:
+        own = own.filter(F.col("number") == member) if member is not None else own
+    keys = ["time", "day"] + [c for c in ("number", "lead") if c in rows.columns]
+    own = own.groupBy(*keys).agg(F.avg(x).alias("x"))
+    if "number" in rows.columns:
+        own = own.groupBy(*[k for k in keys if k != "number"]).agg(F.avg("x").alias("x"))
+    return resolve_overlap(own, ["time", "day"], overlap) if "lead" in rows.columns else own
+
+
 def compare_models(table: DataFrame, value: str, left: str, right: str, key: str = "id", model: str = "model") -> DataFrame:
     """key, value_x, value_y, difference of two models' rows, for every key of either: one pass in place of a self-join."""
     pick = lambda m: F.max(F.when(F.col(model) == m, F.col(value)))

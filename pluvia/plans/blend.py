@@ -308,6 +308,25 @@ def gridded_matrix(spark, sf):
     return out.join(T.table(spark, sf, "supplier").select((5.0 + F.col("s_suppkey") % 30).alias("lat"), (65.0 + F.col("s_suppkey") * 7 % 30).alias("lon")).distinct(), ["lat", "lon"])
 
 
+@query("""SELECT c_custkey AS id, c_name AS name, message FROM customer LEFT JOIN (SELECT o_custkey AS id, max(o_orderpriority) AS message FROM orders WHERE o_orderkey % 3 = 0 GROUP BY 1) m ON m.id = c_custkey""")
+def message_join(spark, sf):
+    """Every unit with its message; the messages' ids are padded text."""
+    m = T.table(spark, sf, "orders").filter("o_orderkey % 3 = 0").groupBy(F.concat(F.lit(" "), F.col("o_custkey").cast("string"), F.lit(" ")).alias("id")).agg(F.max("o_orderpriority").alias("message"))
+    units = T.table(spark, sf, "customer").select(F.col("c_custkey").alias("id"), F.col("c_name").alias("name"))
+    return R.attach_messages(units, m)
+
+
+@query(f"""WITH {T.FORECASTS}, f AS (SELECT make_date(year, 5, 1) + CAST(issue - 1 + d AS INT) AS time, d AS lead, number, (5.0 + id % 30)::DOUBLE AS lat, (65.0 + id * 7 % 30)::DOUBLE AS lon, x FROM forecasts WHERE year = 1996),
+spot AS (SELECT lat, lon FROM (SELECT DISTINCT lat, lon FROM f) ORDER BY pow(lat - 12.3, 2) + pow(lon - 78.2, 2), lat, lon LIMIT 1), m AS (SELECT time, lead, number, avg(x) AS x FROM f JOIN spot USING (lat, lon) GROUP BY ALL), e AS (SELECT time, lead, avg(x) AS x FROM m GROUP BY ALL)
+SELECT time, CAST(time - DATE '1996-05-10' AS INT) + 1 AS day, round(arg_min(x, lead), 9) AS x FROM e WHERE time >= DATE '1996-05-10' AND time < DATE '1996-05-10' + 60 GROUP BY time""")
+def cell_series(spark, sf):
+    """The mean member's series of the cell nearest to a place, overlaps by the least lead."""
+    rows = T.forecasts(spark, sf).filter("year = 1996").select("id", "year", "issue", "number", F.posexplode("rain").alias("lead", "x")).withColumn("lead", F.col("lead") + 1)
+    time = F.date_add(F.make_date("year", F.lit(5), F.lit(1)), (F.col("issue") - 1 + F.col("lead")).cast("int"))
+    cells = rows.select(time.alias("time"), "lead", "number", (5.0 + F.col("id") % 30).alias("lat"), (65.0 + F.col("id") * 7 % 30).alias("lon"), "x")
+    return R.extract_series(cells, 12.3, 78.2, 1996, "05-10", 60).withColumn("x", F.round("x", 9))
+
+
 @query(f"""WITH {Q._BOX_SQL}, d AS (SELECT least((SELECT min(g) FROM (SELECT lat - lag(lat) OVER (ORDER BY lat) AS g FROM (SELECT DISTINCT lat FROM cells))), (SELECT min(g) FROM (SELECT lon - lag(lon) OVER (ORDER BY lon) AS g FROM (SELECT DISTINCT lon FROM cells))))::DOUBLE AS gap),
 k AS (SELECT k, max(greatest(abs(round(lat::DOUBLE, k) - lat), abs(round(lon::DOUBLE, k) - lon))) AS off FROM cells, (SELECT CAST(unnest(range(0, 13)) AS INT) AS k) GROUP BY k)
 SELECT min(k) AS digits, (SELECT count(*) FROM cells) AS n FROM k, d WHERE off <= gap * 1e-4""")

@@ -38,3 +38,15 @@ def test_strips_keep_their_own_vertices():
     ring = [{"lat": float(np.sin(t) * 10), "lon": float(np.cos(t) * 10)} for t in np.linspace(0, 2 * np.pi, 2000, endpoint=False)]
     strips = V._strips({"target_id": 1, "ring": ring}, 0.5)
     assert sum(len(s["ring"]) for s in strips) < 2000 + 8 * len(strips)
+
+
+def test_missing_sources_are_an_error(spark):
+    import pytest
+
+    from pluvia.operators import regrid as G
+
+    weights = spark.createDataFrame([(1, 9, 0.5), (2, 9, 0.5), (3, 9, 0.0)], "source_id int, target_id int, weight double")
+    cells = spark.createDataFrame([(1, 1.0), (2, None)], "source_id int, x double")
+    assert G.require_sources(cells, weights).count() == 2
+    with pytest.raises(ValueError, match="lack sources"):
+        G.require_sources(cells.filter("source_id = 1"), weights)
