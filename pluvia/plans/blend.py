@@ -308,6 +308,28 @@ def gridded_matrix(spark, sf):
     return out.join(T.table(spark, sf, "supplier").select((5.0 + F.col("s_suppkey") % 30).alias("lat"), (65.0 + F.col("s_suppkey") * 7 % 30).alias("lon")).distinct(), ["lat", "lon"])
 
 
+@query(f"""WITH {T.SEASON}, {Q._BOX_SQL}, g AS (
+SELECT make_date(year, 5, 1) + CAST(d - 1 AS INT) AS time, 5.0 + id % 30 * 0.25 AS lat, 65.0 + id * 7 % 30 * 0.25 AS lon, 0.125 AS h, sum(x) AS x FROM season WHERE year = 1995 AND d <= 40 AND id % 2 = 0 GROUP BY ALL
+UNION ALL SELECT make_date(year, 5, 1) + CAST(d - 1 AS INT), 5.0 + id % 15 * 0.5, 65.0 + id * 7 % 15 * 0.5, 0.25, sum(x) FROM season WHERE year = 1996 AND d <= 40 AND id % 2 = 1 GROUP BY ALL),
+r AS (SELECT time, target_id, x, greatest(0, least(g.lat + h, north) - greatest(g.lat - h, south))::DOUBLE * greatest(0, least(g.lon + h, east) - greatest(g.lon - h, west))::DOUBLE AS a FROM g, units)
+SELECT time, target_id, round(sum(a * x) / sum(a), 8) AS rain FROM r WHERE a > 1e-12 GROUP BY time, target_id""")
+def regrid_files(spark, sf):
+    """Files of two grids scanned and regridded to units in one run, with weights for each grid."""
+    _, units = Q._boxes(spark, sf)
+    corner = lambda y, x: F.struct(F.col(y).cast("double").alias("lat"), F.col(x).cast("double").alias("lon"))
+    rings = units.select("target_id", F.array(F.array(corner("south", "west"), corner("south", "east"), corner("north", "east"), corner("north", "west"))).alias("rings"))
+    paths, folder = [], f"{R.scratch(spark)}/grids-{uuid.uuid4().hex}"
+    for year, odd, n, step in ((1995, 0, 30, 0.25), (1996, 1, 15, 0.5)):
+        days = T.season(spark, sf).filter((F.col("year") == year) & (F.col("d") <= 40) & (F.col("id") % 2 == odd))
+        time = F.date_add(F.make_date("year", F.lit(5), F.lit(1)), F.col("d") - 1)
+        cells = days.groupBy("year", time.alias("time"), (5.0 + F.col("id") % n * step).alias("lat"), (65.0 + F.col("id") * 7 % n * step).alias("lon")).agg(F.sum("x").alias("rain"))
+        axes = spark.range(n).select(F.lit(year).alias("year"), F.to_date(F.lit(f"{year}-05-01")).alias("time"), (5.0 + F.col("id") * step).alias("lat"), (65.0 + F.col("id") * step).alias("lon"), F.lit(None).cast("double").alias("rain"))
+        whole = cells.unionByName(axes).groupBy("year", "time", "lat", "lon").agg(F.max("rain").alias("rain"))
+        paths += [r["path"] for r in S.write_grids(whole, f"{folder}/{year}", "rain").collect()]
+    out = S.regrid_by_grid(S.scan(spark, paths), rings).filter("rain IS NOT NULL")
+    return out.select("time", "target_id", F.round("rain", 8).alias("rain"))
+
+
 @query("""SELECT c_custkey AS id, c_name AS name, message FROM customer LEFT JOIN (SELECT o_custkey AS id, max(o_orderpriority) AS message FROM orders WHERE o_orderkey % 3 = 0 GROUP BY 1) m ON m.id = c_custkey""")
 def message_join(spark, sf):
     """Every unit with its message; the messages' ids are padded text."""
