@@ -47,17 +47,24 @@ def climatology_issue_grid(spark, sf):
 _B, _W, _V = (0.2, 0.1, 0.0, -0.1, 0.3), 0.6, 0.4
 
 
-def blended(spark, sf):
+def blended(spark, sf, own_year: bool = True):
     """id, year, issue, time, p, clim: from daily rain to the blend's bins.
 
-    Members' onsets give shares by lead and week; the onsets of earlier seasons give the conditional climatology of
-    the unit's nation at the issue date; both meet in one table and given coefficients blend their logits."""
+    Members' onsets give shares by lead and week; the onsets of the record give the conditional climatology of the unit's
+    nation at the issue date, with or without those of the predicted year; both meet in one table and given coefficients
+    blend their logits."""
     members = T.forecasts(spark, sf).withColumn("onset", O.onset_of_array(F.col("rain"), F.lit(40.0), Q.FORECAST))
     forecast = O.onset_probabilities(members, ["id", "year", "issue"], ["onset"], HORIZON, rain="rain")
     forecast = forecast.select("id", "year", "issue", E.raw_bins(A.bin_sums(F.col("p_onset"), WEEKS)).alias("forecast"))
     dates = C.issue_grid(spark, T.YEARS[0], T.YEARS[-1], "05-01", "07-31", HORIZON).withColumn("issue", F.col("d0") + 1).filter(F.col("issue").isin(*T.ISSUES))
-    clim = C.issue_probabilities(C.fit_kde(T.onset_samples(spark, sf), ["id"]), dates, HORIZON, low=0.0)
-    clim = clim.select(F.col("id").alias("nation"), "year", (F.col("d0") + 1).alias("issue"), "time", E.raw_bins(A.bin_sums(F.col("p_cond"), WEEKS)).alias("clim"))
+    samples = T.onset_samples(spark, sf)
+    if own_year:
+        fits = C.fit_kde(samples, ["id"])
+    else:
+        every = spark.range(T.YEARS[0], T.YEARS[-1] + 1).select(F.col("id").cast("int").alias("test_year"))
+        fits = C.fit_counted(C.left_out_samples(samples, every), ["id", "test_year"])
+    clim = C.issue_probabilities(fits, dates, HORIZON, low=0.0)
+    clim = (clim if own_year else clim.filter("year = test_year")).select(F.col("id").alias("nation"), "year", (F.col("d0") + 1).alias("issue"), "time", E.raw_bins(A.bin_sums(F.col("p_cond"), WEEKS)).alias("clim"))
     units = T.table(spark, sf, "supplier").select(F.col("s_suppkey").alias("id"), F.col("s_nationkey").alias("nation"))
     both = R.combine([forecast.join(units, "id"), clim], ["nation", "year", "issue"])
     z = F.zip_with(F.zip_with("forecast", "clim", lambda a, b: _W * A.logit_winsor(a) + _V * A.logit_winsor(b)), F.array(*[F.lit(b) for b in _B]), lambda a, b: a + b)
@@ -83,6 +90,24 @@ def blend_export(spark, sf):
     return out.select("id", "time", *[F.round(c, 7).alias(c) for c in out.columns if c not in ("id", "time")])
 
 
+_LEFT_OUT = T.SAMPLES[len(T.SEASON) + 2:] + ", left_out AS (SELECT s.id * 10000 + y.year AS id, onset_day FROM samples s, years y WHERE s.year <> y.year)" + Q._KDE_SQL[len(T.SAMPLES):].replace("samples", "left_out")
+
+
+@query(f"""WITH {T.FORECASTS}, {_LEFT_OUT}, {_CLIM}, {Q.onset_sql(Q.FORECAST, 'forecasts', 'id, year, issue, number', '40')},
+fw AS (SELECT id, year, issue, w, sum(CASE WHEN onset_idx BETWEEN 7 * w - 6 AND 7 * w THEN 1 ELSE 0 END) / count(*) AS v FROM found, (SELECT unnest(range(1, 5)) AS w) GROUP BY ALL),
+fb AS (SELECT * FROM fw UNION ALL SELECT id, year, issue, 5, least(greatest(1 - sum(v), 0), 1) FROM fw GROUP BY ALL),
+q AS (SELECT fit.id, issue, w, issue - 1 + 7 * w AS t FROM fit, issues, (SELECT unnest(range(0, 5)) AS w)), pts AS {_F},
+cw AS (SELECT b.id // 10000 AS nation, b.id % 10000 AS year, b.issue, b.w, (b.f - a.f) / CASE WHEN 1 - z.f <= 1e-12 THEN 1 ELSE 1 - z.f END AS v FROM pts a JOIN pts b ON b.id = a.id AND b.issue = a.issue AND b.w = a.w + 1 JOIN pts z ON z.id = a.id AND z.issue = a.issue AND z.w = 0),
+cb AS (SELECT * FROM cw UNION ALL SELECT nation, year, issue, 5, least(greatest(1 - sum(v), 0), 1) FROM cw GROUP BY ALL),
+z AS (SELECT fb.id, fb.year, fb.issue, fb.w, cb.v AS c, exp({list(_B)}[fb.w] + {_W} * {_LOGIT('fb.v')} + {_V} * {_LOGIT('cb.v')}) AS e FROM fb JOIN supplier ON s_suppkey = fb.id JOIN cb ON cb.nation = s_nationkey AND cb.year = fb.year AND cb.issue = fb.issue AND cb.w = fb.w),
+p AS (SELECT *, e / sum(e) OVER (PARTITION BY id, year, issue) AS v FROM z)
+SELECT id, strftime(make_date(year, 5, 1) + CAST(issue - 1 AS INT), '%-m/%-d/%y') AS time, {', '.join(f"round(max(v) FILTER (w = {k}), 7) AS {n}, round(max(c) FILTER (w = {k}), 7) AS clim_{n}" for k, n in enumerate(('week1', 'week2', 'week3', 'week4', 'later'), 1))} FROM p GROUP BY id, year, issue""")
+def blend_export_left_out(spark, sf):
+    """K-5, J11: as blend_export, the climatology of each season being made without its own onsets."""
+    out = X.summary(blended(spark, sf, own_year=False), WEEKS)
+    return out.select("id", "time", *[F.round(c, 7).alias(c) for c in out.columns if c not in ("id", "time")])
+
+
 @query(f"WITH {Q._CELL_SQL}, t AS (SELECT n_nationkey AS t, 5.3::DOUBLE + n_nationkey AS lat, 65.4::DOUBLE + (n_nationkey * 11 % 30) AS lon FROM nation) SELECT c.id, arg_min(t, ((c.lat - t.lat) * (c.lat - t.lat) + (c.lon - t.lon) * (c.lon - t.lon)) * 1e6 + t) AS t, round(min((c.lat - t.lat) * (c.lat - t.lat) + (c.lon - t.lon) * (c.lon - t.lon)), 8) AS gap FROM cells c, t GROUP BY c.id")
 def nearest_cell_all(spark, sf):
     """Nearest of all targets, found from small cells on."""
