@@ -25,7 +25,7 @@ from pyspark.sql.types import StructType
 from ..functions.arrays import let
 from .relations import cut
 
-RIDGE, SLICE = 1e-9, 4096
+RIDGE, SLICE, DONE = 1e-9, 4096, 1e-8
 _FIT = ["counts", "w", "prev", "last", "open"]
 
 
@@ -48,8 +48,9 @@ def derivatives(x: np.ndarray, y: np.ndarray, n: np.ndarray, w: np.ndarray, ther
     terms = x.shape[1]
     h = np.empty((len(w), terms, len(w), terms))
     for a in range(len(w)):
-        for b in range(len(w)):
+        for b in range(a, len(w)):
             h[a, :, b, :] = (x * (n * p[:, a] * ((a == b) - p[:, b]))[:, None]).T @ x
+            h[b, :, a, :] = h[a, :, b, :]
     return g.ravel(), h.reshape(g.size, g.size), loss
 
 
@@ -63,28 +64,30 @@ def free(counts: np.ndarray, terms: int) -> np.ndarray:
 def advance(fit: dict, g: np.ndarray, h: np.ndarray, loss: float) -> dict:
     """A Newton step, or half of the last step back if it raised the loss."""
     w, prev = np.array(fit["w"]), np.array(fit["prev"])
-    if loss > fit["last"] * (1 + 1e-12) + 1e-12:
-        return fit | {"w": ((w + prev) / 2).tolist(), "open": bool(np.abs(w - prev).max() > 1e-10)}
+    if loss > fit["last"] * (1 + 1e-9) + 1e-9:
+        return fit | {"w": ((w + prev) / 2).tolist(), "open": bool(np.abs(w - prev).max() > DONE)}
     at = free(np.array(fit["counts"]), len(w) // len(fit["counts"]))
     step = np.zeros(len(w))
     step[at] = np.linalg.solve(h[np.ix_(at, at)] + RIDGE * np.eye(at.sum()), g[at])
-    return fit | {"prev": fit["w"], "w": (w - step).tolist(), "last": loss, "open": bool(np.abs(step).max() > 1e-10)}
+    return fit | {"prev": fit["w"], "w": (w - step).tolist(), "last": loss, "open": bool(np.abs(step).max() > DONE)}
 
 
-def in_tasks(rows: DataFrame, schema: str, work) -> DataFrame:
-    """``work(row)``, a list of rows as dictionaries, for each row."""
+def in_tasks(rows: DataFrame, schema: str, work, arrays: tuple = ()) -> DataFrame:
+    """``work(row)``, a list of rows as dictionaries, for each row; the lists named in ``arrays`` stay Arrow arrays."""
     arrow = to_arrow_schema(StructType.fromDDL(schema))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for i in range(batch.num_rows):
-                yield from pa.Table.from_pylist(work(batch.slice(i, 1).to_pylist()[0]), arrow).to_batches()
+            plain = batch.drop_columns(list(arrays)).to_pylist()
+            for i, row in enumerate(plain):
+                yield from pa.Table.from_pylist(work(row | {c: batch.column(c)[i].values for c in arrays}), arrow).to_batches()
 
     return rows.mapInArrow(run, schema)
 
 
-def _arrays(rows: list[dict]) -> dict:
-    return {c: np.array([r[c] for r in rows]) for c in ("x", "y", "n")} | {"year": np.array([-(1 << 62) if r["year"] is None else r["year"] for r in rows])}
+def _arrays(rows: pa.StructArray) -> dict:
+    year, y, n, x = rows.flatten()
+    return {"x": x.flatten().to_numpy().reshape(len(rows), -1), "y": y.to_numpy(), "n": n.to_numpy(), "year": year.fill_null(-(1 << 62)).to_numpy()}
 
 
 def _sums(rows: dict, fit: dict) -> tuple[np.ndarray, np.ndarray, float]:
@@ -142,12 +145,12 @@ def fit_groups(rows: DataFrame, keys: list[str], folds: DataFrame, classes: int,
         return [advance(row, v[:size], v[size:-1].reshape(size, size), float(v[-1]))]
 
     parts = [state.filter("NOT open").select(*by, "counts", F.lit(None).cast("array<double>").alias("w"))]
-    parts.append(in_tasks(met(slices.filter("slices = 1"), state.filter("open AND slices = 1")), of([*by, "counts", "w"]), solve))
+    parts.append(in_tasks(met(slices.filter("slices = 1"), state.filter("open AND slices = 1")), of([*by, "counts", "w"]), solve, ("rows",)))
     large, now = slices.filter("slices > 1"), state.filter("open AND slices > 1").drop("slices")
     for _ in range(steps):
         if now.isEmpty():
             break
-        each = in_tasks(met(large, now), f"{of(by)}, v array<double>", sums).select(*by, F.posexplode("v").alias("i", "v"))
+        each = in_tasks(met(large, now), f"{of(by)}, v array<double>", sums, ("rows",)).select(*by, F.posexplode("v").alias("i", "v"))
         summed = each.groupBy(*by, "i").agg(F.sum("v").alias("v")).groupBy(*by).agg(F.transform(F.sort_array(F.collect_list(F.struct("i", "v"))), lambda s: s["v"]).alias("v"))
         after = beside(now, summed, by).select(*by, *_FIT, "v")
         after = cut(in_tasks(after, of([*by, *_FIT]), step))
@@ -176,13 +179,12 @@ def cross_validate_groups(
     or nothing, for one fit a year over all rows.  Terms are standardised by their group's training rows."""
     held = [-1, *true_holdout]
     finite = lambda n: F.when(F.abs(F.col(n).cast("double")) < float("inf"), F.col(n).cast("double"))  # noqa: E731  NULL for NaN and infinities
-    rows = df.withColumn("_x", F.array(*[finite(n) for n in names])).withColumn("_year", F.col(year).cast("long"))
+    own = lambda t: t.withColumns({f"_k{i}": F.col(k) for i, k in enumerate(keys)} or {"_k0": F.lit(0)})
+    rows = cut(own(df.withColumn("_x", F.array(*[finite(n) for n in names])).withColumn("_year", F.col(year).cast("long"))))  # terms are made once
     known = rows.filter(F.col(label).isNotNull() & ~F.exists("_x", lambda v: v.isNull()) & F.coalesce(~F.col("_year").isin(held), F.lit(True)))
     if allowed is not None:
         known = known.join(allowed.select(id_col).distinct(), id_col, "left_semi")
-    own = lambda t: t.withColumns({f"_k{i}": F.col(k) for i, k in enumerate(keys)} or {"_k0": F.lit(0)})
     by = [f"_k{i}" for i in range(len(keys) or 1)]
-    rows, known = own(rows), own(known)
     scale = known.groupBy(*by).agg(F.array(*[F.struct(F.avg(F.get("_x", F.lit(i))).alias("m"), F.stddev_pop(F.get("_x", F.lit(i))).alias("s")) for i in range(len(names))]).alias("_scale"))
     ready = F.concat(F.array(F.lit(1.0)), F.zip_with("_x", "_scale", lambda v, s: (v - s["m"]) / F.when(s["s"] > 0, s["s"]).otherwise(1.0)))  # constants keep their scale
     train = beside(known, scale, by).select(*by, F.col("_year").alias("year"), ready.alias("x"), F.col(label).cast("int").alias("y"), F.lit(1).alias("n"))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -135,9 +136,10 @@ def scratch(spark: SparkSession) -> str:
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """Checkpoint in the shared folder, see :func:`scratch`."""
-    scratch(df.sparkSession)
-    return df.checkpoint()
+    """The table written once as Parquet in the shared folder, see :func:`scratch`, and read back: the lineage is cut."""
+    path = f"{scratch(df.sparkSession)}/cut-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def nearest(points: DataFrame, targets: DataFrame, key: str, target_key: str, cell: float | None = None) -> DataFrame:
