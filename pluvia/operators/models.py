@@ -39,6 +39,18 @@ def expand_formula(formula: str, weeks: int, unavailable: set[str] = frozenset()
     return terms
 
 
+def window_formulas(name: str, formula: str, weeks: int, old: str, new: str, starts: list[int], end: int, unavailable: set[str] = frozenset()) -> dict[str, list[tuple[str, ...]]]:
+    """Variants of a formula on predictors of shorter records: for each first year, ``old`` is replaced by ``new``, in which
+    "{window}" stands for "_<start>_<end>", and the name gets that suffix.  1900, the whole record, is the formula itself and
+    has no variant.  A variant without any available predictor is an error."""
+    if not starts or not old or not new:
+        raise ValueError("window variants need first years, and what is replaced by what")
+    if old not in formula:
+        raise ValueError(f"{old!r} does not occur in {formula!r}")
+    windows = {f"_{start}_{end}": start for start in starts if start != 1900}
+    return {f"{name}{w}": expand_formula(formula.replace(old, new.replace("{window}", w)), weeks, unavailable) for w in windows}
+
+
 def design(df: DataFrame, terms: list[tuple[str, ...]]) -> tuple[DataFrame, list[str]]:
     """Adds a column ``x0``, ``x1`` … per term, the product of its predictors."""
     names = [f"x{i}" for i in range(len(terms))]

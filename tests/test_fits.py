@@ -144,3 +144,12 @@ def test_cells_of_the_registered_query_equal_numpy(spark, sf):
     df, names = L.design(Q._blend(spark, sf).filter("id < 3"), L.expand_formula("a_week1 + rain", 2))
     rows = [(r["k"], r["id"], 0, r["year"], r["x0"], r["x1"], r["label"]) for r in df.collect()]
     same(N.cross_validate_groups(df.drop("p", "q"), ["id"], names, "label", tables.BINS).select("k", "p").collect(), brute(rows, lambda r: r[1], tables.BINS, held={-1}))
+
+
+def test_window_variants_of_a_formula():
+    got = L.window_formulas("blend", "clim_qx * rain", 2, "clim", "clim{window}", [1900, 1990, 2000], 2020, {"clim_2000_2020_week2"})
+    assert got == {
+        "blend_1990_2020": [("clim_1990_2020_week1",), ("rain",), ("clim_1990_2020_week1", "rain"), ("clim_1990_2020_week2",), ("clim_1990_2020_week2", "rain")],
+        "blend_2000_2020": [("clim_2000_2020_week1",), ("rain",), ("clim_2000_2020_week1", "rain")]}
+    with pytest.raises(ValueError):
+        L.window_formulas("blend", "rain", 2, "clim", "clim{window}", [1990], 2020)
