@@ -35,12 +35,8 @@ from ._words import mix, shingles, slices, word_hashes
 
 BANDS, ROWS, WIDTH, SIMILARITY = 36, 7, 5, 0.8
 _UNIT = 1.0 / (1 << 53)
-#: Words that a task works on at a time, and texts whose words it hashes at a time.
-_AT_ONCE, _TEXTS = 250_000, 1_000
-
-
-def _some(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    return (batch.slice(i, _TEXTS) for batch in batches for i in range(0, batch.num_rows, _TEXTS))
+#: Words that a task works on at a time.
+_AT_ONCE = 250_000
 
 
 def weighted(items: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -110,7 +106,7 @@ def sign(texts: DataFrame, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """doc_id, text -> doc_id, tid (of equal texts), n (shingles), keys (one per band, none without words)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in _some(batches):
+        for batch in batches:
             hashes, offsets = word_hashes(batch.column("text"))
             for i, j in slices(offsets, _AT_ONCE):
                 items, at = shingles(hashes[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i], WIDTH)
@@ -131,7 +127,7 @@ def shingle_sets(texts: DataFrame) -> DataFrame:
     """tid, text -> tid, items: the multiset as a set, the k-th occurrence of a shingle being an item of its own."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in _some(batches):
+        for batch in batches:
             hashes, offsets = word_hashes(batch.column("text"))
             for i, j in slices(offsets, _AT_ONCE):
                 items, at = shingles(hashes[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i], WIDTH)
