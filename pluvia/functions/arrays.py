@@ -32,6 +32,12 @@ def total_skip(a: Column) -> Column:
     return F.aggregate(a, _zero(), lambda s, x: s + F.coalesce(x, _zero()))
 
 
+def by_position(arrays: Column) -> Column:
+    """An array by position of the values that the arrays have there; arrays that end before it are left out."""
+    longest = F.array_max(F.transform(arrays, lambda a: F.size(a)))
+    return F.when(longest > 0, F.transform(F.sequence(F.lit(0), longest - 1), lambda i: F.transform(F.filter(arrays, lambda a: F.size(a) > i), lambda a: F.get(a, i))))
+
+
 def clip(x: Column, low: float, high: float) -> Column:
     return F.when(x.isNotNull(), F.least(F.greatest(x, F.lit(low)), F.lit(high)))
 

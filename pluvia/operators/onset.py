@@ -11,7 +11,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.arrays import let
+from ..functions.arrays import by_position, let, total
 
 
 @dataclass(frozen=True)
@@ -216,3 +216,21 @@ def ensemble_stats(members: DataFrame, keys: list[str], x: str = "x", rain_above
         F.avg(F.coalesce((F.col(x) > rain_above).cast("int"), F.lit(0))).alias("frac_raining"))
     known = F.count("rain_mean").over(Window.partitionBy(*[k for k in keys if k != lead])) > 0
     return out.withColumn("frac_raining", F.when(known, F.col("frac_raining")))
+
+
+def member_stats(members: Column, rain_above: float = 1.0) -> Column:
+    """:func:`ensemble_stats` within one row: the members' arrays -> rain_mean, rain_sd and frac_raining by lead.
+
+    Leads are not grouped, so a task needs no more memory for more series.  A member counts on the leads of its array only;
+    without any lead the result is NULL."""
+    def of(v: Column, k: Column, mean: Column, known: Column) -> Column:
+        squares = F.aggregate(k, F.lit(0.0), lambda s, x: s + (x - mean) * (x - mean))
+        return F.struct(
+            mean.alias("rain_mean"), F.when(F.size(k) > 1, F.sqrt(squares / (F.size(k) - 1))).alias("rain_sd"),
+            F.when(known, F.size(F.filter(v, lambda x: x > rain_above)) / F.size(v)).alias("frac_raining"))
+
+    def one(v: Column, known: Column) -> Column:
+        return let(F.filter(v, lambda x: x.isNotNull()), lambda k: let(total(k) / F.nullif(F.size(k), F.lit(0)), lambda mean: of(v, k, mean, known)))
+
+    any_value = lambda m: F.coalesce(F.exists(m, lambda a: F.exists(a, lambda x: x.isNotNull())), F.lit(False))
+    return let(members, lambda m: let(any_value(m), lambda known: F.transform(by_position(m), lambda v: one(v, known))))

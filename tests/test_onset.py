@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from pluvia.operators import onset as O
+from pluvia.plans import queries as Q
 
 RULES = [
     O.OnsetRule(window=2, min_dry_days=3, follow_days=6),
@@ -65,3 +66,21 @@ def test_missing_threshold_and_bad_rules(spark):
     for bad in ({"mode": "x"}, {"trigger_rule": "x"}, {"wet_day_comparison": "x"}, {"followup_anchor": "x"}, {"window": 0}):
         with pytest.raises(ValueError):
             O.OnsetRule(**bad)
+
+
+def test_statistics_within_a_row_equal_grouped_ones(spark):
+    nan, rnd = float("nan"), random.Random(3)
+    data = [[[1.0, None, 3.0], [2.0, None], [0.5, None, None]], [[None, None], [None, None]], [[4.0]], [None, [2.0, 1.5]], [[nan, 1.0], [2.0, 0.0]], [None], [[]], []]
+    data += [[[rnd.choice([None, 0.0, 1.0, rnd.uniform(0, 30)]) for _ in range(6)] for _ in range(rnd.randint(1, 7))] for _ in range(60)]
+    rows = spark.createDataFrame(list(enumerate(data)), "id int, members array<array<double>>")
+    long = rows.select("id", F.explode("members").alias("a")).select("id", F.posexplode("a").alias("lead", "x"))
+    plain = lambda v: None if v is None else "nan" if v != v else pytest.approx(v, abs=1e-9)
+    want = {(r["id"], r["lead"]): [plain(v) for v in r[2:]] for r in O.ensemble_stats(long, ["id", "lead"]).collect()}
+    got = {(r["id"], r["lead"]): ["nan" if v is not None and v != v else v for v in r["v"]] for r in rows.select("id", F.posexplode(O.member_stats(F.col("members"))).alias("lead", "v")).collect()}
+    assert got == want and len(want) > 300
+
+
+@pytest.mark.parametrize("name", ["ensemble_rain_stats", "ensemble_rain_stats_all"])
+def test_leads_are_not_grouped_once_exploded(spark, sf, name):
+    above = Q.QUERIES[name](spark, sf)._jdf.queryExecution().optimizedPlan().toString().split("Generate posexplode")
+    assert len(above) == 2 and not any(node in above[0] for node in ("Aggregate", "Window", "Join"))
