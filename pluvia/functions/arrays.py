@@ -38,6 +38,12 @@ def by_position(arrays: Column) -> Column:
     return F.when(longest > 0, F.transform(F.sequence(F.lit(0), longest - 1), lambda i: F.transform(F.filter(arrays, lambda a: F.size(a) > i), lambda a: F.get(a, i))))
 
 
+def sum_by_position(arrays: Column) -> Column:
+    """The sums of :func:`by_position`, as SUM gives them: NULL elements are skipped, none but NULL give NULL."""
+    add = lambda s, x: F.coalesce(s + x, s, x)
+    return F.transform(by_position(arrays), lambda v: F.aggregate(v, F.lit(None).cast("double"), add))
+
+
 def clip(x: Column, low: float, high: float) -> Column:
     return F.when(x.isNotNull(), F.least(F.greatest(x, F.lit(low)), F.lit(high)))
 

@@ -3,6 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from pluvia.functions import arrays as A
 from pluvia.operators import onset as O
 from pluvia.plans import queries as Q
 
@@ -84,3 +85,15 @@ def test_statistics_within_a_row_equal_grouped_ones(spark):
 def test_leads_are_not_grouped_once_exploded(spark, sf, name):
     above = Q.QUERIES[name](spark, sf)._jdf.queryExecution().optimizedPlan().toString().split("Generate posexplode")
     assert len(above) == 2 and not any(node in above[0] for node in ("Aggregate", "Window", "Join"))
+
+
+def test_week_bins_group_no_leads(spark, sf):
+    above = Q.week_bins(spark, sf)._jdf.queryExecution().optimizedPlan().toString().split("Generate explode")
+    assert len(above) > 1 and not any(node in above[0] for node in ("Aggregate", "Window", "Join", "posexplode"))
+
+
+def test_sums_by_position(spark):
+    data = [[[1.0, None, None], [2.0, 4.0, None], [0.5]], [None, [1.0]], [[]], [], None]
+    rows = spark.createDataFrame(list(enumerate(data)), "id int, a array<array<double>>")
+    got = {r["id"]: r["s"] for r in rows.select("id", A.sum_by_position(F.col("a")).alias("s")).collect()}
+    assert got == {0: [3.5, 4.0, None], 1: [1.0], 2: None, 3: None, 4: None}
