@@ -20,9 +20,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
-from pyspark.sql.types import StructType
+from pyspark.sql.types import ArrayType, DoubleType, StructType
 
-from ..functions.arrays import let
 from .relations import cut
 
 RIDGE, SLICE, DONE = 1e-9, 4096, 1e-8
@@ -160,12 +159,22 @@ def fit_groups(rows: DataFrame, keys: list[str], folds: DataFrame, classes: int,
     return reduce(DataFrame.unionByName, parts)
 
 
-def probabilities(x: Column, w: Column, counts: Column, terms: int) -> Column:
-    """Class probabilities of a row with terms ``x``; NULL without a fit or term, and for classes without training rows."""
-    dot = lambda k: F.aggregate(F.zip_with(F.slice(w, k * terms + 1, terms), x, lambda a, b: a * b), F.lit(0.0), lambda s, v: s + v)
-    z = F.transform(counts, lambda c, k: F.when(c > 0, dot(k)))
-    share = lambda e: let(F.aggregate(e, F.lit(0.0), lambda s, v: s + F.coalesce(v, F.lit(0.0))), lambda total: F.transform(e, lambda v: v / total))
-    return F.when(w.isNotNull() & ~F.exists(x, lambda v: v.isNull()), let(z, lambda z: let(F.array_max(z), lambda top: let(F.transform(z, lambda v: F.exp(v - top)), share))))
+@F.arrow_udf(ArrayType(DoubleType()))
+def probabilities(x: pa.Array, w: pa.Array, counts: pa.Array) -> pa.Array:
+    """Class probabilities of rows with terms ``x``, a batch at a time; NULL without a fit or terms, and for classes without
+    training rows."""
+    there = x.is_valid().to_numpy(zero_copy_only=False) & w.is_valid().to_numpy(zero_copy_only=False)
+    size, some = there.sum(), pa.array(there)
+    ends = pa.array(np.zeros(len(there) + 1, np.int32))
+    if not size:
+        return pa.ListArray.from_arrays(ends, pa.array([], pa.float64()), mask=pa.array(~there))
+    of = lambda a: a.filter(some).flatten().to_numpy(zero_copy_only=False).reshape(size, -1)
+    x, c = of(x), of(counts)
+    z = np.where(c > 0, np.einsum("nkj,nj->nk", of(w).reshape(size, c.shape[1], -1), x), -np.inf)
+    e = np.exp(z - z.max(axis=1, keepdims=True))
+    p = pa.array((e / e.sum(axis=1, keepdims=True)).ravel(), mask=(c <= 0).ravel())
+    ends = np.concatenate([[0], np.cumsum(there) * c.shape[1]]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), p, mask=pa.array(~there))
 
 
 def cross_validate_groups(
@@ -177,19 +186,29 @@ def cross_validate_groups(
     ``label`` is a 0-based class.  Years -1 and ``true_holdout`` never train; ``allowed`` (ids) limits training to its units.
     Predicted are rows of ``years``, by default of all years but -1 and the true holdouts.  ``keys`` may name a unit, a cluster
     or nothing, for one fit a year over all rows.  Terms are standardised by their group's training rows."""
-    held = [-1, *true_holdout]
+    held, xs = [-1, *true_holdout], [f"_x{i}" for i in range(len(names))]
     finite = lambda n: F.when(F.abs(F.col(n).cast("double")) < float("inf"), F.col(n).cast("double"))  # noqa: E731  NULL for NaN and infinities
     own = lambda t: t.withColumns({f"_k{i}": F.col(k) for i, k in enumerate(keys)} or {"_k0": F.lit(0)})
-    rows = cut(own(df.withColumn("_x", F.array(*[finite(n) for n in names])).withColumn("_year", F.col(year).cast("long"))))  # terms are made once
-    known = rows.filter(F.col(label).isNotNull() & ~F.exists("_x", lambda v: v.isNull()) & F.coalesce(~F.col("_year").isin(held), F.lit(True)))
-    if allowed is not None:
-        known = known.join(allowed.select(id_col).distinct(), id_col, "left_semi")
+    rows = cut(own(df.withColumns({x: finite(n) for x, n in zip(xs, names, strict=True)} | {"_year": F.col(year).cast("long")})))  # terms are made once
+    known = rows.filter(reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in [label, *xs]]) & F.coalesce(~F.col("_year").isin(held), F.lit(True)))
     by = [f"_k{i}" for i in range(len(keys) or 1)]
-    scale = known.groupBy(*by).agg(F.array(*[F.struct(F.avg(F.get("_x", F.lit(i))).alias("m"), F.stddev_pop(F.get("_x", F.lit(i))).alias("s")) for i in range(len(names))]).alias("_scale"))
-    ready = F.concat(F.array(F.lit(1.0)), F.zip_with("_x", "_scale", lambda v, s: (v - s["m"]) / F.when(s["s"] > 0, s["s"]).otherwise(1.0)))  # constants keep their scale
-    train = beside(known, scale, by).select(*by, F.col("_year").alias("year"), ready.alias("x"), F.col(label).cast("int").alias("y"), F.lit(1).alias("n"))
+    equal = [*by, "_year", *xs, F.col(label).cast("int").alias("_y")]
+    # Equal rows are counted before any join, so that a common key's rows do not meet in a task.
+    counted = known.groupBy(*equal, *([] if allowed is None else [F.col(id_col).alias("_id")])).agg(F.count(F.lit(1)).alias("_n"))
+    if allowed is not None:
+        counted = counted.join(allowed.select(F.col(id_col).alias("_id")).distinct(), "_id", "left_semi").groupBy(*by, "_year", *xs, "_y").agg(F.sum("_n").alias("_n"))
+    counted = cut(counted)
+    mean = lambda x: F.when(F.min(x) == F.max(x), F.min(x)).otherwise(F.sum(F.col(x) * F.col("_n")) / F.sum("_n"))  # noqa: E731  a constant is its own mean
+    means = counted.groupBy(*by).agg(F.array(*[mean(x) for x in xs]).alias("_m"))
+    gap = lambda i: F.col(xs[i]) - F.get("_m", F.lit(i))
+    spread = lambda i: F.sqrt(F.sum(gap(i) * gap(i) * F.col("_n")) / F.sum("_n"))
+    scale = beside(counted, means, by).groupBy(*by, "_m").agg(F.array(*[spread(i) for i in range(len(xs))]).alias("_s"))
+    scale = cut(scale.select(*by, "_m", F.transform("_s", lambda s: F.when(s > 0, s).otherwise(1.0)).alias("_s")))  # constants keep their scale
+    ready = [F.lit(1.0), *[gap(i) / F.get("_s", F.lit(i)) for i in range(len(xs))]]
+    train = beside(counted, scale, by).select(*by, F.col("_year").alias("year"), F.array(*ready).alias("x"), F.col("_y").alias("y"), F.col("_n").alias("n"))
     tests = rows.filter(F.col("_year").isin(years) if years is not None else F.col("_year").isNotNull() & ~F.col("_year").isin(held))
-    fits = fit_groups(train, by, tests.select(*by, F.col("_year").alias("fold")), classes, len(names) + 1)
-    fits = beside(fits, scale, by).select(*by, F.col("fold").alias("_year"), "counts", "w", "_scale")
-    out = beside(tests, fits, [*by, "_year"], "left").withColumn("_x", ready)
-    return out.select(*[c for c in df.columns if c != "p"], probabilities(F.col("_x"), F.col("w"), F.col("counts"), len(names) + 1).alias("p"))
+    fits = fit_groups(train, by, tests.select(*by, F.col("_year").alias("fold")).distinct(), classes, len(names) + 1)
+    fits = beside(fits, scale, by).select(*by, F.col("fold").alias("_year"), "counts", "w", "_m", "_s")
+    out = beside(tests, fits if keys else F.broadcast(fits), [*by, "_year"], "left")  # without keys the fits are a row a year
+    terms = F.when(reduce(lambda a, b: a & b, [F.col(x).isNotNull() for x in xs]), F.array(*ready))
+    return out.select(*[c for c in df.columns if c != "p"], probabilities(terms, F.col("w"), F.col("counts")).alias("p"))

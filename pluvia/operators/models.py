@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions.arrays import clean_probs, let, softmax, total
 from .fits import cross_validate_groups, fit_groups
+from .relations import cut
 
 
 def expand_formula(formula: str, weeks: int, unavailable: set[str] = frozenset()) -> list[tuple[str, ...]]:
@@ -132,10 +133,10 @@ def cross_validate(
 ) -> DataFrame:
     """Leave-one-year-out predictions: each of ``years`` is predicted from all others but the true holdouts, all folds side by
     side.  ``allowed`` limits training to its ids.  An outcome class that a fold's training rows lack is an error."""
-    known = df.filter(F.col(label).isNotNull())
+    known = cut(df.filter(F.col(label).isNotNull()).groupBy(label, year, *([] if allowed is None else [id_col])).count())
     train = known.filter(~F.col(year).isin([-1, *true_holdout]))
     train = train if allowed is None else train.join(allowed.select(id_col).distinct(), id_col, "left_semi")
-    counts = train.groupBy(label, year).count()
+    counts = train.groupBy(label, year).agg(F.sum("count").alias("count"))
     totals = counts.groupBy(label).agg(F.sum("count").alias("all"), F.map_from_entries(F.collect_list(F.struct(F.col(year).cast("long"), "count"))).alias("own"))
     every = known.select(label).distinct().join(totals, label, "left")
     own = lambda y: F.coalesce(F.try_element_at("own", F.lit(y).cast("long")), F.lit(0))

@@ -153,3 +153,18 @@ def test_window_variants_of_a_formula():
         "blend_2000_2020": [("clim_2000_2020_week1",), ("rain",), ("clim_2000_2020_week1", "rain")]}
     with pytest.raises(ValueError):
         L.window_formulas("blend", "rain", 2, "clim", "clim{window}", [1990], 2020)
+
+
+@pytest.mark.parametrize("name", ["multinom_cv", "multinom_cv_allowed"])
+def test_rows_meet_their_fit_unshuffled_and_are_predicted_in_batches(spark, sf, name):
+    """Rows were dealt out by year, which is a task a year, and predicted by lambda functions a value at a time."""
+    plan = Q.QUERIES[name](spark, sf)._jdf.queryExecution().optimizedPlan().toString()
+    top = plan[: plan.index("Join")]
+    assert "ArrowEvalPython" in top and "lambda" not in top
+    assert "rightHint=(strategy=broadcast)" in plan[plan.index("Join") :].splitlines()[0]
+
+
+def test_constants_and_counted_rows_keep_their_scale(spark):
+    rows = [(k, "u", 0, 2000 + k % 3, 0.1, float(k % 4), int(k % 7 < 3)) for k in range(300)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    same(N.cross_validate_groups(df, ["id"], ["a", "b"], "label", 2).select("k", "p").collect(), brute(rows, lambda r: r[1], 2))
