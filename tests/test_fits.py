@@ -164,6 +164,22 @@ def test_rows_meet_their_fit_unshuffled_and_are_predicted_in_batches(spark, sf,
     assert "rightHint=(strategy=broadcast)" in plan[plan.index("Join") :].splitlines()[0]
 
 
+def test_allowed_units_meet_counted_rows(spark, sf, monkeypatch):
+    """Each row met the allowed units before equal rows were counted."""
+    plans, of = [], N.cut
+    plan = lambda df: df._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    monkeypatch.setattr(N, "cut", lambda df: plans.append(plan(df)) or of(df))
+    size = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(size)
+    spark.conf.set(size, "-1")  # small units would be broadcast, and the semi-join pushed below the count
+    try:
+        Q.QUERIES["multinom_cv_allowed"](spark, sf)
+    finally:
+        spark.conf.set(size, before)
+    left = [p[i + 1].split(":- ", 1)[1] for p in plans for i, line in enumerate(p) if "Join LeftSemi" in line]
+    assert left and all(line.startswith("Aggregate") and "count(1)" in line for line in left), left
+
+
 def test_constants_and_counted_rows_keep_their_scale(spark):
     rows = [(k, "u", 0, 2000 + k % 3, 0.1, float(k % 4), int(k % 7 < 3)) for k in range(300)]
     df = spark.createDataFrame(rows, SCHEMA)
