@@ -102,7 +102,8 @@ def fit_groups(rows: DataFrame, keys: list[str], folds: DataFrame, classes: int,
     of each class; w holds classes x terms weights, those of the first class with rows being 0, and is null without a fit."""
     counted = cut(rows.groupBy(*keys, "year", "x", "y").agg(F.sum("n").cast("double").alias("n")))
     per_class = F.array(*[F.coalesce(F.sum(F.when(F.col("y") == k, F.col("n"))), F.lit(0.0)) for k in range(classes)])
-    totals = counted.groupBy(*keys).agg(per_class.alias("all"), F.ceil(F.count(F.lit(1)) / slice_rows).alias("slices"))
+    # A row a group; being files of known size, they are broadcast while small, so that a large group's rows stay where they are.
+    totals = cut(counted.groupBy(*keys).agg(per_class.alias("all"), F.ceil(F.count(F.lit(1)) / slice_rows).alias("slices")))
     own = counted.groupBy(*keys, F.col("year").alias("fold")).agg(per_class.alias("own"))
     some, by = folds.select(*keys, "fold").distinct(), [*keys, "fold"]
     left = F.when(F.col("own").isNull() | F.col("fold").isNull(), F.col("all")).otherwise(F.zip_with("all", "own", lambda a, b: a - b))
@@ -199,7 +200,7 @@ def cross_validate_groups(
         counted = counted.join(allowed.select(F.col(id_col).alias("_id")).distinct(), "_id", "left_semi").groupBy(*by, "_year", *xs, "_y").agg(F.sum("_n").alias("_n"))
     counted = cut(counted)
     mean = lambda x: F.when(F.min(x) == F.max(x), F.min(x)).otherwise(F.sum(F.col(x) * F.col("_n")) / F.sum("_n"))  # noqa: E731  a constant is its own mean
-    means = counted.groupBy(*by).agg(F.array(*[mean(x) for x in xs]).alias("_m"))
+    means = cut(counted.groupBy(*by).agg(F.array(*[mean(x) for x in xs]).alias("_m")))
     gap = lambda i: F.col(xs[i]) - F.get("_m", F.lit(i))
     spread = lambda i: F.sqrt(F.sum(gap(i) * gap(i) * F.col("_n")) / F.sum("_n"))
     scale = beside(counted, means, by).groupBy(*by, "_m").agg(F.array(*[spread(i) for i in range(len(xs))]).alias("_s"))

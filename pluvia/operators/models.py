@@ -135,7 +135,8 @@ def cross_validate(
     side.  ``allowed`` limits training to its ids.  An outcome class that a fold's training rows lack is an error."""
     known = cut(df.filter(F.col(label).isNotNull()).groupBy(label, year, *([] if allowed is None else [id_col])).count())
     train = known.filter(~F.col(year).isin([-1, *true_holdout]))
-    train = train if allowed is None else train.join(allowed.select(id_col).distinct(), id_col, "left_semi")
+    allowed = allowed if allowed is None else cut(allowed.select(id_col).distinct())
+    train = train if allowed is None else train.join(allowed, id_col, "left_semi")
     counts = train.groupBy(label, year).agg(F.sum("count").alias("count"))
     totals = counts.groupBy(label).agg(F.sum("count").alias("all"), F.map_from_entries(F.collect_list(F.struct(F.col(year).cast("long"), "count"))).alias("own"))
     every = known.select(label).distinct().join(totals, label, "left")

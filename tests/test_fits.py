@@ -180,6 +180,25 @@ def test_allowed_units_meet_counted_rows(spark, sf, monkeypatch):
     assert left and all(line.startswith("Aggregate") and "count(1)" in line for line in left), left
 
 
+def test_rows_of_a_large_group_do_not_meet_in_a_task(spark, monkeypatch):
+    """With predictors that differ in every row, all rows of a group were shuffled by its key to meet its mean and its totals."""
+    df = spark.range(6000).select(
+        F.col("id").alias("k"), (F.col("id") % 9).alias("id"), (F.col("id") % 5 + 2000).alias("year"), F.rand(1).alias("a"), F.rand(2).alias("b"), (F.col("id") % 7 % 3).cast("int").alias("label"))
+    plans, of = {}, N.cut
+    monkeypatch.setattr(N, "cut", lambda df: plans.update({c: df._jdf.queryExecution().executedPlan().toString() for c in df.columns}) or of(df))
+    size = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(size)
+    spark.conf.set(size, "16k")  # less than the rows, more than what a group has
+    try:
+        out = L.cross_validate(df, ["a", "b"], "label", L.fold_years(df), allowed=df.select("id").filter("id < 7"))
+    finally:
+        spark.conf.set(size, before)
+    assert out.filter("p IS NOT NULL").count() == 6000
+    for column in ("_n", "_s", "n", "rows"):  # counted rows, scale, terms, slices
+        assert "SortMergeJoin" not in plans[column] and "ShuffledHashJoin" not in plans[column], column
+        assert "BroadcastHashJoin" in plans[column], column
+
+
 def test_constants_and_counted_rows_keep_their_scale(spark):
     rows = [(k, "u", 0, 2000 + k % 3, 0.1, float(k % 4), int(k % 7 < 3)) for k in range(300)]
     df = spark.createDataFrame(rows, SCHEMA)
